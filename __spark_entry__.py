@@ -143,7 +143,10 @@ def _orders_drops(spark, d) -> tuple[dict, T.StructType]:
     orders = _t(spark, d, "orders")
     base = scratch_path(spark, "drops", "orders")
     drop = F.concat(F.lit("orders_"), F.date_format("o_orderdate", "dd-MM-yyyy"), F.lit(".csv"))
-    (orders.withColumn("_drop", drop).repartition("_drop").write
+    # An explicit partition count: AQE would otherwise coalesce the small
+    # shuffle into one task writing every daily folder in turn.
+    parts = max(8, spark.sparkContext.defaultParallelism)
+    (orders.withColumn("_drop", drop).repartition(parts, "_drop").write
            .option("header", True).option("timestampNTZFormat", "yyyy/MM/dd HH:mm:ss")
            .partitionBy("_drop").csv(base))
     return dict(_ORDERS_SOURCE, path=base), orders.schema
@@ -542,6 +545,60 @@ def q_job_bronze_load(spark, d):
     return _ntz(tables.scan_table(spark, TableRef.of(cfg["target"]["master"])).drop(merge.BUCKET))
 
 
+def _lineitem_rules() -> list[dict]:
+    return [
+        {"name": "non_nullable", "columns": ["l_orderkey", "l_partkey", "l_suppkey"]},
+        {"name": "unique_key", "columns": ["l_orderkey", "l_linenumber"]},
+        {"name": "length", "column": "l_returnflag", "min": 1, "max": 1},
+        {"name": "numeric_only", "column": "l_linenumber"},
+        {"name": "allowed_values", "column": "l_linestatus", "values": ["O", "F"]},
+        {"name": "range", "column": "l_discount", "min": 0, "max": 0.1},
+        {"name": "range", "column": "l_quantity", "min": 1, "max": 50, "severity": "WARN"},
+        {"name": "row_count", "min": 1},
+    ]
+
+
+def q_dq_lineitem_rules(spark, d):
+    return _results(_t(spark, d, "lineitem"), _lineitem_rules())
+
+
+def _orders_job(base: str, target_root: str) -> dict:
+    return {
+        "job": {"name": "orders", "type": "batch", "frequency": "daily", "mode": "load"},
+        "source": {"name": "crm", "type": "file", "format": "csv", "header": True, "delimiter": ",",
+                   "path": base, "date_format": "dd/MM/yyyy", "timestamp_format": "yyyy/MM/dd HH:mm:ss",
+                   "file_format": "crm_orders_{dd}-{MM}-{yyyy}.csv"},
+        "target": {"raw": {"path": f"{target_root}/raw", "format": "parquet"},
+                   "master": {"path": f"{target_root}/bronze", "format": "parquet"},
+                   "write": {"mode": "merge", "keys": "o_orderkey", "buckets": 32}},
+        "validation": {"rules": [
+            {"name": "non_nullable", "columns": ["o_orderkey", "o_custkey"]},
+            {"name": "unique_key", "columns": ["o_orderkey"]},
+            {"name": "allowed_values", "column": "o_orderstatus", "values": ["F", "O", "P"]},
+            {"name": "range", "column": "o_totalprice", "min": 0},
+        ]},
+    }
+
+
+def q_job_orders_load(spark, d):
+    """Two daily drops of orders (older orders, then recent ones with new
+    prices) through CSV parsing, rules, metadata and the bucketed merge."""
+    orders = _t(spark, d, "orders")
+    base = scratch_path(spark, "drops", "crm_orders")
+    day1 = orders.filter(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
+    day2 = orders.filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")) \
+                 .withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    fmt = "yyyy/MM/dd HH:mm:ss"
+    _write_csv(day1, f"{base}/crm_orders_07-08-2026.csv", fmt)
+    _write_csv(day2, f"{base}/crm_orders_08-08-2026.csv", fmt)
+    cfg = _orders_job(base, scratch_path(spark, "tables", "orders"))
+    job.run_job(spark, cfg, {"business_date": "2026-08-07", "batch_id": 1, "source_name": "crm"},
+                schema=orders.schema, as_of=AS_OF_1)
+    job.run_job(spark, cfg, {"business_date": "2026-08-08", "batch_id": 2, "source_name": "crm"},
+                schema=orders.schema, as_of=AS_OF_2)
+    return _ntz(tables.scan_table(spark, TableRef.of(cfg["target"]["master"])).drop(merge.BUCKET))
+
+
 # --------------------------------------------------------------------------- limits
 
 def q_limit_preview(spark, d):
@@ -796,5 +853,29 @@ def oracle_sql() -> dict[str, str]:
                             "'crm' AS source_name, CAST(2 AS BIGINT) AS record_version, "
                             "TIMESTAMP '2026-08-09 06:00:00' AS ingested_at, TIMESTAMP '2026-08-09 06:00:00' AS updated_at "
                             "FROM customer"),
+        "dq_lineitem_rules": union([
+            _rule_sql("non_nullable", "ERROR", "count(*)",
+                      "count(*) FILTER (WHERE l_orderkey IS NULL) + count(*) FILTER (WHERE l_partkey IS NULL) "
+                      "+ count(*) FILTER (WHERE l_suppkey IS NULL)", "lineitem"),
+            _unique_sql(["l_orderkey", "l_linenumber"], "lineitem"),
+            _rule_sql("length", "ERROR", "count(*)",
+                      "count(*) FILTER (WHERE l_returnflag IS NOT NULL AND (length(l_returnflag) < 1 "
+                      "OR length(l_returnflag) > 1))", "lineitem"),
+            _rule_sql("numeric_only", "ERROR", "count(*)",
+                      "count(*) FILTER (WHERE l_linenumber IS NOT NULL AND NOT regexp_full_match("
+                      "CAST(l_linenumber AS VARCHAR), '[0-9]+'))", "lineitem"),
+            _rule_sql("allowed_values", "ERROR", "count(*)",
+                      "count(*) FILTER (WHERE l_linestatus IS NOT NULL AND l_linestatus NOT IN ('O', 'F'))", "lineitem"),
+            _rule_sql("range", "ERROR", "count(*)",
+                      "count(*) FILTER (WHERE l_discount IS NOT NULL AND (l_discount < 0 OR l_discount > 0.1))",
+                      "lineitem"),
+            _rule_sql("range", "WARN", "count(*)",
+                      "count(*) FILTER (WHERE l_quantity IS NOT NULL AND (l_quantity < 1 OR l_quantity > 50))",
+                      "lineitem", "WARN"),
+            ("SELECT 'row_count' AS rule_name, CASE WHEN n < 1 THEN 'FAIL' ELSE 'PASS' END AS status, "
+             "'ERROR' AS severity, CAST(n AS BIGINT) AS records_checked, "
+             "CAST(CASE WHEN n < 1 THEN n ELSE 0 END AS BIGINT) AS records_failed FROM (SELECT count(*) AS n FROM lineitem)"),
+        ]),
+        "job_orders_load": _no_action(merge_all),
         "limit_preview_ordered": "SELECT * FROM customer ORDER BY c_custkey LIMIT 10",
     }

@@ -128,14 +128,42 @@ def _date_from_path(path: Column, file_format: str) -> Column:
     return F.try_to_timestamp(F.concat_ws("-", *parts), F.lit("yyyy-MM-dd")).cast("date")
 
 
+def _day_range(start: str, end: str) -> list[dt.date]:
+    lo, hi = parse_business_date(start), parse_business_date(end)
+    return [lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
+
+
+def dated_glob(source: SourceSpec | dict, start: str | None = None, end: str | None = None) -> str:
+    """One glob for the drops of a date range (every drop when unbounded).
+
+    A bounded range becomes a ``{name1,name2,...}`` alternation of the dated
+    names, so the listing skips other days and days without a drop are simply
+    absent (no path-not-found error).
+    """
+    src = source if isinstance(source, SourceSpec) else SourceSpec.of(source)
+    base = src.path.rstrip("/")
+    if start is None or end is None:
+        pattern = src.file_format
+        for token, (_, glob) in DATE_TOKENS.items():
+            pattern = pattern.replace(token, glob)
+        return f"{base}/{pattern}"
+    names = []
+    for day in _day_range(start, end):
+        name = src.file_format
+        for token, (fmt, _) in DATE_TOKENS.items():
+            name = name.replace(token, day.strftime(fmt))
+        names.append(name)
+    return f"{base}/{{{','.join(names)}}}" if len(names) > 1 else f"{base}/{names[0]}"
+
+
 def scan_dated_files(spark: SparkSession, source: SourceSpec | dict, schema: T.StructType, *,
                      dates: Iterable[str] | None = None, start: str | None = None,
                      end: str | None = None, date_column: str = "business_date") -> DataFrame:
     """Many business dates in ONE scan, each row tagged with its file's date.
 
-    ``dates`` lists the days explicitly (each must exist); otherwise every file
-    matching the pattern is read and ``start``/``end`` (inclusive) filter on
-    the date taken from the file name.
+    ``dates`` lists the days explicitly (each must exist); otherwise the drops
+    of the ``start``..``end`` range (inclusive; either side open) are globbed,
+    and rows are tagged with the date taken from their file's name.
     """
     src = source if isinstance(source, SourceSpec) else SourceSpec.of(source)
     if src.type != "file":
@@ -143,10 +171,7 @@ def scan_dated_files(spark: SparkSession, source: SourceSpec | dict, schema: T.S
     if dates is not None:
         paths = [dated_path(src, d) for d in dates]
     else:
-        pattern = src.file_format
-        for token, (_, glob) in DATE_TOKENS.items():
-            pattern = pattern.replace(token, glob)
-        paths = [f"{src.path.rstrip('/')}/{pattern}"]
+        paths = [dated_glob(src, start, end)]
     df = scan_csv(spark, paths, schema, src)
     day = _date_from_path(F.col("_metadata.file_path"), src.file_format)
     df = df.withColumn(date_column, day)
