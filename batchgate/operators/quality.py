@@ -45,8 +45,9 @@ def compile_for(df: DataFrame, rules: Any) -> list[CompiledRule]:
     return compile_rules(as_rules(rules), df.schema)
 
 
-def _result(r: CompiledRule, checked: Column, failed: Column, fail_msg: Column, pass_msg: Column) -> Column:
-    has_failed = failed > 0
+def _result(r: CompiledRule, checked: Column, failed: Column, fail_msg: Column, pass_msg: Column,
+            has_failed: Column | None = None) -> Column:
+    has_failed = failed > 0 if has_failed is None else has_failed
     return F.struct(
         F.lit(r.order).alias("rule_index"),
         F.lit(r.rule_name).alias("rule_name"),
@@ -100,7 +101,8 @@ def _scan_result(r: CompiledRule) -> Column:
         failed = F.when(out, total).otherwise(F.lit(0))
         msg = F.format_string(MESSAGES["row_count_fail"].replace("{n}", "%d").format(min=lo, max=hi), total)
         ok = F.format_string(MESSAGES["row_count_pass"].replace("{n}", "%d"), total)
-        return _result(r, total, failed, msg, ok)
+        # Out of bounds fails even when the count itself is 0 (empty input).
+        return _result(r, total, failed, msg, ok, has_failed=out)
     # nulls
     counts = [(c, F.col(f"_f{r.order}_{j}")) for j, (c, _) in enumerate(r.cells)]
     if r.count_rows:

@@ -40,7 +40,7 @@ def source_schema(spark: SparkSession, spec: JobSpec) -> T.StructType:
     """Schema of the raw table minus metadata; the registry if not created yet."""
     if spec.raw is not None and spec.raw.exists(spark):
         return S.business_schema(spec.raw.read(spark).schema)
-    table = (spec.raw.name or "").split(".")[-1] if spec.raw is not None else ""
+    table = (spec.raw.table or "") if spec.raw is not None else ""
     if table in S.ENTITY_COLUMNS:
         return S.entity_schema(table, with_metadata=False)
     raise ValueError(f"No schema for source of job '{spec.name}': raw table not found")

@@ -57,18 +57,19 @@ class TableRef:
     name: str | None = None
     path: str | None = None
     format: str = "parquet"
+    table: str | None = None       # bare table name (schema registry lookup)
 
     @classmethod
     def of(cls, cfg: "TableRef | dict | str") -> "TableRef":
         if isinstance(cfg, TableRef):
             return cfg
         if isinstance(cfg, str):
-            return cls(name=cfg)
+            return cls(name=cfg, table=cfg.split(".")[-1])
         fmt = cfg.get("format", "parquet")
         if cfg.get("path"):
-            return cls(path=cfg["path"], format=fmt, name=None)
+            return cls(path=cfg["path"], format=fmt, name=None, table=cfg.get("table"))
         parts = [cfg.get("catalog"), cfg.get("schema"), cfg["table"]]
-        return cls(name=".".join(p for p in parts if p), format=fmt)
+        return cls(name=".".join(p for p in parts if p), format=fmt, table=cfg["table"])
 
     @property
     def label(self) -> str:

@@ -1,0 +1,196 @@
+"""Rule semantics on inline edge rows (no test table has NULLs, NaN, etc.)."""
+
+import math
+
+import pytest
+from pyspark.sql import types as T
+
+from batchgate.operators import quality
+from batchgate.operators.quality import ValidationError
+
+
+def res(spark, rows, schema, rules):
+    df = spark.createDataFrame(rows, schema)
+    return [r.asDict() for r in quality.collect_results(quality.evaluate(df, rules))]
+
+
+def one(spark, rows, schema, rule):
+    return res(spark, rows, schema, [rule])[0]
+
+
+# ------------------------------------------------------------------ non_nullable
+
+def test_non_nullable_rows_vs_cells(spark):
+    rows = [(None, None, "x"), ("a", "b", "c"), ("a", None, "c")]
+    schema = "a string, b string, c string"
+    cells = one(spark, rows, schema, {"name": "non_nullable", "columns": ["a", "b"]})
+    assert (cells["status"], cells["records_failed"], cells["records_checked"]) == ("FAIL", 3, 3)
+    assert cells["message"] == "Null values found in mandatory columns: a=1, b=2"
+    rws = one(spark, rows, schema, {"name": "non_nullable", "columns": ["a", "b"], "count": "rows"})
+    assert (rws["status"], rws["records_failed"]) == ("FAIL", 2)
+    assert rws["message"] == "Column 'a' has 1 null values, Column 'b' has 2 null values"
+
+
+def test_non_nullable_empty_input_and_no_columns(spark):
+    empty = one(spark, [], "a string", {"name": "non_nullable", "columns": ["a"]})
+    assert (empty["status"], empty["records_checked"], empty["records_failed"]) == ("PASS", 0, 0)
+    none = one(spark, [("x",)], "a string", {"name": "non_nullable", "columns": []})
+    assert (none["status"], none["records_checked"]) == ("PASS", 0)
+    job = one(spark, [("x",)], "a string", {"name": "non_nullable", "columns": [], "dialect": "job"})
+    assert (job["status"], job["records_checked"]) == ("PASS", 1)
+
+
+def test_non_nullable_missing_and_case(spark):
+    r = one(spark, [("x",)], "Name string", {"name": "non_nullable", "columns": ["name"]})
+    assert (r["status"], r["severity"], r["records_checked"]) == ("FAIL", "ERROR", 0)
+    assert "Columns not found" in r["message"]
+
+
+# ------------------------------------------------------------------ unique_key
+
+def test_unique_key_nulls_and_excess(spark):
+    rows = [(1,), (1,), (1,), (2,), (None,), (None,)]
+    r = one(spark, rows, "k long", {"name": "unique_key", "columns": ["k"]})
+    assert (r["records_checked"], r["records_failed"]) == (6, 4)   # 2 NULL rows + excess 2
+    assert r["message"] == "Key validation failed. null_key_records=2, duplicate_records=2"
+
+
+def test_unique_key_composite_null_part_and_count_column(spark):
+    rows = [(1, None), (1, None), (1, 2), (1, 2), (2, 2)]
+    r = one(spark, rows, "count long, b long", {"name": "unique_key", "columns": ["count", "b"]})
+    assert r["records_failed"] == 3
+
+
+def test_unique_key_nan_groups_together(spark):
+    rows = [(float("nan"),), (float("nan"),), (0.0,), (-0.0,)]
+    r = one(spark, rows, "k double", {"name": "unique_key", "columns": ["k"]})
+    assert r["records_failed"] == 2
+
+
+def test_unique_key_argument_errors(spark):
+    assert one(spark, [(1,)], "k long", {"name": "unique_key"})["message"] == "No key columns configured."
+    r = one(spark, [(1,)], "k long", {"name": "unique_key", "columns": ["z"]})
+    assert (r["status"], r["records_checked"]) == ("FAIL", 0)
+
+
+# ------------------------------------------------------------------ length
+
+def test_length_edges(spark):
+    rows = [(None,), ("",), ("ab",), ("abcd",), ("é€ñ",), ("ab  ",), ("abcde",)]
+    r = one(spark, rows, "s string", {"name": "length", "column": "s", "min": 2, "max": 4})
+    # '' (0) and 'abcde' (5) fail; 'é€ñ' is 3 characters; trailing blanks count
+    assert r["records_failed"] == 2
+    r = one(spark, rows, "s string", {"name": "length", "column": "s"})
+    assert (r["status"], r["records_failed"]) == ("PASS", 0)
+    assert one(spark, rows, "s string", {"name": "length"})["message"] == "Length rule requires a column."
+
+
+# ------------------------------------------------------------------ numeric_only
+
+def test_numeric_only_edges(spark):
+    rows = [("",), ("-1",), ("1.5",), ("12\n",), ("١٢",), (None,), ("0042",)]
+    r = one(spark, rows, "s string", {"name": "numeric_only", "column": "s"})
+    assert r["records_failed"] == 5
+    big = one(spark, [(5,), (-3,), (None,)], "n long", {"name": "numeric_only", "column": "n"})
+    assert big["records_failed"] == 1
+
+
+# ------------------------------------------------------------------ allowed_values
+
+def test_allowed_values_edges(spark):
+    rows = [("a",), ("A",), ("b",), (None,)]
+    assert one(spark, rows, "s string", {"name": "allowed_values", "column": "s", "values": []})["records_failed"] == 3
+    r = one(spark, rows, "s string", {"name": "allowed_values", "column": "s", "values": ["a", None]})
+    assert r["records_failed"] == 2    # NULL in the list is ignored; 'A' differs by case
+
+
+# ------------------------------------------------------------------ range
+
+def test_range_edges(spark):
+    rows = [(0.0,), (10.0,), (float("nan"),), (None,), (-0.5,), (10.5,)]
+    r = one(spark, rows, "x double", {"name": "range", "column": "x", "min": 0, "max": 10})
+    assert r["records_failed"] == 3          # NaN above max, -0.5, 10.5
+    assert one(spark, rows, "x double", {"name": "range", "column": "x", "min": 0})["records_failed"] == 1
+    assert one(spark, rows, "x double", {"name": "range", "column": "x"})["records_failed"] == 0
+
+
+def test_range_on_text_column(spark):
+    rows = [("5",), ("abc",), ("11",), (None,), ("",)]
+    r = one(spark, rows, "s string", {"name": "range", "column": "s", "min": 0, "max": 10})
+    assert r["records_failed"] == 3          # 'abc', '11', '' (not a number)
+
+
+# ------------------------------------------------------------------ row_count
+
+def test_row_count(spark):
+    r = one(spark, [], "a long", {"name": "row_count", "min": 1})
+    assert (r["status"], r["records_failed"]) == ("FAIL", 0)
+    r = one(spark, [(1,), (2,), (3,)], "a long", {"name": "row_count", "max": 2})
+    assert (r["status"], r["records_failed"], r["message"]) == (
+        "FAIL", 3, "Row count validation failed. actual=3, min=None, max=2")
+
+
+# ------------------------------------------------------------------ schema
+
+def test_schema_rule(spark):
+    df_schema = "a long, b string, c array<int>, extra int"
+    expected = T.StructType([
+        T.StructField("a", T.LongType(), False),
+        T.StructField("b", T.StringType()),
+        T.StructField("c", T.ArrayType(T.IntegerType(), True)),
+    ])
+    r = one(spark, [], df_schema, {"name": "schema", "expected_schema": expected})
+    assert r["status"] == "PASS"           # nullability ignored, extra column allowed
+    expected2 = T.StructType(expected.fields[:2] + [T.StructField("c", T.ArrayType(T.IntegerType(), False)),
+                                                     T.StructField("d", T.IntegerType())])
+    r = one(spark, [], df_schema, {"name": "schema", "expected_schema": expected2})
+    assert r["status"] == "FAIL" and "missing=['d']" in r["message"] and "extra=['extra']" in r["message"]
+    assert one(spark, [], df_schema, {"name": "schema"})["message"] == "Expected target schema was not provided."
+
+
+# ------------------------------------------------------------------ severity, engine, gate
+
+@pytest.mark.parametrize("severity,status", [("ERROR", "FAIL"), ("FATAL", "FAIL"), ("WARN", "WARN"), ("INFO", "WARN")])
+def test_severity_mapping(spark, severity, status):
+    r = one(spark, [(None,)], "a string", {"name": "non_nullable", "columns": ["a"], "severity": severity})
+    assert (r["status"], r["severity"]) == (status, severity)
+
+
+def test_job_dialect_fails_whatever_severity(spark):
+    r = res(spark, [(None,)], "a string", {"non_nullable": {"columns": ["a"], "severity": "WARN"}})[0]
+    assert r["status"] == "FAIL"
+
+
+def test_unnamed_and_unknown_rules(spark):
+    r = one(spark, [(1,)], "a long", {"columns": ["a"]})
+    assert (r["rule_name"], r["status"]) == ("UNKNOWN", "FAIL")
+    with pytest.raises(ValueError, match="Unsupported validation rule"):
+        one(spark, [(1,)], "a long", {"name": "nope"})
+
+
+def test_summary_and_gate(spark):
+    df = spark.createDataFrame([(1, None), (1, "x")], "k long, s string")
+    rules = {"rules": [{"name": "unique_key", "columns": ["k"], "severity": "WARN"},
+                       {"name": "non_nullable", "columns": ["s"]},
+                       {"name": "row_count", "min": 1}]}
+    summary = quality.validate(df, rules)
+    assert (summary["overall_status"], summary["total_rules"], summary["passed_rules"],
+            summary["failed_rules"], summary["warning_rules"]) == ("FAIL", 3, 1, 1, 1)
+    row = quality.summarize(quality.evaluate(df, rules)).collect()[0].asDict()
+    assert row == {k: summary[k] for k in row}
+    with pytest.raises(ValidationError, match="rule: non_nullable"):
+        quality.gate(quality.evaluate(df, rules))
+    assert quality.validate(df, None)["overall_status"] == "PASS"
+
+
+def test_column_block_and_custom_rule(spark):
+    from pyspark.sql import functions as F
+
+    from batchgate.operators.rules import register_rule
+    df = spark.createDataFrame([("98765",), ("9876543210",), ("98x6543210",)], "phone string")
+    out = res(spark, [tuple(r) for r in df.collect()], "phone string",
+              {"rules": {"phone": {"min_length": 9, "max_length": 10, "numeric_only": True}}})
+    assert [(r["rule_name"], r["records_failed"]) for r in out] == [("length", 1), ("numeric_only", 1)]
+    register_rule("starts_with_9", lambda cfg, schema: ~F.col(cfg["column"]).startswith("9"))
+    r = one(spark, [("98",), ("18",)], "phone string", {"name": "starts_with_9", "column": "phone"})
+    assert (r["rule_name"], r["records_failed"]) == ("starts_with_9", 1)
