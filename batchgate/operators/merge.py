@@ -43,6 +43,7 @@ from .. import schemas as S
 from ..functions.columns import as_of_column
 from ..functions.predicates import any_null
 from ..session import TableRef
+from ..sources.files import row_width
 
 BUCKET = "_bucket"
 ACTION = "_action"
@@ -187,8 +188,19 @@ def bucket_expr(keys: list[str], buckets: int, all_columns: list[str]) -> Column
     return F.when(any_null(keys), by_row).otherwise(by_key).cast("int")
 
 
+def _clustered(df: DataFrame) -> DataFrame:
+    """Cluster rows by bucket before a partitioned write.
+
+    Without it every task writes one file into every bucket it holds (tasks x
+    buckets small files). REBALANCE lets AQE size the write tasks: small
+    buckets are coalesced, a bucket larger than the advisory size is split
+    over several tasks, so no single task gets a hot bucket.
+    """
+    return df.hint("rebalance", BUCKET)
+
+
 def _write_new(df: DataFrame, ref: TableRef) -> None:
-    w = df.write.format(ref.format).partitionBy(BUCKET).mode("overwrite")
+    w = _clustered(df).write.format(ref.format).partitionBy(BUCKET).mode("overwrite")
     if ref.name:
         w.saveAsTable(ref.name)
     else:
@@ -196,6 +208,7 @@ def _write_new(df: DataFrame, ref: TableRef) -> None:
 
 
 def _overwrite_buckets(spark: SparkSession, df: DataFrame, ref: TableRef) -> None:
+    df = _clustered(df)
     if ref.name:
         cols = spark.table(ref.name).columns
         df.select(*cols).write.option("partitionOverwriteMode", "dynamic").insertInto(ref.name, overwrite=True)
@@ -206,14 +219,16 @@ def _overwrite_buckets(spark: SparkSession, df: DataFrame, ref: TableRef) -> Non
 
 def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict | str,
                keys: list[str] | str, as_of: dt.datetime | str | None = None, *,
-               buckets: int = 64, batch_rows: int | None = None,
-               max_broadcast_rows: int = 1_000_000, check_duplicates: bool = True) -> dict:
+               buckets: int = 64, batch_rows: int | None = None, batch_bytes: int | None = None,
+               max_broadcast_bytes: int = 64 << 20, check_duplicates: bool = True) -> dict:
     """Merge ``batch`` into a stored table; returns the merge counters.
 
     Table formats with row-level DML use their MERGE. Otherwise the bucketed
     layout described in the module docstring is used (created on first use).
-    ``batch_rows`` (already known from validation) selects the broadcast plan
-    when at most ``max_broadcast_rows``; otherwise the shuffle plan.
+    The broadcast plan is used only when the batch is proven small:
+    ``batch_bytes`` (measured while landing) or, if not given, ``batch_rows``
+    times the schema's default row width, at most ``max_broadcast_bytes``.
+    Otherwise the shuffle plan.
     """
     ref = TableRef.of(target)
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -241,7 +256,9 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
     if check_duplicates:
         check_duplicate_matches(current, staged, keys, counts)
         hot = heavy_keys(counts, batch_rows)
-    strategy = "broadcast" if batch_rows <= max_broadcast_rows else "shuffle"
+    if batch_bytes is None:
+        batch_bytes = batch_rows * row_width(staged.schema, text_bytes=64)
+    strategy = "broadcast" if batch_bytes <= max_broadcast_bytes else "shuffle"
     merged = merge_frames(current, staged, keys, as_of, strategy=strategy,
                           insert_only_keys=hot, with_action=True)
     out = merged.observe(metrics, *observed_terms).drop(ACTION)

@@ -182,16 +182,37 @@ def scan_dated_files(spark: SparkSession, source: SourceSpec | dict, schema: T.S
     return df
 
 
+_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
+          T.DateType: 4, T.DecimalType: 16}
+
+
+def row_width(schema: T.StructType, text_bytes: int = 0) -> int:
+    """Estimated bytes per row: 16 of overhead, 8 per value unless known
+    smaller, and ``text_bytes`` for every string/binary column."""
+    def width(dt: T.DataType) -> int:
+        if isinstance(dt, (T.StringType, T.BinaryType)):
+            return text_bytes
+        return next((w for k, w in _WIDTH.items() if isinstance(dt, k)), 8)
+    return 16 + sum(width(f.dataType) for f in schema.fields)
+
+
 def land(df: DataFrame, path: str, fmt: str = "parquet") -> tuple[DataFrame, dict]:
     """Write a parsed batch once and return (re-read frame, counters).
 
     Counters come from an observation of the write itself, so no extra scan:
-    ``rows`` and, if the frame has ``_corrupt_record``, ``corrupt_rows``.
+    ``rows``, ``bytes`` (a measured size: fixed-width columns plus the actual
+    length of every text value, used to bound broadcasts) and, if the frame
+    has ``_corrupt_record``, ``corrupt_rows``.
     """
     obs = Observation("batchgate_land")
-    terms = [F.count(F.lit(1)).alias("rows")]
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema.fields
+             if isinstance(f.dataType, (T.StringType, T.BinaryType)) and f.name != CORRUPT]
+    terms = [F.count(F.lit(1)).alias("rows"),
+             F.coalesce(F.sum(sum(texts[1:], texts[0])) if texts else F.lit(0), F.lit(0)).alias("text_bytes")]
     if CORRUPT in df.columns:
         terms.append(F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt_rows"))
     df.observe(obs, *terms).write.format(fmt).mode("errorifexists").save(path)
     counters = {k: int(v or 0) for k, v in obs.get.items()}
+    width = row_width(T.StructType([f for f in df.schema.fields if f.name != CORRUPT]))
+    counters["bytes"] = counters.pop("text_bytes") + counters["rows"] * width
     return df.sparkSession.read.format(fmt).load(path), counters
