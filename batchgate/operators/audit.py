@@ -16,6 +16,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..functions.predicates import any_null, any_true
 from .quality import compile_for
 from .rules import FAIL_SEVERITIES, CompiledRule
@@ -117,3 +118,26 @@ def split_valid_invalid(df: DataFrame, rules: Any, failing_only: bool = False) -
     flagged = flag_failures(df, rules, failing_only)
     return (flagged.filter(~F.col("_dq_failed")).select(*cols),
             flagged.filter(F.col("_dq_failed")).select(*cols))
+
+
+def audit_table_rows(audit_rows: DataFrame, job_run_id: int, job_name: str, source_name: str | None,
+                     business_date: str, table_name: str, as_of=None) -> DataFrame:
+    """Audit rows in the ``dq_failure_audit`` layout.
+
+    ``dq_failure_id`` is ``monotonically_increasing_id``: unique within the
+    write, no driver round trip. Rows from the row-rule pass keep their id
+    when a lost task is recomputed (same landed split, same order); rows that
+    come after the duplicate-key join may be numbered differently on a
+    recompute, but stay unique.
+    """
+    from ..functions.columns import as_of_column
+    return audit_rows.select(
+        F.monotonically_increasing_id().alias("dq_failure_id"),
+        F.lit(job_run_id).cast("bigint").alias("job_run_id"),
+        F.lit(job_name).alias("job_name"),
+        F.lit(source_name).cast("string").alias("source_name"),
+        F.lit(business_date).cast("timestamp").alias("business_date"),
+        F.lit(table_name).alias("table_name"),
+        *AUDIT_COLUMNS,
+        as_of_column(as_of).alias("created_at"),
+    ).select(*S.DQ_FAILURE_AUDIT.fieldNames())

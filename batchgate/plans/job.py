@@ -26,12 +26,13 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions.columns import with_metadata
+from ..operators.audit import audit_table_rows, failure_audit
 from ..operators.quality import collect_results, evaluate, gate
 from ..session import TableRef, scratch_path
 from ..sources.files import CORRUPT, land, read_source
 from ..spec import JobSpec, parse_business_date
 from .runs import FAILED, SUCCEEDED, finish, new_run, record_event
-from .sinks import write_target
+from .sinks import append_table, write_target
 
 log = logging.getLogger(__name__)
 
@@ -49,8 +50,14 @@ def source_schema(spark: SparkSession, spec: JobSpec) -> T.StructType:
 def run_job(spark: SparkSession, config: dict, batch_details: dict, *,
             schema: T.StructType | None = None, control: TableRef | dict | str | None = None,
             as_of: dt.datetime | str | None = None, job_run_id: int | None = None,
-            landing_path: str | None = None) -> dict[str, Any]:
-    """Run one load; returns the run's counters and rule results."""
+            landing_path: str | None = None,
+            audit: TableRef | dict | str | None = None) -> dict[str, Any]:
+    """Run one load; returns the run's counters and rule results.
+
+    With ``audit``, failing records are appended to that table (layout
+    ``dq_failure_audit``) when any rule failed or warned -- before the gate,
+    so a rejected batch leaves its evidence; a clean batch adds no rows.
+    """
     spec = JobSpec.of(config)
     business_date = batch_details["business_date"]
     parse_business_date(business_date)
@@ -67,6 +74,10 @@ def run_job(spark: SparkSession, config: dict, batch_details: dict, *,
         staged = staged.drop(CORRUPT)
         records_read = landed["rows"]
         results = collect_results(evaluate(staged, spec.rules))
+        if audit is not None and any(r["status"] != "PASS" for r in results):
+            rows = failure_audit(staged, spec.rules, spec.keys)
+            append_table(audit_table_rows(rows, run["job_run_id"], spec.name, source_name, business_date,
+                                          spec.master.table or spec.master.label, as_of), audit)
         gate(results)
         records_valid = records_read
         enriched = with_metadata(staged, batch_details["batch_id"], business_date, source_name, as_of)

@@ -80,3 +80,28 @@ def test_latest_runs_with_a_hot_run(spark):
     latest = runs.latest_runs(ev, run_id="run", order=("seq",))
     got = {r["run"]: r["seq"] for r in latest.collect()}
     assert got[0] == 29950 and len(got) == 50
+
+
+def test_failing_batch_leaves_audit_rows(spark, tmp_dir):
+    base, root = f"{tmp_dir}/landing", f"{tmp_dir}/tables"
+    write_text(spark, f"{base}/crm_customers_09-08-2026.csv", CSV[:2] + [CSV[2].replace("Priya Sharma", "")])
+    cfg = config(base, root)
+    audit = TableRef(path=f"{tmp_dir}/audit")
+    with pytest.raises(ValidationError):
+        job.run_job(spark, cfg, {"business_date": "2026-08-09", "batch_id": 3, "source_name": "crm"},
+                    schema=S.entity_schema("crm_customers", with_metadata=False), audit=audit, job_run_id=9)
+    rows = spark.read.parquet(audit.path).collect()
+    assert [(r["job_run_id"], r["record_key"], r["column_name"], r["validation_rule"]) for r in rows] == [
+        (9, "C002", "customer_name", "non_nullable")]
+    assert spark.read.parquet(audit.path).schema.fieldNames() == S.DQ_FAILURE_AUDIT.fieldNames()
+
+
+def test_registry_and_table_provisioning(spark):
+    reg = S.registry()
+    assert len(reg) == 24 and reg["raw.crm_customers"] == reg["bronze.crm_customers"]
+    assert reg["raw.crm_contacts"].fieldNames()[:2] == ["contact_id", "customer_id"]
+    frame = S.registry_frame(spark)
+    assert frame.filter("table_name = 'control.job_run_control'").count() == 19
+    made = S.create_tables(spark, database_prefix="bgtest_", tables=["raw.crm_accounts", "control.dq_rules"])
+    assert made == ["bgtest_raw.crm_accounts", "bgtest_control.dq_rules"]
+    assert spark.table("bgtest_raw.crm_accounts").columns[-6:] == S.METADATA_COLUMNS
