@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.predicates import any_null, any_true
 from .quality import compile_for
-from .rules import FAIL_SEVERITIES, CompiledRule
+from .rules import FAIL, CompiledRule
 
 AUDIT_COLUMNS = ["record_key", "column_name", "validation_rule", "validation_status", "error_details"]
 
@@ -91,11 +91,10 @@ def flag_failures(df: DataFrame, rules: Any, failing_only: bool = False,
                   flag: str = "_dq_failed") -> DataFrame:
     """Add a boolean column: the row fails at least one rule.
 
-    ``failing_only`` restricts to rules whose severity fails a run (a WARN
-    rule then leaves its rows valid).
+    ``failing_only`` restricts to rules that FAIL when violated (a rule that
+    only warns then leaves its rows valid).
     """
-    compiled = [r for r in compile_for(df, rules)
-                if not failing_only or r.severity in FAIL_SEVERITIES]
+    compiled = [r for r in compile_for(df, rules) if not failing_only or r.fail_status == FAIL]
     preds = []
     for r in compiled:
         if r.kind == "row":

@@ -220,7 +220,8 @@ def _overwrite_buckets(spark: SparkSession, df: DataFrame, ref: TableRef) -> Non
 def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict | str,
                keys: list[str] | str, as_of: dt.datetime | str | None = None, *,
                buckets: int = 64, batch_rows: int | None = None, batch_bytes: int | None = None,
-               max_broadcast_bytes: int = 64 << 20, check_duplicates: bool = True) -> dict:
+               max_broadcast_bytes: int = 64 << 20, check_duplicates: bool = True,
+               hot_key_rows: int = 10000) -> dict:
     """Merge ``batch`` into a stored table; returns the merge counters.
 
     Table formats with row-level DML use their MERGE. Otherwise the bucketed
@@ -255,7 +256,7 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
     hot = None
     if check_duplicates:
         check_duplicate_matches(current, staged, keys, counts)
-        hot = heavy_keys(counts, batch_rows)
+        hot = heavy_keys(counts, batch_rows, min_rows=hot_key_rows)
     if batch_bytes is None:
         batch_bytes = batch_rows * row_width(staged.schema, text_bytes=64)
     strategy = "broadcast" if batch_bytes <= max_broadcast_bytes else "shuffle"
