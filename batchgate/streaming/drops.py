@@ -18,6 +18,7 @@ from ..functions.columns import with_metadata
 from ..operators.merge import merge_into
 from ..operators.quality import collect_results, evaluate, gate
 from ..session import scratch_path
+from ..sources.files import _date_from_path
 from ..spec import JobSpec
 
 
@@ -31,16 +32,29 @@ def stream_loads(spark: SparkSession, config: dict, schema: T.StructType, source
     spec = JobSpec.of(config)
     src = spec.source
     reader = (spark.readStream.format(src.format).schema(schema)
-              .option("header", src.header).option("delimiter", src.delimiter))
+              .option("header", src.header).option("delimiter", src.delimiter)
+              .option("pathGlobFilter", "*.csv" if src.format == "csv" else "*"))
     if src.timestamp_format:
-        reader = reader.option("timestampFormat", src.timestamp_format)
-    stream = reader.load(src.path).withColumn("_bg_file", F.col("_metadata.file_path"))
+        reader = (reader.option("timestampFormat", src.timestamp_format)
+                        .option("timestampNTZFormat", src.timestamp_format))
+    day = _date_from_path(F.col("_metadata.file_path"), src.file_format)
+    stream = reader.load(src.path).withColumn("_bg_day", day)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        data = batch.drop("_bg_file")
-        gate(collect_results(evaluate(data, spec.rules)))
-        enriched = with_metadata(data, batch_id, F.current_date().cast("string"), source_name)
-        merge_into(spark, enriched, spec.master, spec.keys, buckets=spec.buckets)
+        # A micro-batch may hold several days' drops: they are checked
+        # together, then merged one business date at a time, oldest first,
+        # as successive batch runs would. The distinct dates are bounded by
+        # the files in the trigger.
+        batch.persist()
+        try:
+            gate(collect_results(evaluate(batch.drop("_bg_day"), spec.rules)))
+            days = sorted(r[0] for r in batch.select("_bg_day").distinct().collect())
+            for day in days:
+                enriched = (with_metadata(batch.filter(F.col("_bg_day") == F.lit(day)), batch_id,
+                                          str(day), source_name).drop("_bg_day"))
+                merge_into(spark, enriched, spec.master, spec.keys, buckets=spec.buckets)
+        finally:
+            batch.unpersist()
 
     writer = (stream.writeStream.foreachBatch(load_batch)
               .option("checkpointLocation", checkpoint or scratch_path(spark, "stream", spec.name)))
