@@ -93,18 +93,42 @@ def _align(df: DataFrame, target_cols: list[str], action: str) -> DataFrame:
                      F.lit(action).alias(ACTION))
 
 
+def measure(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of a frame in one pass: rows x fixed widths + actual text bytes."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema.fields
+             if f.dataType.typeName() in ("string", "binary")]
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 (F.sum(sum(texts[1:], texts[0])) if texts else F.lit(0)).alias("b")).collect()[0]
+    rows = int(row["n"] or 0)
+    return rows, rows * row_width(df.schema) + int(row["b"] or 0)
+
+
+def choose_strategy(batch: DataFrame, batch_bytes: int | None = None,
+                    max_broadcast_bytes: int = 64 << 20) -> str:
+    """``broadcast`` only for a batch whose measured size is within the limit."""
+    if batch_bytes is None:
+        batch_bytes = measure(batch)[1]
+    return "broadcast" if batch_bytes <= max_broadcast_bytes else "shuffle"
+
+
 def merge_frames(target: DataFrame, batch: DataFrame, keys: list[str] | str,
                  as_of: dt.datetime | str | None = None, *, strategy: str = "shuffle",
-                 insert_only_keys: DataFrame | None = None, with_action: bool = False) -> DataFrame:
+                 insert_only_keys: DataFrame | None = None, with_action: bool = False,
+                 batch_bytes: int | None = None, max_broadcast_bytes: int = 64 << 20) -> DataFrame:
     """The merged table as a DataFrame (target's column order).
 
-    ``insert_only_keys``: keys known to have no target row (checked by the
-    caller); their batch rows skip the join. ``with_action`` adds ``_action``
-    in {insert, update, keep}.
+    ``strategy``: ``shuffle``, or ``broadcast`` / ``auto`` which broadcast the
+    batch only when its size (``batch_bytes`` if known, else measured by one
+    aggregate over the batch) is at most ``max_broadcast_bytes``, and fall
+    back to the shuffle plan otherwise. ``insert_only_keys``: keys known to
+    have no target row (checked by the caller); their batch rows skip the
+    join. ``with_action`` adds ``_action`` in {insert, update, keep}.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if strategy not in ("shuffle", "broadcast"):
+    if strategy not in ("shuffle", "broadcast", "auto"):
         raise ValueError(f"Unknown merge strategy {strategy!r}")
+    if strategy != "shuffle":
+        strategy = choose_strategy(batch, batch_bytes, max_broadcast_bytes)
     target_cols = [c for c in target.columns if c not in (_M, _R)]
     missing = [c for c in target_cols if c not in batch.columns and c != BUCKET]
     if missing:
@@ -227,9 +251,8 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
     Table formats with row-level DML use their MERGE. Otherwise the bucketed
     layout described in the module docstring is used (created on first use).
     The broadcast plan is used only when the batch is proven small:
-    ``batch_bytes`` (measured while landing) or, if not given, ``batch_rows``
-    times the schema's default row width, at most ``max_broadcast_bytes``.
-    Otherwise the shuffle plan.
+    ``batch_bytes`` (measured while landing) or, if not given, measured by
+    one aggregate, at most ``max_broadcast_bytes``. Otherwise the shuffle plan.
     """
     ref = TableRef.of(target)
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -248,8 +271,8 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
         _write_new(out, ref)
         return _counters(metrics)
 
-    if batch_rows is None:
-        batch_rows = staged.count()
+    if batch_rows is None or batch_bytes is None:
+        batch_rows, batch_bytes = measure(staged)
     touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())  # <= buckets values
     current = ref.read(spark).filter(F.col(BUCKET).isin(touched))
     counts = key_counts(staged, keys)
@@ -257,11 +280,9 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
     if check_duplicates:
         check_duplicate_matches(current, staged, keys, counts)
         hot = heavy_keys(counts, batch_rows, min_rows=hot_key_rows)
-    if batch_bytes is None:
-        batch_bytes = batch_rows * row_width(staged.schema, text_bytes=64)
-    strategy = "broadcast" if batch_bytes <= max_broadcast_bytes else "shuffle"
-    merged = merge_frames(current, staged, keys, as_of, strategy=strategy,
-                          insert_only_keys=hot, with_action=True)
+    merged = merge_frames(current, staged, keys, as_of, strategy="auto", insert_only_keys=hot,
+                          with_action=True, batch_bytes=batch_bytes,
+                          max_broadcast_bytes=max_broadcast_bytes)
     out = merged.observe(metrics, *observed_terms).drop(ACTION)
     _overwrite_buckets(spark, out, ref)
     return _counters(metrics)
