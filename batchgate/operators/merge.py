@@ -183,6 +183,22 @@ def key_counts(batch: DataFrame, keys: list[str]) -> DataFrame:
                  .agg(F.count(F.lit(1)).alias("_bg_n")))
 
 
+def dedupe_latest(batch: DataFrame, keys: list[str], order_by: list[str] | str) -> DataFrame:
+    """One row per non-NULL key: the row with the greatest ``order_by`` values.
+
+    Ties are broken by the remaining columns, so the pick is deterministic.
+    ``max_by`` is a partial aggregate: a key with a third of the batch is
+    reduced map-side. NULL-key rows never match and are all kept.
+    """
+    order_by = [order_by] if isinstance(order_by, str) else list(order_by)
+    cols = batch.columns
+    rank = F.struct(*[F.col(c) for c in order_by + [c for c in cols if c not in order_by]])
+    keyed = (batch.filter(~any_null(keys)).groupBy(*keys)
+                  .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), rank).alias("_bg_row"))
+                  .select("_bg_row.*"))
+    return keyed.unionByName(batch.filter(any_null(keys)))
+
+
 def check_duplicate_matches(target: DataFrame, batch: DataFrame, keys: list[str],
                             counts: DataFrame | None = None) -> None:
     """Raise when a key repeated in the batch also has a target row."""
@@ -245,7 +261,7 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
                keys: list[str] | str, as_of: dt.datetime | str | None = None, *,
                buckets: int = 64, batch_rows: int | None = None, batch_bytes: int | None = None,
                max_broadcast_bytes: int = 64 << 20, check_duplicates: bool = True,
-               hot_key_rows: int = 10000) -> dict:
+               hot_key_rows: int = 10000, dedupe_by: list[str] | str | None = None) -> dict:
     """Merge ``batch`` into a stored table; returns the merge counters.
 
     Table formats with row-level DML use their MERGE. Otherwise the bucketed
@@ -256,6 +272,9 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
     """
     ref = TableRef.of(target)
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if dedupe_by:
+        batch = dedupe_latest(batch, keys, dedupe_by)
+        batch_rows = batch_bytes = None
     if ref.supports_row_level_dml() and ref.exists(spark):
         return _merge_with_table_format(batch, ref, keys, as_of)
 

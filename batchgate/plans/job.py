@@ -22,6 +22,7 @@ import logging
 from typing import Any
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
@@ -31,7 +32,7 @@ from ..operators.quality import collect_results, evaluate, gate
 from ..session import TableRef, scratch_path
 from ..sources.files import CORRUPT, land, read_source
 from ..spec import JobSpec, parse_business_date
-from .runs import FAILED, SUCCEEDED, finish, new_run, record_event
+from .runs import FAILED, SUCCEEDED, finish, latest_runs, new_run, record_event
 from .sinks import append_table, write_target
 
 log = logging.getLogger(__name__)
@@ -47,21 +48,39 @@ def source_schema(spark: SparkSession, spec: JobSpec) -> T.StructType:
     raise ValueError(f"No schema for source of job '{spec.name}': raw table not found")
 
 
+def already_loaded(spark: SparkSession, control: TableRef | dict | str, job_name: str,
+                   business_date: str, batch_id: int) -> bool:
+    """True when the control table has a SUCCEEDED run for this batch."""
+    ref = TableRef.of(control)
+    if not ref.exists(spark):
+        return False
+    events = ref.read(spark).filter(
+        (F.col("job_name") == job_name) & (F.col("batch_id") == batch_id)
+        & (F.col("business_date") == F.lit(business_date).cast("timestamp")))
+    return bool(latest_runs(events).filter(F.col("run_status") == SUCCEEDED).limit(1).collect())
+
+
 def run_job(spark: SparkSession, config: dict, batch_details: dict, *,
             schema: T.StructType | None = None, control: TableRef | dict | str | None = None,
             as_of: dt.datetime | str | None = None, job_run_id: int | None = None,
             landing_path: str | None = None,
-            audit: TableRef | dict | str | None = None) -> dict[str, Any]:
+            audit: TableRef | dict | str | None = None,
+            skip_if_loaded: bool = False) -> dict[str, Any]:
     """Run one load; returns the run's counters and rule results.
 
     With ``audit``, failing records are appended to that table (layout
     ``dq_failure_audit``) when any rule failed or warned -- before the gate,
     so a rejected batch leaves its evidence; a clean batch adds no rows.
+    With ``skip_if_loaded`` (and ``control``), a batch whose (job, business
+    date, batch id) already has a SUCCEEDED run is not loaded again.
     """
     spec = JobSpec.of(config)
     business_date = batch_details["business_date"]
     parse_business_date(business_date)
     source_name = batch_details.get("source_name", spec.source.name)
+    if skip_if_loaded and control is not None and already_loaded(spark, control, spec.name, business_date,
+                                                                 batch_details["batch_id"]):
+        return {"job_run_id": None, "run_status": "SKIPPED", "records_read": 0}
     run = new_run(spec.name, business_date, batch_details["batch_id"], source_name,
                   spec.run_type, job_run_id)
     if control is not None:
@@ -83,7 +102,7 @@ def run_job(spark: SparkSession, config: dict, batch_details: dict, *,
         enriched = with_metadata(staged, batch_details["batch_id"], business_date, source_name, as_of)
         merged = write_target(spark, enriched, spec.write_mode, spec.master, spec.raw, spec.keys,
                               as_of=as_of, buckets=spec.buckets, batch_rows=records_read,
-                              batch_bytes=landed["bytes"])
+                              batch_bytes=landed["bytes"], dedupe_by=spec.dedupe_by)
         done = finish(run, SUCCEEDED, records_read=records_read, records_valid=records_valid,
                       records_invalid=0, **merged)
         if control is not None:

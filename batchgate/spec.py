@@ -105,6 +105,7 @@ class JobSpec:
     keys: list[str]
     rules: list[dict] = field(default_factory=list)
     buckets: int = 64
+    dedupe_by: list[str] = field(default_factory=list)
 
     @classmethod
     def of(cls, config: dict) -> "JobSpec":
@@ -127,4 +128,5 @@ class JobSpec:
             keys=keys,
             rules=normalize_rules(config.get("validation")),
             buckets=int(write.get("buckets", 64)),
+            dedupe_by=normalize_keys(write.get("dedupe_by")),
         )

@@ -105,3 +105,16 @@ def test_registry_and_table_provisioning(spark):
     made = S.create_tables(spark, database_prefix="bgtest_", tables=["raw.crm_accounts", "control.dq_rules"])
     assert made == ["bgtest_raw.crm_accounts", "bgtest_control.dq_rules"]
     assert spark.table("bgtest_raw.crm_accounts").columns[-6:] == S.METADATA_COLUMNS
+
+
+def test_skip_if_loaded(spark, tmp_dir):
+    base, root = f"{tmp_dir}/landing", f"{tmp_dir}/tables"
+    write_text(spark, f"{base}/crm_customers_08-08-2026.csv", CSV)
+    cfg = config(base, root)
+    control = TableRef(path=f"{tmp_dir}/control")
+    schema = S.entity_schema("crm_customers", with_metadata=False)
+    details = {"business_date": "2026-08-08", "batch_id": 1, "source_name": "crm"}
+    assert job.run_job(spark, cfg, details, schema=schema, control=control)["run_status"] == "SUCCEEDED"
+    again = job.run_job(spark, cfg, details, schema=schema, control=control, skip_if_loaded=True)
+    assert again["run_status"] == "SKIPPED"
+    assert spark.read.parquet(f"{root}/bronze").agg(F.max("record_version")).collect()[0][0] == 1

@@ -91,3 +91,16 @@ def test_bucketed_merge_rewrites_only_touched_buckets(spark, tmp_dir):
     data = spark.read.parquet(tmp_dir)
     assert data.count() == 201
     assert data.filter("k = 'k7'").select("v", "record_version").collect()[0].asDict() == {"v": 700, "record_version": 2}
+
+
+def test_dedupe_latest_keeps_one_row_per_key(spark, tmp_dir):
+    b = spark.createDataFrame([("a", 1, 5), ("a", 2, 9), ("b", 3, 1), (None, 4, 1), (None, 5, 1)],
+                              "k string, v long, ts long")
+    got = sorted(((r["k"], r["v"]) for r in merge.dedupe_latest(b, ["k"], "ts").collect()), key=str)
+    assert got == sorted([("a", 2), ("b", 3), (None, 4), (None, 5)], key=str)
+    t, _ = frames(spark, [("a", 1)], [])
+    target = TableRef(path=tmp_dir)
+    merge.merge_into(spark, t.withColumn("ts", F.lit(0).cast("long")), target, ["k"], buckets=4)
+    batch = with_metadata(b, 2, "2026-08-09", "crm", AS_OF)
+    counters = merge.merge_into(spark, batch, target, ["k"], AS_OF, buckets=4, dedupe_by="ts")
+    assert counters == {"records_inserted": 3, "records_updated": 1, "records_merged": 4}
