@@ -482,6 +482,16 @@ def q_merge_twice(spark, d):
     return _ntz(merge.merge_frames(once, b, ["o_orderkey"], "2026-08-10 06:00:00"))
 
 
+def q_merge_dedupe(spark, d):
+    """A batch holding two versions of recent orders; the later one wins."""
+    t, b = _merge_inputs(spark, d)
+    newer = b.filter(F.col("o_orderdate") >= F.lit("1999-01-01").cast("timestamp_ntz")) \
+             .withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    batch = b.withColumn("_version", F.lit(1)).unionByName(newer.withColumn("_version", F.lit(2)))
+    return _ntz(merge.merge_frames(t, merge.dedupe_latest(batch, ["o_orderkey"], "_version"),
+                                   "o_orderkey", AS_OF_2))
+
+
 def q_merge_metrics(spark, d):
     t, b = _merge_inputs(spark, d)
     return merge.merge_metrics(merge.merge_frames(t, b, "o_orderkey", AS_OF_2, with_action=True))
@@ -631,12 +641,13 @@ _O_B_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 AS o_totalpr
 _ALL_M = _O_COLS + ", batch_id, buisness_date, source_name, record_version, ingested_at, updated_at"
 
 
-def _merge_sql(key_expr: str = "o_orderkey", as_of: str = "2026-08-09 06:00:00") -> str:
+def _merge_sql(key_expr: str = "o_orderkey", as_of: str = "2026-08-09 06:00:00",
+               b_cols: str = _O_B_COLS) -> str:
     src = f"(SELECT {key_expr} AS o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders)"
     upd_cols = ", ".join(f"b.{c}" for c in _O_COLS.split(", "))
     return (
         f"WITH t AS (SELECT {_O_COLS}, {_META_T} FROM {src} WHERE o_orderdate < TIMESTAMP '1999-01-01'), "
-        f"b AS (SELECT {_O_B_COLS}, {_META_B} FROM {src} WHERE o_orderdate >= TIMESTAMP '1998-01-01') "
+        f"b AS (SELECT {b_cols}, {_META_B} FROM {src} WHERE o_orderdate >= TIMESTAMP '1998-01-01') "
         f"SELECT {_ALL_M}, 'keep' AS _action FROM t WHERE o_orderkey IS NULL OR NOT EXISTS "
         f"(SELECT 1 FROM b WHERE b.o_orderkey = t.o_orderkey) "
         f"UNION ALL SELECT {_ALL_M}, 'insert' AS _action FROM b WHERE o_orderkey IS NULL OR NOT EXISTS "
@@ -837,6 +848,9 @@ def oracle_sql() -> dict[str, str]:
             f"UNION ALL SELECT {', '.join('b.' + c for c in _O_COLS.split(', '))}, b.batch_id, b.buisness_date, "
             f"b.source_name, once.record_version + b.record_version AS record_version, b.ingested_at, "
             f"TIMESTAMP '2026-08-10 06:00:00' AS updated_at FROM once JOIN b ON once.o_orderkey = b.o_orderkey"),
+        "merge_dedupe": _no_action(_merge_sql(b_cols=(
+            "o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderdate >= TIMESTAMP '1999-01-01' "
+            "THEN (o_totalprice + 1) + 1 ELSE o_totalprice + 1 END AS o_totalprice, o_orderdate, o_orderpriority"))),
         "merge_metrics": ("SELECT count(*) FILTER (WHERE _action = 'insert') AS records_inserted, "
                           "count(*) FILTER (WHERE _action = 'update') AS records_updated, "
                           "count(*) FILTER (WHERE _action <> 'keep') AS records_merged, "

@@ -26,7 +26,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return v if os.environ.get("ORACLE_EXACT") else round(v, 6)
     if isinstance(v, decimal.Decimal):
         return round(float(v), 6)
     if isinstance(v, dt.datetime):
@@ -36,6 +36,16 @@ def norm(v):
     return v
 
 
+TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+            "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN", "smallint": "SMALLINT",
+            "float": "FLOAT", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_diffs(spark_dtypes, duck_description):
+    duck = {c[0]: str(c[1]) for c in duck_description}
+    return [(n, t, duck.get(n)) for n, t in spark_dtypes if TYPE_MAP.get(t, t) != duck.get(n)]
+
+
 def canon(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return ([cols[i] for i in order],
@@ -86,7 +96,11 @@ def main() -> int:
             bad += 1
             continue
         a, b = canon(cols, rows), canon(ocols, orows)
-        if a == b:
+        tdiff = type_diffs(df.dtypes, cur.description)
+        if a == b and tdiff:
+            bad += 1
+            print(f"TYPES  {name}: {tdiff}")
+        elif a == b:
             print(f"OK     {name}: {len(rows)} rows {secs:.1f}s")
         else:
             bad += 1
