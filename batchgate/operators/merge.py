@@ -36,6 +36,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -239,6 +240,32 @@ def _clustered(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", BUCKET)
 
 
+def _read_buckets(spark: SparkSession, ref: TableRef, touched: list[int]) -> DataFrame | None:
+    """Rows of the touched buckets only; None when the table does not exist.
+
+    A path table is read through a glob of the touched bucket folders with
+    ``basePath``, so only those folders are listed (a full read would list
+    every bucket before pruning). A catalog table prunes by its partitions.
+    """
+    if ref.name:
+        if not spark.catalog.tableExists(ref.name):
+            return None
+        return spark.table(ref.name).filter(F.col(BUCKET).isin(touched))
+    reader = spark.read.format(ref.format).option("basePath", ref.path)
+    if touched:
+        names = ",".join(str(b) for b in touched)
+        glob = f"{ref.path}/{BUCKET}={{{names}}}" if len(touched) > 1 else f"{ref.path}/{BUCKET}={names}"
+        try:
+            return reader.load(glob)
+        except AnalysisException:
+            pass                                   # none of these buckets exists yet
+    try:
+        whole = spark.read.format(ref.format).load(ref.path)
+    except AnalysisException:
+        return None
+    return whole.filter(F.lit(False))
+
+
 def _write_new(df: DataFrame, ref: TableRef) -> None:
     w = _clustered(df).write.format(ref.format).partitionBy(BUCKET).mode("overwrite")
     if ref.name:
@@ -285,15 +312,15 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
     observed_terms = [F.count_if(a == INSERT).alias("records_inserted"),
                       F.count_if(a == UPDATE).alias("records_updated")]
 
-    if not ref.exists(spark):
+    touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())  # <= buckets values
+    current = _read_buckets(spark, ref, touched)
+    if current is None:
         out = staged.withColumn(ACTION, F.lit(INSERT)).observe(metrics, *observed_terms).drop(ACTION)
         _write_new(out, ref)
         return _counters(metrics)
 
     if batch_rows is None or batch_bytes is None:
         batch_rows, batch_bytes = measure(staged)
-    touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())  # <= buckets values
-    current = ref.read(spark).filter(F.col(BUCKET).isin(touched))
     counts = key_counts(staged, keys)
     hot = None
     if check_duplicates:

@@ -104,3 +104,17 @@ def test_dedupe_latest_keeps_one_row_per_key(spark, tmp_dir):
     batch = with_metadata(b, 2, "2026-08-09", "crm", AS_OF)
     counters = merge.merge_into(spark, batch, target, ["k"], AS_OF, buckets=4, dedupe_by="ts")
     assert counters == {"records_inserted": 3, "records_updated": 1, "records_merged": 4}
+
+
+def test_merge_into_bucket_not_yet_present(spark, tmp_dir):
+    t, _ = frames(spark, [("a", 1)], [])
+    target = TableRef(path=tmp_dir)
+    merge.merge_into(spark, t, target, ["k"], buckets=64)
+    present = {r[0] for r in t.select(merge.bucket_expr(["k"], 64, t.columns)).collect()}
+    cand = spark.createDataFrame([(f"n{i}", i) for i in range(200)], SCHEMA)
+    cand = cand.withColumn("_b", merge.bucket_expr(["k"], 64, ["k", "v"]))
+    new_key = cand.filter(~F.col("_b").isin(list(present))).first()["k"]
+    _, b = frames(spark, [], [(new_key, 5)])
+    counters = merge.merge_into(spark, b, target, ["k"], AS_OF, buckets=64)
+    assert counters["records_inserted"] == 1
+    assert spark.read.parquet(tmp_dir).count() == 2
