@@ -277,8 +277,16 @@ def _write_new(df: DataFrame, ref: TableRef) -> None:
 def _overwrite_buckets(spark: SparkSession, df: DataFrame, ref: TableRef) -> None:
     df = _clustered(df)
     if ref.name:
+        # A catalog insert takes the overwrite mode from the session only;
+        # set it for this statement and restore it.
         cols = spark.table(ref.name).columns
-        df.select(*cols).write.option("partitionOverwriteMode", "dynamic").insertInto(ref.name, overwrite=True)
+        key = "spark.sql.sources.partitionOverwriteMode"
+        previous = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            df.select(*cols).write.insertInto(ref.name, overwrite=True)
+        finally:
+            spark.conf.set(key, previous)
     else:
         (df.write.format(ref.format).partitionBy(BUCKET).mode("overwrite")
            .option("partitionOverwriteMode", "dynamic").save(ref.path))

@@ -118,3 +118,16 @@ def test_skip_if_loaded(spark, tmp_dir):
     again = job.run_job(spark, cfg, details, schema=schema, control=control, skip_if_loaded=True)
     assert again["run_status"] == "SKIPPED"
     assert spark.read.parquet(f"{root}/bronze").agg(F.max("record_version")).collect()[0][0] == 1
+
+
+def test_run_events_in_a_catalog_table(spark):
+    from batchgate.session import scratch_database
+    name = f"{scratch_database(spark)}.job_run_control"
+    run = runs.new_run("accounts", "2026-08-08", 4, "crm", "load", job_run_id=11)
+    runs.record_event(spark, name, run)
+    runs.record_event(spark, name, runs.finish(run, runs.SUCCEEDED, records_read=3, records_valid=3,
+                                               records_invalid=0))
+    got = runs.latest_runs(spark.table(name)).collect()
+    assert [(r["job_run_id"], r["run_status"], r["records_read"]) for r in got] == [(11, "SUCCEEDED", 3)]
+    assert job.already_loaded(spark, name, "accounts", "2026-08-08", 4)
+    assert not job.already_loaded(spark, name, "accounts", "2026-08-09", 4)

@@ -118,3 +118,15 @@ def test_merge_into_bucket_not_yet_present(spark, tmp_dir):
     counters = merge.merge_into(spark, b, target, ["k"], AS_OF, buckets=64)
     assert counters["records_inserted"] == 1
     assert spark.read.parquet(tmp_dir).count() == 2
+
+
+def test_bucketed_merge_into_catalog_table(spark):
+    from batchgate.session import scratch_database
+    db = scratch_database(spark)
+    name = f"{db}.bronze_k"
+    t, b = frames(spark, [("a", 1), ("b", 2), ("c", 3)], [("a", 10), ("d", 40)])
+    merge.merge_into(spark, t, name, ["k"], buckets=8)
+    counters = merge.merge_into(spark, b, name, ["k"], AS_OF, buckets=8)
+    assert counters == {"records_inserted": 1, "records_updated": 1, "records_merged": 2}
+    got = {r["k"]: (r["v"], r["record_version"]) for r in spark.table(name).collect()}
+    assert got == {"a": (10, 2), "b": (2, 1), "c": (3, 1), "d": (40, 1)}
