@@ -131,3 +131,31 @@ def test_run_events_in_a_catalog_table(spark):
     assert [(r["job_run_id"], r["run_status"], r["records_read"]) for r in got] == [(11, "SUCCEEDED", 3)]
     assert job.already_loaded(spark, name, "accounts", "2026-08-08", 4)
     assert not job.already_loaded(spark, name, "accounts", "2026-08-09", 4)
+
+
+def test_source_text_is_parsed_once(spark, tmp_dir, monkeypatch):
+    """After landing, the CSV drop is moved away: every later pass (rules,
+    metadata, raw overwrite, merge) must run from the landed copy."""
+    import shutil
+    base, root = f"{tmp_dir}/landing", f"{tmp_dir}/tables"
+    write_text(spark, f"{base}/crm_customers_08-08-2026.csv", CSV)
+    real_land = job.land
+    calls = []
+
+    def land_then_hide(df, path, *a, **k):
+        out = real_land(df, path, *a, **k)
+        local = base.removeprefix("file:")
+        shutil.move(local, local + "-gone")
+        calls.append(path)
+        return out
+
+    monkeypatch.setattr(job, "land", land_then_hide)
+    cfg = config(base, root)
+    cfg["validation"] = {"rules": [{"name": "non_nullable", "columns": ["customer_id", "phone"]},
+                                   {"name": "unique_key", "columns": ["customer_id"]},
+                                   {"name": "length", "column": "phone", "min": 10, "max": 10},
+                                   {"name": "numeric_only", "column": "phone"},
+                                   {"name": "row_count", "min": 1}]}
+    out = job.run_job(spark, cfg, {"business_date": "2026-08-08", "batch_id": 1, "source_name": "crm"},
+                      schema=S.entity_schema("crm_customers", with_metadata=False))
+    assert len(calls) == 1 and out["run_status"] == "SUCCEEDED" and out["records_inserted"] == 2
