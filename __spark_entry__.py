@@ -22,7 +22,6 @@ from batchgate.operators.rule_table import rules_from_table
 from batchgate.plans import job, runs, sinks
 from batchgate.session import TableRef, scratch_database, scratch_path
 from batchgate.sources import files, tables
-from batchgate.spec import SourceSpec
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF_1 = "2026-08-08 06:00:00"
