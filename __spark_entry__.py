@@ -144,7 +144,7 @@ def _orders_drops(spark, d) -> tuple[dict, T.StructType]:
     drop = F.concat(F.lit("orders_"), F.date_format("o_orderdate", "dd-MM-yyyy"), F.lit(".csv"))
     # An explicit partition count: AQE would otherwise coalesce the small
     # shuffle into one task writing every daily folder in turn.
-    parts = max(8, spark.sparkContext.defaultParallelism)
+    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
     (orders.withColumn("_drop", drop).repartition(parts, "_drop").write
            .option("header", True).option("timestampNTZFormat", "yyyy/MM/dd HH:mm:ss")
            .partitionBy("_drop").csv(base))

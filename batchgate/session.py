@@ -17,16 +17,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session, set up only if unset."""
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:            # a remote (Connect) session has no SparkContext
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if root:
         return root.rstrip("/")
     conf = spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
+    if conf and sc is not None:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir().rstrip("/")
+    if conf:
+        return conf.rstrip("/")
     # Unset: a local session (tests). Pick a private folder once.
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="batchgate-ckpt-"))
+    local = tempfile.mkdtemp(prefix="batchgate-ckpt-")
+    if sc is None:
+        spark.conf.set("spark.checkpoint.dir", local)
+        return local
+    sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")
 
 
