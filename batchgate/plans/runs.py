@@ -89,14 +89,25 @@ def record_event(spark: SparkSession, control: TableRef | dict | str, event: dic
     frame = events_frame(spark, [event])
     if ref.supports_row_level_dml():
         frame = frame.drop(EVENT_SEQ)
+    elif ref.exists(spark):
+        # A table provisioned from the control DDL has no event_seq column.
+        frame = frame.select(*[c for c in frame.columns if c in set(ref.read(spark).columns)])
     append_table(frame, ref)
 
 
 def latest_runs(events: DataFrame, run_id: str = "job_run_id",
-                order: tuple[str, ...] = ("updated_at", EVENT_SEQ)) -> DataFrame:
-    """Latest event per run (the control view), by the ``order`` columns."""
+                order: tuple[str, ...] | None = None) -> DataFrame:
+    """Latest event per run (the control view), by the ``order`` columns.
+
+    Default order: ``updated_at``, then ``event_seq`` when the table has it,
+    else the status (a final status after RUNNING at the same instant).
+    """
     cols = events.columns
+    if order is None:
+        tie = F.col(EVENT_SEQ) if EVENT_SEQ in cols else (F.col("run_status") != RUNNING).cast("int")
+        order_cols = [F.col("updated_at"), tie]
+    else:
+        order_cols = [F.col(c) for c in order]
     return (events.groupBy(run_id)
-                  .agg(F.max_by(F.struct(*[F.col(c) for c in cols]),
-                                F.struct(*[F.col(c) for c in order])).alias("_s"))
+                  .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*order_cols)).alias("_s"))
                   .select("_s.*"))

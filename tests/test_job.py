@@ -176,3 +176,13 @@ def test_entity_job_configs(spark, tmp_dir):
     from batchgate.__main__ import main
     assert main(["customers", "2026-08-08", "1", "crm", "--landing", base, "--tables", f"{tmp_dir}/t"]) == 0
     assert spark.read.parquet(f"{tmp_dir}/t/bronze/crm_customers").count() == 2
+
+
+def test_run_events_in_the_ddl_control_table(spark):
+    made = S.create_tables(spark, database_prefix="bgddl_", tables=["control.job_run_control"])
+    name = made[0]
+    run = runs.new_run("leads", "2026-08-08", 2, "crm", "load", job_run_id=21)
+    runs.record_event(spark, name, run)
+    runs.record_event(spark, name, runs.finish(run, runs.FAILED, error_summary="boom", now=run["started_at"]))
+    got = runs.latest_runs(spark.table(name)).collect()
+    assert [(r["job_run_id"], r["run_status"], r["error_summary"]) for r in got] == [(21, "FAILED", "boom")]
