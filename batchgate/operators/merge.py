@@ -218,8 +218,11 @@ def heavy_keys(counts: DataFrame, batch_rows: int, max_keys: int = 10000,
     At most ``batch_rows / T <= max_keys`` keys can pass, so the result has a
     proven size bound and may be broadcast.
     """
-    threshold = max(min_rows, -(-batch_rows // max_keys))
-    return counts.filter(F.col("_bg_n") > threshold).drop("_bg_n")
+    return counts.filter(F.col("_bg_n") > hot_threshold(batch_rows, max_keys, min_rows)).drop("_bg_n")
+
+
+def hot_threshold(batch_rows: int, max_keys: int = 10000, min_rows: int = 10000) -> int:
+    return max(min_rows, -(-batch_rows // max_keys))
 
 
 def bucket_expr(keys: list[str], buckets: int, all_columns: list[str]) -> Column:
@@ -332,8 +335,14 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
     counts = key_counts(staged, keys)
     hot = None
     if check_duplicates:
-        check_duplicate_matches(current, staged, keys, counts)
-        hot = heavy_keys(counts, batch_rows, min_rows=hot_key_rows)
+        # One small aggregate first: when no batch key repeats (the usual
+        # case) neither the conflict join against the target keys nor the
+        # hot-key route is needed.
+        top = counts.agg(F.max("_bg_n")).first()[0] or 0
+        if top > 1:
+            check_duplicate_matches(current, staged, keys, counts)
+            if top > hot_threshold(batch_rows, min_rows=hot_key_rows):
+                hot = heavy_keys(counts, batch_rows, min_rows=hot_key_rows)
     merged = merge_frames(current, staged, keys, as_of, strategy="auto", insert_only_keys=hot,
                           with_action=True, batch_bytes=batch_bytes,
                           max_broadcast_bytes=max_broadcast_bytes)

@@ -215,4 +215,5 @@ def land(df: DataFrame, path: str, fmt: str = "parquet") -> tuple[DataFrame, dic
     counters = {k: int(v or 0) for k, v in obs.get.items()}
     width = row_width(T.StructType([f for f in df.schema.fields if f.name != CORRUPT]))
     counters["bytes"] = counters.pop("text_bytes") + counters["rows"] * width
-    return df.sparkSession.read.format(fmt).load(path), counters
+    # Read back under the known schema: no footer inference on the driver.
+    return df.sparkSession.read.format(fmt).schema(df.schema).load(path), counters
