@@ -1,7 +1,7 @@
 """Column builders: row predicates and projections."""
 
 from .columns import (as_of_column, drop_columns, drop_metadata, parse_timestamp,
-                      prepared_projection, with_metadata)
+                      prepared_projection, project_to_schema, with_metadata)
 from .predicates import (DIGITS_ONLY, any_null, any_true, check_violated, is_null,
                          length_outside, not_digits, not_in, not_null, null_safe,
                          outside_range)
@@ -9,5 +9,6 @@ from .predicates import (DIGITS_ONLY, any_null, any_true, check_violated, is_nul
 __all__ = [
     "DIGITS_ONLY", "any_null", "any_true", "as_of_column", "check_violated", "drop_columns",
     "drop_metadata", "is_null", "length_outside", "not_digits", "not_in", "not_null",
-    "null_safe", "outside_range", "parse_timestamp", "prepared_projection", "with_metadata",
+    "null_safe", "outside_range", "parse_timestamp", "prepared_projection", "project_to_schema",
+    "with_metadata",
 ]

@@ -7,6 +7,7 @@ from typing import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 
@@ -69,3 +70,16 @@ def prepared_projection(df: DataFrame, columns: list[str], casts: dict[str, str]
             col = F.coalesce(col, F.raise_error(F.lit(f"NOT NULL constraint violated: {name}")))
         out.append(col.alias(name))
     return df.select(*out)
+
+
+def project_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Project onto a declared schema: by name, ``try_cast`` to each type, NULL
+    for columns the frame lacks, NOT NULL fields enforced in the plan."""
+    present = set(df.columns)
+    out = []
+    for f in schema.fields:
+        col = F.col(f.name).try_cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)
+        if not f.nullable:
+            col = F.coalesce(col, F.raise_error(F.lit(f"NOT NULL constraint violated: {f.name}")))
+        out.append(col.alias(f.name))
+    return df.select(*out)
