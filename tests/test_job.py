@@ -186,3 +186,23 @@ def test_run_events_in_the_ddl_control_table(spark):
     runs.record_event(spark, name, runs.finish(run, runs.FAILED, error_summary="boom", now=run["started_at"]))
     got = runs.latest_runs(spark.table(name)).collect()
     assert [(r["job_run_id"], r["run_status"], r["error_summary"]) for r in got] == [(21, "FAILED", "boom")]
+
+
+def test_write_failure_is_recorded(spark, tmp_dir):
+    """The gate passes, then the merge refuses the batch (the existing master
+    has a column the batch lacks): the run is FAILED with its counters."""
+    base, root = f"{tmp_dir}/landing", f"{tmp_dir}/tables"
+    write_text(spark, f"{base}/crm_customers_08-08-2026.csv", CSV)
+    cfg = config(base, root)
+    schema = S.entity_schema("crm_customers", with_metadata=False)
+    from batchgate.functions.columns import with_metadata
+    from batchgate.operators import merge
+    seed = with_metadata(spark.createDataFrame([("C9", "x")], "customer_id string, extra string"), 0, "2026-08-01", "crm")
+    merge.merge_into(spark, seed, TableRef(path=f"{root}/bronze"), ["customer_id"], buckets=4)
+    control = TableRef(path=f"{tmp_dir}/control")
+    with pytest.raises(ValueError, match="lacks target columns"):
+        job.run_job(spark, cfg, {"business_date": "2026-08-08", "batch_id": 1, "source_name": "crm"},
+                    schema=schema, control=control, job_run_id=31)
+    r = runs.latest_runs(spark.read.parquet(control.path)).collect()[0]
+    assert (r["run_status"], r["records_read"], r["records_valid"], r["records_invalid"]) == ("FAILED", 2, 2, 0)
+    assert "lacks target columns" in r["error_summary"]
