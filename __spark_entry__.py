@@ -125,6 +125,25 @@ def q_scan_catalog_schema(spark, d):
     return files.scan_csv(spark, path, tables.table_schema(spark, raw), {"header": True})
 
 
+def q_scan_csv_by_name(spark, d):
+    """A drop whose header lists the columns in another order, bound by name."""
+    cust = _t(spark, d, "customer")
+    path = scratch_path(spark, "csv", "customer_reordered")
+    _write_csv(cust.select(*reversed(cust.columns)), path)
+    return files.scan_csv(spark, path, cust.schema, {"header": True, "binding": "name"})
+
+
+def q_scan_csv_corrupt(spark, d):
+    """Unparseable balances (text 'n/a' for segment BUILDING) become NULL and
+    the raw line is kept in _corrupt_record."""
+    cust = _t(spark, d, "customer")
+    path = scratch_path(spark, "csv", "customer_corrupt")
+    text = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("n/a")).otherwise(F.col("c_acctbal").cast("string"))
+    _write_csv(cust.withColumn("c_acctbal", text), path)
+    parsed = files.scan_csv(spark, path, cust.schema, {"header": True}, corrupt=True)
+    return parsed.select(*cust.columns, F.col(files.CORRUPT).isNotNull().alias("corrupt"))
+
+
 def q_scan_table(spark, d):
     db = scratch_database(spark)
     name = f"{db}.customer_copy"
@@ -353,6 +372,14 @@ def q_rule_column_block(spark, d):
     return _results(_customer_codes(spark, d), validation)
 
 
+def q_rule_job_dialect(spark, d):
+    """Job-config rules: a failure is FAIL whatever the severity; column blocks apply."""
+    validation = {"non_nullable": {"columns": ["c_mktsegment", "c_name"], "severity": "WARN"},
+                  "rules": {"c_code": {"min_length": 9, "max_length": 9, "numeric_only": True}}}
+    df = _customer_codes(spark, d).withColumn("c_mktsegment", F.expr("nullif(c_mktsegment, 'BUILDING')"))
+    return _results(df, validation)
+
+
 def q_rule_custom_expr(spark, d):
     return _results(_t(spark, d, "customer"),
                     [{"name": "expression", "expression": "c_acctbal >= -500", "severity": "WARN"}])
@@ -541,6 +568,28 @@ def _customer_job(base: str, target_root: str) -> dict:
     }
 
 
+def q_job_run_control(spark, d):
+    """Run control after a load that succeeds and one the gate rejects."""
+    cust = _t(spark, d, "customer")
+    base = scratch_path(spark, "drops", "crm")
+    _write_csv(cust, f"{base}/crm_customer_08-08-2026.csv")
+    _write_csv(cust.withColumn("c_name", F.when(F.col("c_mktsegment") == "BUILDING", F.lit(None))
+                               .otherwise(F.col("c_name"))), f"{base}/crm_customer_09-08-2026.csv")
+    cfg = _customer_job(base, scratch_path(spark, "tables", "customers"))
+    control = TableRef(path=scratch_path(spark, "tables", "job_run_control"))
+    job.run_job(spark, cfg, {"business_date": "2026-08-08", "batch_id": 1, "source_name": "crm"},
+                schema=cust.schema, as_of=AS_OF_1, control=control, job_run_id=1)
+    try:
+        job.run_job(spark, cfg, {"business_date": "2026-08-09", "batch_id": 2, "source_name": "crm"},
+                    schema=cust.schema, as_of=AS_OF_2, control=control, job_run_id=2)
+    except quality.ValidationError:
+        pass
+    latest = runs.latest_runs(tables.scan_table(spark, control))
+    return _ntz(latest.select("job_run_id", "job_name", "source_name", "business_date", "batch_id", "run_status",
+                              "run_type", "records_read", "records_valid", "records_invalid", "records_inserted",
+                              "records_updated", "records_merged", "retry_count"))
+
+
 def q_job_bronze_load(spark, d):
     cust = _t(spark, d, "customer")
     base = scratch_path(spark, "drops", "crm")
@@ -861,6 +910,28 @@ def oracle_sql() -> dict[str, str]:
                              "count(*) - count(*) FILTER (WHERE event_type = 'error') AS records_valid, "
                              "count(*) FILTER (WHERE event_type = 'error') AS records_invalid, max(ts) AS finished_at "
                              "FROM events GROUP BY user_id"),
+        "scan_csv_by_name": "SELECT * FROM customer",
+        "scan_csv_corrupt": ("SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL "
+                             "ELSE c_acctbal END AS c_acctbal, c_mktsegment, c_mktsegment = 'BUILDING' AS corrupt "
+                             "FROM customer"),
+        "rule_job_dialect": union([
+            _rule_sql("non_nullable", "WARN", "count(*)",
+                      "count(*) FILTER (WHERE c_mktsegment = 'BUILDING' OR c_name IS NULL)", _CUST_CODES),
+            _rule_sql("length", "ERROR", "count(*)",
+                      "count(*) FILTER (WHERE c_code IS NOT NULL AND (length(c_code) < 9 OR length(c_code) > 9))",
+                      _CUST_CODES),
+            _rule_sql("numeric_only", "ERROR", "count(*)",
+                      "count(*) FILTER (WHERE c_code IS NOT NULL AND NOT regexp_full_match(c_code, '[0-9]+'))",
+                      _CUST_CODES),
+        ]),
+        "job_run_control": (
+            "SELECT CAST(1 AS BIGINT) AS job_run_id, 'customers' AS job_name, 'crm' AS source_name, "
+            "TIMESTAMP '2026-08-08 00:00:00' AS business_date, CAST(1 AS BIGINT) AS batch_id, 'SUCCEEDED' AS run_status, "
+            "'load' AS run_type, count(*) AS records_read, count(*) AS records_valid, CAST(0 AS BIGINT) AS records_invalid, "
+            "count(*) AS records_inserted, CAST(0 AS BIGINT) AS records_updated, count(*) AS records_merged, "
+            "0 AS retry_count FROM customer "
+            "UNION ALL SELECT 2, 'customers', 'crm', TIMESTAMP '2026-08-09 00:00:00', 2, 'FAILED', 'load', count(*), "
+            "NULL, NULL, NULL, NULL, NULL, 0 FROM customer"),
         "job_bronze_load": ("SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment, "
                             "CAST(2 AS BIGINT) AS batch_id, TIMESTAMP '2026-08-09 00:00:00' AS buisness_date, "
                             "'crm' AS source_name, CAST(2 AS BIGINT) AS record_version, "
