@@ -380,6 +380,19 @@ def q_rule_job_dialect(spark, d):
     return _results(df, validation)
 
 
+def q_dq_messages(spark, d):
+    """Result rows with their messages (the full result contract)."""
+    rules = [
+        {"name": "non_nullable", "columns": ["c_mktsegment", "c_nationkey", "c_name"]},
+        {"name": "unique_key", "columns": ["c_nationkey"]},
+        {"name": "length", "column": "c_name", "min": 18, "max": 18},
+        {"name": "allowed_values", "column": "c_mktsegment", "values": ["AUTOMOBILE", "FURNITURE"]},
+        {"name": "range", "column": "c_acctbal", "min": 0, "max": 9000, "severity": "WARN"},
+        {"name": "row_count", "max": 1000},
+    ]
+    return quality.evaluate(_customer_nulls(spark, d), rules).select(*RESULT, "message")
+
+
 def q_rule_custom_expr(spark, d):
     return _results(_t(spark, d, "customer"),
                     [{"name": "expression", "expression": "c_acctbal >= -500", "severity": "WARN"}])
@@ -855,6 +868,37 @@ def oracle_sql() -> dict[str, str]:
                       "count(*) FILTER (WHERE c_code IS NOT NULL AND NOT regexp_full_match(c_code, '[0-9]+'))",
                       _CUST_CODES),
         ]),
+        "dq_messages": (
+            f"WITH s AS (SELECT * FROM {_CUST_NULLS}), "
+            "a AS (SELECT count(*) AS n, count(*) FILTER (WHERE c_mktsegment IS NULL) AS n_seg, "
+            "count(*) FILTER (WHERE c_nationkey IS NULL) AS n_nat, count(*) FILTER (WHERE c_name IS NULL) AS n_name, "
+            "count(*) FILTER (WHERE c_name IS NOT NULL AND length(c_name) <> 18) AS n_len, "
+            "count(*) FILTER (WHERE c_mktsegment IS NOT NULL AND c_mktsegment NOT IN ('AUTOMOBILE', 'FURNITURE')) AS n_allowed, "
+            "count(*) FILTER (WHERE c_acctbal < 0 OR c_acctbal > 9000) AS n_range FROM s), "
+            "g AS (SELECT c_nationkey, count(*) AS k FROM s GROUP BY c_nationkey), "
+            "u AS (SELECT CAST(coalesce(sum(k) FILTER (WHERE c_nationkey IS NULL), 0) AS BIGINT) AS nulls, "
+            "CAST(coalesce(sum(k - 1) FILTER (WHERE c_nationkey IS NOT NULL AND k > 1), 0) AS BIGINT) AS dups FROM g) "
+            "SELECT 'non_nullable' AS rule_name, CASE WHEN n_seg + n_nat + n_name > 0 THEN 'FAIL' ELSE 'PASS' END AS status, "
+            "'ERROR' AS severity, n AS records_checked, n_seg + n_nat + n_name AS records_failed, "
+            "CASE WHEN n_seg + n_nat + n_name > 0 THEN 'Null values found in mandatory columns: ' || concat_ws(', ', "
+            "CASE WHEN n_seg > 0 THEN 'c_mktsegment=' || n_seg END, CASE WHEN n_nat > 0 THEN 'c_nationkey=' || n_nat END, "
+            "CASE WHEN n_name > 0 THEN 'c_name=' || n_name END) "
+            "ELSE 'All mandatory columns passed null validation.' END AS message FROM a "
+            "UNION ALL SELECT 'unique_key', CASE WHEN nulls + dups > 0 THEN 'FAIL' ELSE 'PASS' END, 'ERROR', n, nulls + dups, "
+            "CASE WHEN nulls + dups > 0 THEN 'Key validation failed. null_key_records=' || nulls || ', duplicate_records=' "
+            "|| dups ELSE 'Key validation passed for columns: [''c_nationkey'']' END FROM a, u "
+            "UNION ALL SELECT 'length', CASE WHEN n_len > 0 THEN 'FAIL' ELSE 'PASS' END, 'ERROR', n, n_len, "
+            "CASE WHEN n_len > 0 THEN 'Length validation failed for ''c_name''. min=18, max=18' "
+            "ELSE 'Length validation passed for ''c_name''.' END FROM a "
+            "UNION ALL SELECT 'allowed_values', CASE WHEN n_allowed > 0 THEN 'FAIL' ELSE 'PASS' END, 'ERROR', n, n_allowed, "
+            "CASE WHEN n_allowed > 0 THEN 'Invalid values found in ''c_mktsegment''. Allowed=[''AUTOMOBILE'', ''FURNITURE'']' "
+            "ELSE 'Allowed-value validation passed for ''c_mktsegment''.' END FROM a "
+            "UNION ALL SELECT 'range', CASE WHEN n_range > 0 THEN 'WARN' ELSE 'PASS' END, 'WARN', n, n_range, "
+            "CASE WHEN n_range > 0 THEN 'Range validation failed for ''c_acctbal''. min=0, max=9000' "
+            "ELSE 'Range validation passed for ''c_acctbal''.' END FROM a "
+            "UNION ALL SELECT 'row_count', CASE WHEN n > 1000 THEN 'FAIL' ELSE 'PASS' END, 'ERROR', n, "
+            "CASE WHEN n > 1000 THEN n ELSE 0 END, CASE WHEN n > 1000 THEN 'Row count validation failed. actual=' || n "
+            "|| ', min=None, max=1000' ELSE 'Row count validation passed. actual=' || n END FROM a"),
         "rule_custom_expr": _rule_sql("expression", "WARN", "count(*)",
                                       "count(*) FILTER (WHERE NOT (c_acctbal >= -500))", "customer", "WARN"),
         "dq_results": six,
