@@ -119,9 +119,12 @@ def _file_regex(file_format: str) -> tuple[str, dict[str, int]]:
     return regex, groups
 
 
-def _date_from_path(path: Column, file_format: str) -> Column:
-    # The dated name is either the file itself or, when Spark wrote the drop,
-    # the folder holding its part files.
+def date_from_path(path: Column, file_format: str) -> Column:
+    """The business date encoded in a drop's path by ``file_format``.
+
+    The dated name is either the file itself or, when Spark wrote the drop,
+    the folder holding its part files. A path that does not match gives NULL.
+    """
     regex, groups = _file_regex(file_format.split("/")[-1])
     regex = "(?:^|/)" + regex + "(?:/[^/]*)?$"
     parts = [F.regexp_extract(path, regex, groups[t]) for t in ("{yyyy}", "{MM}", "{dd}")]
@@ -173,7 +176,7 @@ def scan_dated_files(spark: SparkSession, source: SourceSpec | dict, schema: T.S
     else:
         paths = [dated_glob(src, start, end)]
     df = scan_csv(spark, paths, schema, src)
-    day = _date_from_path(F.col("_metadata.file_path"), src.file_format)
+    day = date_from_path(F.col("_metadata.file_path"), src.file_format)
     df = df.withColumn(date_column, day)
     if start is not None:
         df = df.filter(F.col(date_column) >= F.lit(parse_business_date(start)))

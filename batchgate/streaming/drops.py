@@ -18,7 +18,7 @@ from ..functions.columns import with_metadata
 from ..operators.merge import merge_into
 from ..operators.quality import collect_results, evaluate, gate
 from ..session import scratch_path
-from ..sources.files import _date_from_path
+from ..sources.files import date_from_path
 from ..spec import JobSpec
 
 
@@ -37,7 +37,7 @@ def stream_loads(spark: SparkSession, config: dict, schema: T.StructType, source
     if src.timestamp_format:
         reader = (reader.option("timestampFormat", src.timestamp_format)
                         .option("timestampNTZFormat", src.timestamp_format))
-    day = _date_from_path(F.col("_metadata.file_path"), src.file_format)
+    day = date_from_path(F.col("_metadata.file_path"), src.file_format)
     stream = reader.load(src.path).withColumn("_bg_day", day)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:

@@ -84,3 +84,27 @@ def test_infer_schema(spark, tmp_dir):
     write_text(spark, tmp_dir, ["id,phone,created_at", "C1,9876543210,25/09/2026 09:15:00"])
     df = files.scan_csv_infer(spark, tmp_dir)
     assert dict(df.dtypes)["phone"] == "bigint"
+
+
+SAMPLE_SHAPE = [  # the sample drop's layout, own rows
+    "customer_id,customer_name,email,phone,city,created_at,source_updated_at,customer_status",
+    "K101,Lena Moor,lena@example.org,9000000001,Pune,03/02/2026 10:00:00,04/02/2026 09:30:00,ACTIVE",
+    "K102,Omar Said,omar@example.org,9000000002,Delhi,05/02/2026 11:15:00,06/02/2026 08:45:00,INACTIVE",
+]
+
+
+def test_sample_shaped_drop_by_name_and_mismatch(spark, tmp_dir):
+    from batchgate import schemas as S
+    schema = S.entity_schema("crm_customers", with_metadata=False)
+    write_text(spark, tmp_dir, SAMPLE_SHAPE)
+    fmt = {"header": True, "timestamp_format": "dd/MM/yyyy HH:mm:ss"}
+    by_name = {r["customer_id"]: r for r in
+               files.scan_csv(spark, tmp_dir, schema, dict(fmt, binding="name")).collect()}
+    k = by_name["K101"]
+    assert (k["city"], k["state"], k["country"], k["updated_at_raw"]) == ("Pune", None, None, None)
+    assert str(k["created_at"]) == "2026-02-03 10:00:00"
+    with pytest.raises(Exception, match="(?i)header|schema"):          # reported, not shifted
+        files.scan_csv(spark, tmp_dir, schema, fmt).collect()
+    shifted = files.scan_csv(spark, tmp_dir, schema, dict(fmt, check_header=False, timestamp_format="yyyy/MM/dd HH:mm:ss"))
+    row = {r["customer_id"]: r for r in shifted.collect()}["K101"]
+    assert row["state"] == "03/02/2026 10:00:00" and row["created_at"] is None   # by-position parity
