@@ -544,6 +544,16 @@ def q_merge_bucketed(spark, d):
     return _ntz(tables.scan_table(spark, target).drop(merge.BUCKET))
 
 
+def q_merge_bucketed_table(spark, d):
+    """The same two loads into a catalog table with Spark buckets on the key:
+    the merge reads the target already partitioned and shuffles only the batch."""
+    t, b = _merge_inputs(spark, d)
+    name = f"{scratch_database(spark)}.orders_bronze"
+    merge.merge_into(spark, t, name, ["o_orderkey"], AS_OF_1, buckets=16)
+    merge.merge_into(spark, b, name, ["o_orderkey"], AS_OF_2, buckets=16, max_broadcast_bytes=0)
+    return _ntz(tables.scan_table(spark, name).drop(merge.BUCKET))
+
+
 # --------------------------------------------------------------------------- runs
 
 def q_job_run_latest(spark, d):
@@ -930,6 +940,7 @@ def oracle_sql() -> dict[str, str]:
         "merge_upsert": _no_action(merge_all),
         "merge_broadcast": _no_action(merge_all),
         "merge_bucketed": _no_action(merge_all),
+        "merge_bucketed_table": _no_action(merge_all),
         "merge_insert_only": _no_action(merge_all, "_action = 'insert'"),
         "merge_update_only": _no_action(merge_all, "_action = 'update'"),
         "merge_null_keys": _no_action(_merge_sql("CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderkey END")),

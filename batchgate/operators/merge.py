@@ -25,9 +25,12 @@ branch (``insert_only_keys``), once a duplicate check has proved they have no
 target row, so no join task receives a hot key.
 
 Persistence (:func:`merge_into`) without a row-level-DML table format:
-the target is partitioned by ``_bucket = pmod(xxhash64(keys), N)``; only the
+the target is partitioned by ``_bucket = pmod(hash(keys), N)``; only the
 buckets present in the batch are read (partition pruning) and rewritten
-(dynamic partition overwrite). This is not atomic across buckets the way a
+(dynamic partition overwrite). A catalog table also declares Spark buckets
+on the keys with the same hash (``bucketed`` layout), so the join reads the
+target already hash-partitioned: only the batch is shuffled and each join
+task writes one bucket. This is not atomic across buckets the way a
 table-format commit is.
 """
 
@@ -225,10 +228,19 @@ def hot_threshold(batch_rows: int, max_keys: int = 10000, min_rows: int = 10000)
     return max(min_rows, -(-batch_rows // max_keys))
 
 
-def bucket_expr(keys: list[str], buckets: int, all_columns: list[str]) -> Column:
-    """Bucket of a row: hash of its key; NULL-key rows spread by all columns."""
-    by_key = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets))
-    by_row = F.pmod(F.xxhash64(*[F.col(c) for c in all_columns]), F.lit(buckets))
+LAYOUTS = ("folders", "bucketed")
+_PROP_LAYOUT, _PROP_BUCKETS = "batchgate.layout", "batchgate.buckets"
+
+
+def bucket_expr(keys: list[str], buckets: int, all_columns: list[str], layout: str = "folders") -> Column:
+    """Bucket of a row: hash of its key; NULL-key rows spread by all columns.
+
+    ``bucketed`` uses Spark's own bucket hash (Murmur3 ``hash``), so a row's
+    folder equals the bucket file Spark's ``bucketBy`` puts it in.
+    """
+    h = F.hash if layout == "bucketed" else F.xxhash64
+    by_key = F.pmod(h(*[F.col(k) for k in keys]), F.lit(buckets))
+    by_row = F.pmod(h(*[F.col(c) for c in all_columns]), F.lit(buckets))
     return F.when(any_null(keys), by_row).otherwise(by_key).cast("int")
 
 
@@ -243,6 +255,21 @@ def _clustered(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", BUCKET)
 
 
+def _table_layout(spark: SparkSession, ref: TableRef, layout: str, buckets: int) -> None:
+    """Refuse a merge whose layout or bucket count differs from the table's.
+
+    The bucket of a key decides which folders are read; a different hash or
+    count would silently miss rows, so catalog tables record both.
+    """
+    if not ref.name:
+        return
+    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {ref.name}").collect()}
+    have = (props.get(_PROP_LAYOUT, "folders"), int(props.get(_PROP_BUCKETS, buckets)))
+    if have != (layout, buckets):
+        raise ValueError(f"Table {ref.name} has layout={have[0]} buckets={have[1]}; "
+                         f"merge asked for layout={layout} buckets={buckets}")
+
+
 def _read_buckets(spark: SparkSession, ref: TableRef, touched: list[int]) -> DataFrame | None:
     """Rows of the touched buckets only; None when the table does not exist.
 
@@ -269,19 +296,25 @@ def _read_buckets(spark: SparkSession, ref: TableRef, touched: list[int]) -> Dat
     return whole.filter(F.lit(False))
 
 
-def _write_new(df: DataFrame, ref: TableRef) -> None:
+def _write_new(spark: SparkSession, df: DataFrame, ref: TableRef, keys: list[str], buckets: int,
+               layout: str) -> None:
     w = _clustered(df).write.format(ref.format).partitionBy(BUCKET).mode("overwrite")
+    if layout == "bucketed":
+        w = w.bucketBy(buckets, *keys).sortBy(*keys)
     if ref.name:
         w.saveAsTable(ref.name)
+        spark.sql(f"ALTER TABLE {ref.name} SET TBLPROPERTIES "
+                  f"('{_PROP_LAYOUT}' = '{layout}', '{_PROP_BUCKETS}' = '{buckets}')")
     else:
         w.save(ref.path)
 
 
-def _overwrite_buckets(spark: SparkSession, df: DataFrame, ref: TableRef) -> None:
-    df = _clustered(df)
+def _overwrite_buckets(spark: SparkSession, df: DataFrame, ref: TableRef, layout: str) -> None:
     if ref.name:
         # A catalog insert takes the overwrite mode from the session only;
         # set it for this statement and restore it.
+        if layout == "folders":
+            df = _clustered(df)
         cols = spark.table(ref.name).columns
         key = "spark.sql.sources.partitionOverwriteMode"
         previous = spark.conf.get(key)
@@ -291,7 +324,7 @@ def _overwrite_buckets(spark: SparkSession, df: DataFrame, ref: TableRef) -> Non
         finally:
             spark.conf.set(key, previous)
     else:
-        (df.write.format(ref.format).partitionBy(BUCKET).mode("overwrite")
+        (_clustered(df).write.format(ref.format).partitionBy(BUCKET).mode("overwrite")
            .option("partitionOverwriteMode", "dynamic").save(ref.path))
 
 
@@ -299,7 +332,8 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
                keys: list[str] | str, as_of: dt.datetime | str | None = None, *,
                buckets: int = 64, batch_rows: int | None = None, batch_bytes: int | None = None,
                max_broadcast_bytes: int = 64 << 20, check_duplicates: bool = True,
-               hot_key_rows: int = 10000, dedupe_by: list[str] | str | None = None) -> dict:
+               hot_key_rows: int = 10000, dedupe_by: list[str] | str | None = None,
+               layout: str | None = None) -> dict:
     """Merge ``batch`` into a stored table; returns the merge counters.
 
     Table formats with row-level DML use their MERGE. Otherwise the bucketed
@@ -316,8 +350,11 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
     if ref.supports_row_level_dml() and ref.exists(spark):
         return _merge_with_table_format(batch, ref, keys, as_of)
 
+    layout = layout or ("bucketed" if ref.name else "folders")
+    if layout not in LAYOUTS or (layout == "bucketed" and not ref.name):
+        raise ValueError(f"layout must be one of {LAYOUTS} ('bucketed' needs a catalog table)")
     bcols = [c for c in batch.columns if c != BUCKET]
-    staged = batch.select(*bcols).withColumn(BUCKET, bucket_expr(keys, buckets, bcols))
+    staged = batch.select(*bcols).withColumn(BUCKET, bucket_expr(keys, buckets, bcols, layout))
     metrics = Observation("batchgate_merge")
     a = F.col(ACTION)
     observed_terms = [F.count_if(a == INSERT).alias("records_inserted"),
@@ -327,8 +364,9 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
     current = _read_buckets(spark, ref, touched)
     if current is None:
         out = staged.withColumn(ACTION, F.lit(INSERT)).observe(metrics, *observed_terms).drop(ACTION)
-        _write_new(out, ref)
+        _write_new(spark, out, ref, keys, buckets, layout)
         return _counters(metrics)
+    _table_layout(spark, ref, layout, buckets)
 
     if batch_rows is None or batch_bytes is None:
         batch_rows, batch_bytes = measure(staged)
@@ -347,7 +385,7 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
                           with_action=True, batch_bytes=batch_bytes,
                           max_broadcast_bytes=max_broadcast_bytes)
     out = merged.observe(metrics, *observed_terms).drop(ACTION)
-    _overwrite_buckets(spark, out, ref)
+    _overwrite_buckets(spark, out, ref, layout)
     return _counters(metrics)
 
 

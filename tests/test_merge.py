@@ -130,3 +130,30 @@ def test_bucketed_merge_into_catalog_table(spark):
     assert counters == {"records_inserted": 1, "records_updated": 1, "records_merged": 2}
     got = {r["k"]: (r["v"], r["record_version"]) for r in spark.table(name).collect()}
     assert got == {"a": (10, 2), "b": (2, 1), "c": (3, 1), "d": (40, 1)}
+
+
+def test_bucketed_layout_merge_does_not_shuffle_the_target(spark):
+    import contextlib
+    import io
+
+    from batchgate.session import scratch_database
+    name = f"{scratch_database(spark)}.bronze_orders"
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    t = with_metadata(orders, 1, "2026-08-07", "crm")
+    merge.merge_into(spark, t, name, ["o_orderkey"], buckets=8)
+    assert merge.BUCKET in spark.table(name).columns
+    b = with_metadata(orders.withColumn("o_totalprice", F.col("o_totalprice") + 1), 2, "2026-08-08", "crm")
+    staged = b.withColumn(merge.BUCKET, merge.bucket_expr(["o_orderkey"], 8, b.columns, "bucketed"))
+    current = spark.table(name).filter(F.col(merge.BUCKET).isin(list(range(8))))
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        merge.merge_frames(current, staged, "o_orderkey", strategy="shuffle").explain()
+    text = plan.getvalue()
+    assert "Bucketed: true" in text and "FullOuter" in text
+    assert text.count("Exchange hashpartitioning") == 1          # the batch side only
+    counters = merge.merge_into(spark, b, name, ["o_orderkey"], AS_OF, buckets=8, max_broadcast_bytes=0)
+    assert counters["records_updated"] == orders.count() and counters["records_inserted"] == 0
+    got = spark.table(name)
+    assert got.count() == orders.count() and got.agg(F.min("record_version")).first()[0] == 2
+    with pytest.raises(ValueError, match="layout=bucketed buckets=8"):
+        merge.merge_into(spark, b, name, ["o_orderkey"], AS_OF, buckets=16)
