@@ -102,7 +102,7 @@ def run_job(spark: SparkSession, config: dict, batch_details: dict, *,
         enriched = with_metadata(staged, batch_details["batch_id"], business_date, source_name, as_of)
         merged = write_target(spark, enriched, spec.write_mode, spec.master, spec.raw, spec.keys,
                               as_of=as_of, buckets=spec.buckets, batch_rows=records_read,
-                              batch_bytes=landed["bytes"], dedupe_by=spec.dedupe_by)
+                              batch_bytes=landed["bytes"], dedupe_by=spec.dedupe_by, layout=spec.layout)
         done = finish(run, SUCCEEDED, records_read=records_read, records_valid=records_valid,
                       records_invalid=0, **merged)
         if control is not None:

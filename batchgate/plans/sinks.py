@@ -36,7 +36,7 @@ def write_target(spark: SparkSession, df: DataFrame, mode: str, master: TableRef
                  raw: TableRef | None = None, keys: list[str] | None = None, *,
                  as_of: dt.datetime | str | None = None, buckets: int = 64,
                  batch_rows: int | None = None, batch_bytes: int | None = None,
-                 dedupe_by: list[str] | None = None) -> dict:
+                 dedupe_by: list[str] | None = None, layout: str | None = None) -> dict:
     """Write an enriched batch by mode; returns merge counters (or zeros).
 
     merge: the batch replaces the raw (staging) table, then is merged into the
@@ -46,7 +46,7 @@ def write_target(spark: SparkSession, df: DataFrame, mode: str, master: TableRef
         if raw is not None:
             overwrite_table(df, raw)
         return merge_into(spark, df, master, keys or [], as_of, buckets=buckets, batch_rows=batch_rows,
-                          batch_bytes=batch_bytes, dedupe_by=dedupe_by or None)
+                          batch_bytes=batch_bytes, dedupe_by=dedupe_by or None, layout=layout)
     if mode == "overwrite":
         overwrite_table(df, master)
     elif mode == "append":

@@ -106,6 +106,7 @@ class JobSpec:
     rules: list[dict] = field(default_factory=list)
     buckets: int = 64
     dedupe_by: list[str] = field(default_factory=list)
+    layout: str | None = None
 
     @classmethod
     def of(cls, config: dict) -> "JobSpec":
@@ -129,4 +130,5 @@ class JobSpec:
             rules=normalize_rules(config.get("validation")),
             buckets=int(write.get("buckets", 64)),
             dedupe_by=normalize_keys(write.get("dedupe_by")),
+            layout=write.get("layout"),
         )
