@@ -270,7 +270,8 @@ def _table_layout(spark: SparkSession, ref: TableRef, layout: str, buckets: int)
                          f"merge asked for layout={layout} buckets={buckets}")
 
 
-def _read_buckets(spark: SparkSession, ref: TableRef, touched: list[int]) -> DataFrame | None:
+def _read_buckets(spark: SparkSession, ref: TableRef, touched: list[int],
+                  buckets: int | None = None) -> DataFrame | None:
     """Rows of the touched buckets only; None when the table does not exist.
 
     A path table is read through a glob of the touched bucket folders with
@@ -282,7 +283,9 @@ def _read_buckets(spark: SparkSession, ref: TableRef, touched: list[int]) -> Dat
             return None
         return spark.table(ref.name).filter(F.col(BUCKET).isin(touched))
     reader = spark.read.format(ref.format).option("basePath", ref.path)
-    if touched:
+    if touched and buckets is not None and 2 * len(touched) > buckets:
+        reader = None          # most buckets touched: list the whole table once
+    if touched and reader is not None:
         names = ",".join(str(b) for b in touched)
         glob = f"{ref.path}/{BUCKET}={{{names}}}" if len(touched) > 1 else f"{ref.path}/{BUCKET}={names}"
         try:
@@ -293,6 +296,8 @@ def _read_buckets(spark: SparkSession, ref: TableRef, touched: list[int]) -> Dat
         whole = spark.read.format(ref.format).load(ref.path)
     except AnalysisException:
         return None
+    if reader is None:
+        return whole.filter(F.col(BUCKET).isin(touched))
     return whole.filter(F.lit(False))
 
 
@@ -361,7 +366,7 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
                       F.count_if(a == UPDATE).alias("records_updated")]
 
     touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())  # <= buckets values
-    current = _read_buckets(spark, ref, touched)
+    current = _read_buckets(spark, ref, touched, buckets)
     if current is None:
         out = staged.withColumn(ACTION, F.lit(INSERT)).observe(metrics, *observed_terms).drop(ACTION)
         _write_new(spark, out, ref, keys, buckets, layout)
