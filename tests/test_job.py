@@ -206,3 +206,24 @@ def test_write_failure_is_recorded(spark, tmp_dir):
     r = runs.latest_runs(spark.read.parquet(control.path)).collect()[0]
     assert (r["run_status"], r["records_read"], r["records_valid"], r["records_invalid"]) == ("FAILED", 2, 2, 0)
     assert "lacks target columns" in r["error_summary"]
+
+
+def test_job_with_catalog_tables(spark, tmp_dir):
+    from batchgate.session import scratch_database
+    db = scratch_database(spark)
+    base = f"{tmp_dir}/landing"
+    write_text(spark, f"{base}/crm_customers_08-08-2026.csv", CSV)
+    write_text(spark, f"{base}/crm_customers_09-08-2026.csv", CSV[:2] + [CSV[2].replace("C002", "C003")])
+    cfg = config(base, "unused")
+    cfg["target"]["raw"] = {"schema": db, "table": "raw_customers", "format": "parquet"}
+    cfg["target"]["master"] = {"schema": db, "table": "bronze_customers", "format": "parquet"}
+    schema = S.entity_schema("crm_customers", with_metadata=False)
+    job.run_job(spark, cfg, {"business_date": "2026-08-08", "batch_id": 1, "source_name": "crm"}, schema=schema)
+    out = job.run_job(spark, cfg, {"business_date": "2026-08-09", "batch_id": 2, "source_name": "crm"},
+                      schema=schema)
+    assert (out["records_inserted"], out["records_updated"]) == (1, 1)
+    bronze = {r["customer_id"]: r["record_version"] for r in spark.table(f"{db}.bronze_customers").collect()}
+    assert bronze == {"C001": 2, "C002": 1, "C003": 1}
+    assert spark.table(f"{db}.raw_customers").count() == 2
+    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {db}.bronze_customers").collect()}
+    assert props["batchgate.layout"] == "bucketed"
