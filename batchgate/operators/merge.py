@@ -281,7 +281,10 @@ def _read_buckets(spark: SparkSession, ref: TableRef, touched: list[int],
     if ref.name:
         if not spark.catalog.tableExists(ref.name):
             return None
-        return spark.table(ref.name).filter(F.col(BUCKET).isin(touched))
+        table = spark.table(ref.name)
+        if BUCKET not in table.columns:
+            return _adopt(table, ref)
+        return table.filter(F.col(BUCKET).isin(touched))
     reader = spark.read.format(ref.format).option("basePath", ref.path)
     if touched and buckets is not None and 2 * len(touched) > buckets:
         reader = None          # most buckets touched: list the whole table once
@@ -296,11 +299,23 @@ def _read_buckets(spark: SparkSession, ref: TableRef, touched: list[int],
         whole = spark.read.format(ref.format).load(ref.path)
     except AnalysisException:
         return None
+    if BUCKET not in whole.columns:
+        return _adopt(whole, ref)
     if reader is None:
         return whole.filter(F.col(BUCKET).isin(touched))
     return whole.filter(F.lit(False))
 
 
+def _adopt(table: DataFrame, ref: TableRef) -> None:
+    """A table without the bucket layout: an empty one (e.g. provisioned from
+    the DDL) is replaced by the layout on first write; a filled one is refused,
+    since merging into it by bucket would miss its rows."""
+    if table.limit(1).count() == 0:
+        return None
+    raise ValueError(f"{ref.label} has rows but no {BUCKET} column; rewrite it once with "
+                     f"merge_into into a new table (or add {BUCKET}) before merging batches")
+
+
 def _write_new(spark: SparkSession, df: DataFrame, ref: TableRef, keys: list[str], buckets: int,
                layout: str) -> None:
     w = _clustered(df).write.format(ref.format).partitionBy(BUCKET).mode("overwrite")

@@ -157,3 +157,18 @@ def test_bucketed_layout_merge_does_not_shuffle_the_target(spark):
     assert got.count() == orders.count() and got.agg(F.min("record_version")).first()[0] == 2
     with pytest.raises(ValueError, match="layout=bucketed buckets=8"):
         merge.merge_into(spark, b, name, ["o_orderkey"], AS_OF, buckets=16)
+
+
+def test_target_without_bucket_layout(spark, tmp_dir):
+    from batchgate import schemas as S
+    made = S.create_tables(spark, database_prefix="bgadopt_", tables=["bronze.crm_accounts"])[0]
+    batch = with_metadata(spark.createDataFrame([("A1", "Acme")], "account_id string, account_name string"),
+                          1, "2026-08-08", "crm")
+    batch = batch.select(*[F.col(c) if c in batch.columns else F.lit(None).cast(t).alias(c)
+                           for c, t in spark.table(made).dtypes])
+    counters = merge.merge_into(spark, batch, made, ["account_id"], buckets=4)   # empty DDL table adopted
+    assert counters["records_inserted"] == 1 and merge.BUCKET in spark.table(made).columns
+    plain = TableRef(path=tmp_dir)
+    spark.createDataFrame([("a", 1)], SCHEMA).write.parquet(tmp_dir)
+    with pytest.raises(ValueError, match="no _bucket column"):
+        merge.merge_into(spark, spark.createDataFrame([("a", 2)], SCHEMA), plain, ["k"], buckets=4)
