@@ -230,6 +230,7 @@ def hot_threshold(batch_rows: int, max_keys: int = 10000, min_rows: int = 10000)
 
 LAYOUTS = ("folders", "bucketed")
 _PROP_LAYOUT, _PROP_BUCKETS = "batchgate.layout", "batchgate.buckets"
+_MARKER = "_batchgate_layout"     # path tables: a folder Spark's listing skips (leading '_')
 
 
 def bucket_expr(keys: list[str], buckets: int, all_columns: list[str], layout: str = "folders") -> Column:
@@ -259,11 +260,16 @@ def _table_layout(spark: SparkSession, ref: TableRef, layout: str, buckets: int)
     """Refuse a merge whose layout or bucket count differs from the table's.
 
     The bucket of a key decides which folders are read; a different hash or
-    count would silently miss rows, so catalog tables record both.
+    count would silently miss rows, so tables record both (catalog tables as
+    properties, path tables in a marker folder).
     """
-    if not ref.name:
-        return
-    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {ref.name}").collect()}
+    if ref.name:
+        props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {ref.name}").collect()}
+    else:
+        try:
+            props = spark.read.json(f"{ref.path}/{_MARKER}").first().asDict()
+        except AnalysisException:
+            return                                 # written before markers existed
     have = (props.get(_PROP_LAYOUT, "folders"), int(props.get(_PROP_BUCKETS, buckets)))
     if have != (layout, buckets):
         raise ValueError(f"Table {ref.name} has layout={have[0]} buckets={have[1]}; "
@@ -327,6 +333,8 @@ def _write_new(spark: SparkSession, df: DataFrame, ref: TableRef, keys: list[str
                   f"('{_PROP_LAYOUT}' = '{layout}', '{_PROP_BUCKETS}' = '{buckets}')")
     else:
         w.save(ref.path)
+        marker = spark.createDataFrame([(layout, str(buckets))], f"`{_PROP_LAYOUT}` string, `{_PROP_BUCKETS}` string")
+        marker.coalesce(1).write.mode("overwrite").json(f"{ref.path}/{_MARKER}")
 
 
 def _overwrite_buckets(spark: SparkSession, df: DataFrame, ref: TableRef, layout: str) -> None:

@@ -172,3 +172,12 @@ def test_target_without_bucket_layout(spark, tmp_dir):
     spark.createDataFrame([("a", 1)], SCHEMA).write.parquet(tmp_dir)
     with pytest.raises(ValueError, match="no _bucket column"):
         merge.merge_into(spark, spark.createDataFrame([("a", 2)], SCHEMA), plain, ["k"], buckets=4)
+
+
+def test_path_table_bucket_count_is_checked(spark, tmp_dir):
+    t, b = frames(spark, [("a", 1)], [("a", 2)])
+    merge.merge_into(spark, t, TableRef(path=tmp_dir), ["k"], buckets=4)
+    assert spark.read.parquet(tmp_dir).columns[-1] == merge.BUCKET        # marker folder not read as data
+    with pytest.raises(ValueError, match="buckets=4"):
+        merge.merge_into(spark, b, TableRef(path=tmp_dir), ["k"], AS_OF, buckets=8)
+    assert merge.merge_into(spark, b, TableRef(path=tmp_dir), ["k"], AS_OF, buckets=4)["records_updated"] == 1
