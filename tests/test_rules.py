@@ -194,3 +194,13 @@ def test_column_block_and_custom_rule(spark):
     register_rule("starts_with_9", lambda cfg, schema: ~F.col(cfg["column"]).startswith("9"))
     r = one(spark, [("98",), ("18",)], "phone string", {"name": "starts_with_9", "column": "phone"})
     assert (r["rule_name"], r["records_failed"]) == ("starts_with_9", 1)
+
+
+def test_range_on_timestamps_and_length_on_numbers(spark):
+    import datetime as dt
+    rows = [(dt.datetime(2026, 1, 1, 0, 0), 5), (dt.datetime(2025, 12, 31, 23, 0), 12345), (None, None)]
+    schema = "ts timestamp, n int"
+    r = one(spark, rows, schema, {"name": "range", "column": "ts", "min": "2026-01-01 00:00:00"})
+    assert r["records_failed"] == 1
+    r = one(spark, rows, schema, {"name": "length", "column": "n", "max": 3})
+    assert r["records_failed"] == 1      # 12345 has 5 characters
