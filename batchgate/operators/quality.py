@@ -25,7 +25,6 @@ from .rules import (FAIL, FAIL_SEVERITIES, MESSAGES, PASS, WARN, CompiledRule,
 
 RESULT_COLUMNS = ["rule_index", "rule_name", "status", "severity", "message",
                   "records_checked", "records_failed"]
-SUMMARY_COLUMNS = ["overall_status", "total_rules", "passed_rules", "failed_rules", "warning_rules"]
 
 
 class ValidationError(ValueError):

@@ -154,11 +154,6 @@ def business_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([f for f in schema.fields if f.name not in METADATA_COLUMNS])
 
 
-def catalog_schema(spark: SparkSession, table: str) -> T.StructType:
-    """Source schema for a raw table: its catalog schema without metadata."""
-    return spark.table(table).drop(*METADATA_COLUMNS).schema
-
-
 def registry() -> dict[str, T.StructType]:
     """All declared tables: raw/bronze entities, control, rules, audit, prepared."""
     out: dict[str, T.StructType] = {}
