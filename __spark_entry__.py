@@ -156,8 +156,18 @@ _ORDERS_SOURCE = {"type": "file", "format": "csv", "header": True, "delimiter":
                   "file_format": "_drop=orders_{dd}-{MM}-{yyyy}.csv"}
 
 
+_DROPS: dict[tuple[int, str], tuple[dict, T.StructType]] = {}
+
+
 def _orders_drops(spark, d) -> tuple[dict, T.StructType]:
-    """orders written as one dated CSV drop per order day."""
+    """orders written as one dated CSV drop per order day (once per session and table dir)."""
+    key = (id(spark), d)
+    if key not in _DROPS:
+        _DROPS[key] = _write_orders_drops(spark, d)
+    return _DROPS[key]
+
+
+def _write_orders_drops(spark, d) -> tuple[dict, T.StructType]:
     orders = _t(spark, d, "orders")
     base = scratch_path(spark, "drops", "orders")
     drop = F.concat(F.lit("orders_"), F.date_format("o_orderdate", "dd-MM-yyyy"), F.lit(".csv"))
