@@ -89,12 +89,14 @@ def run_job(spark: SparkSession, config: dict, batch_details: dict, *,
     try:
         schema = schema or source_schema(spark, spec)
         parsed = read_source(spark, spec.source, business_date, schema, corrupt=True)
-        staged, landed = land(parsed, landing_path or scratch_path(spark, "landing", spec.name))
-        staged = staged.drop(CORRUPT)
+        landed_df, landed = land(parsed, landing_path or scratch_path(spark, "landing", spec.name))
         records_read = landed["rows"]
-        results = collect_results(evaluate(staged, spec.rules))
+        # Rules see the landed copy with _corrupt_record (rule no_parse_errors);
+        # everything written drops it.
+        results = collect_results(evaluate(landed_df, spec.rules))
+        staged = landed_df.drop(CORRUPT)
         if audit is not None and any(r["status"] != "PASS" for r in results):
-            rows = failure_audit(staged, spec.rules, spec.keys)
+            rows = failure_audit(landed_df, spec.rules, spec.keys)
             append_table(audit_table_rows(rows, run["job_run_id"], spec.name, source_name, business_date,
                                           spec.master.table or spec.master.label, as_of), audit)
         gate(results)

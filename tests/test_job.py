@@ -227,3 +227,17 @@ def test_job_with_catalog_tables(spark, tmp_dir):
     assert spark.table(f"{db}.raw_customers").count() == 2
     props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {db}.bronze_customers").collect()}
     assert props["batchgate.layout"] == "bucketed"
+
+
+def test_parse_errors_can_fail_the_run(spark, tmp_dir):
+    base, root = f"{tmp_dir}/landing", f"{tmp_dir}/tables"
+    write_text(spark, f"{base}/crm_customers_08-08-2026.csv", CSV[:2] + [CSV[2].replace("2026/09/25 10:20:00", "soon")])
+    cfg = config(base, root)
+    schema = S.entity_schema("crm_customers", with_metadata=False)
+    details = {"business_date": "2026-08-08", "batch_id": 1, "source_name": "crm"}
+    out = job.run_job(spark, cfg, details, schema=schema)
+    assert (out["run_status"], out["corrupt_rows"]) == ("SUCCEEDED", 1)       # counted, not gating
+    assert "_corrupt_record" not in spark.read.parquet(f"{root}/bronze").columns
+    cfg["validation"]["no_parse_errors"] = {}
+    with pytest.raises(ValidationError, match="no_parse_errors"):
+        job.run_job(spark, cfg, dict(details, batch_id=2), schema=schema)
