@@ -136,22 +136,27 @@ def _day_range(start: str, end: str) -> list[dt.date]:
     return [lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
 
 
-def dated_glob(source: SourceSpec | dict, start: str | None = None, end: str | None = None) -> str:
-    """One glob for the drops of a date range (every drop when unbounded).
+def dated_glob(source: SourceSpec | dict, start: str | None = None, end: str | None = None,
+               dates: Iterable[str] | None = None) -> str:
+    """One glob for the drops of a date range or list (every drop when unbounded).
 
-    A bounded range becomes a ``{name1,name2,...}`` alternation of the dated
+    Bounded days become a ``{name1,name2,...}`` alternation of the dated
     names, so the listing skips other days and days without a drop are simply
     absent (no path-not-found error).
     """
     src = source if isinstance(source, SourceSpec) else SourceSpec.of(source)
     base = src.path.rstrip("/")
-    if start is None or end is None:
+    if dates is not None:
+        days = sorted({parse_business_date(d) for d in dates})
+    elif start is None or end is None:
         pattern = src.file_format
         for token, (_, glob) in DATE_TOKENS.items():
             pattern = pattern.replace(token, glob)
         return f"{base}/{pattern}"
+    else:
+        days = _day_range(start, end)
     names = []
-    for day in _day_range(start, end):
+    for day in days:
         name = src.file_format
         for token, (fmt, _) in DATE_TOKENS.items():
             name = name.replace(token, day.strftime(fmt))
@@ -161,20 +166,22 @@ def dated_glob(source: SourceSpec | dict, start: str | None = None, end: str | N
 
 def scan_dated_files(spark: SparkSession, source: SourceSpec | dict, schema: T.StructType, *,
                      dates: Iterable[str] | None = None, start: str | None = None,
-                     end: str | None = None, date_column: str = "business_date") -> DataFrame:
+                     end: str | None = None, date_column: str = "business_date",
+                     missing_ok: bool = False) -> DataFrame:
     """Many business dates in ONE scan, each row tagged with its file's date.
 
-    ``dates`` lists the days explicitly (each must exist); otherwise the drops
-    of the ``start``..``end`` range (inclusive; either side open) are globbed,
-    and rows are tagged with the date taken from their file's name.
+    ``dates`` lists the days explicitly (each must exist unless
+    ``missing_ok``); otherwise the drops of the ``start``..``end`` range
+    (inclusive; either side open) are globbed, and rows are tagged with the
+    date taken from their file's name.
     """
     src = source if isinstance(source, SourceSpec) else SourceSpec.of(source)
     if src.type != "file":
         raise ValueError(f"Unsupported source type: {src.type}")
-    if dates is not None:
+    if dates is not None and not missing_ok:
         paths = [dated_path(src, d) for d in dates]
     else:
-        paths = [dated_glob(src, start, end)]
+        paths = [dated_glob(src, start, end, dates)]
     df = scan_csv(spark, paths, schema, src)
     day = date_from_path(F.col("_metadata.file_path"), src.file_format)
     df = df.withColumn(date_column, day)

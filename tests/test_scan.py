@@ -78,6 +78,11 @@ def test_dated_scan_tags_rows_and_globs_range(spark, tmp_dir):
     rng = files.scan_dated_files(spark, s, SCHEMA, start="2026-08-08", end="2026-08-09")
     assert [r["id"] for r in rng.collect()] == ["08-08-2026"]
     assert "08-08-2026" in files.dated_glob(s, "2026-08-08", "2026-08-09")
+    listed = files.scan_dated_files(spark, s, SCHEMA, dates=["2026-08-07", "2026-08-09", "2026-08-10"],
+                                    missing_ok=True)                    # 09 has no drop
+    assert sorted(r["id"] for r in listed.collect()) == ["07-08-2026", "10-08-2026"]
+    with pytest.raises(AnalysisException):
+        files.scan_dated_files(spark, s, SCHEMA, dates=["2026-08-09"]).collect()
 
 
 def test_infer_schema(spark, tmp_dir):
