@@ -8,20 +8,25 @@ TIMESTAMP; every computed column is aliased the same on both sides.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from batchgate import schemas as S
-from batchgate.functions import columns as C
-from batchgate.functions import predicates as P
-from batchgate.operators import audit, merge, quality
-from batchgate.operators.rule_table import rules_from_table
-from batchgate.plans import job, runs, sinks
-from batchgate.session import TableRef, scratch_database, scratch_path
-from batchgate.sources import files, tables
+if os.path.dirname(os.path.abspath(__file__)) not in sys.path:      # importable from any cwd
+    sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+from batchgate import schemas as S  # noqa: E402
+from batchgate.functions import columns as C  # noqa: E402
+from batchgate.functions import predicates as P  # noqa: E402
+from batchgate.operators import audit, merge, quality  # noqa: E402
+from batchgate.operators.rule_table import rules_from_table  # noqa: E402
+from batchgate.plans import job, runs, sinks  # noqa: E402
+from batchgate.session import TableRef, scratch_database, scratch_path  # noqa: E402
+from batchgate.sources import files, tables  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF_1 = "2026-08-08 06:00:00"
