@@ -231,6 +231,7 @@ def hot_threshold(batch_rows: int, max_keys: int = 10000, min_rows: int = 10000)
 LAYOUTS = ("folders", "bucketed")
 _PROP_LAYOUT, _PROP_BUCKETS = "batchgate.layout", "batchgate.buckets"
 _MARKER = "_batchgate_layout"     # path tables: a folder Spark's listing skips (leading '_')
+_MARKER_SCHEMA = f"`{_PROP_LAYOUT}` string, `{_PROP_BUCKETS}` string"
 
 
 def bucket_expr(keys: list[str], buckets: int, all_columns: list[str], layout: str = "folders") -> Column:
@@ -267,7 +268,8 @@ def _table_layout(spark: SparkSession, ref: TableRef, layout: str, buckets: int)
         props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {ref.name}").collect()}
     else:
         try:
-            props = spark.read.json(f"{ref.path}/{_MARKER}").first().asDict()
+            props = (spark.read.schema(_MARKER_SCHEMA).json(f"{ref.path}/{_MARKER}")
+                     .first().asDict())
         except AnalysisException:
             return                                 # written before markers existed
     have = (props.get(_PROP_LAYOUT, "folders"), int(props.get(_PROP_BUCKETS, buckets)))
@@ -333,7 +335,7 @@ def _write_new(spark: SparkSession, df: DataFrame, ref: TableRef, keys: list[str
                   f"('{_PROP_LAYOUT}' = '{layout}', '{_PROP_BUCKETS}' = '{buckets}')")
     else:
         w.save(ref.path)
-        marker = spark.createDataFrame([(layout, str(buckets))], f"`{_PROP_LAYOUT}` string, `{_PROP_BUCKETS}` string")
+        marker = spark.createDataFrame([(layout, str(buckets))], _MARKER_SCHEMA)
         marker.coalesce(1).write.mode("overwrite").json(f"{ref.path}/{_MARKER}")
 
 
