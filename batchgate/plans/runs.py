@@ -42,7 +42,10 @@ def new_run(job_name: str, business_date: str, batch_id: int, source_name: str |
         "job_run_id": job_run_id if job_run_id is not None else time.time_ns(),
         "job_name": job_name,
         "source_name": source_name,
-        "business_date": dt.datetime.strptime(business_date, "%Y-%m-%d"),
+        # Kept as text and cast by Spark (midnight in the session's zone, like
+        # the batch metadata); a naive Python datetime would take the driver
+        # process's zone instead.
+        "business_date": dt.datetime.strptime(business_date, "%Y-%m-%d").strftime("%Y-%m-%d"),
         "batch_id": batch_id,
         "run_status": RUNNING,
         "run_type": run_type,
@@ -74,7 +77,10 @@ def finish(run: dict, status: str, *, now: dt.datetime | None = None, **counters
 
 def events_frame(spark: SparkSession, events: list[dict]) -> DataFrame:
     names = EVENT_SCHEMA.fieldNames()
-    return spark.createDataFrame([tuple(e[n] for n in names) for e in events], EVENT_SCHEMA)
+    as_text = T.StructType([T.StructField(f.name, T.StringType(), f.nullable) if f.name == "business_date" else f
+                            for f in EVENT_SCHEMA.fields])
+    frame = spark.createDataFrame([tuple(e[n] for n in names) for e in events], as_text)
+    return frame.withColumn("business_date", F.col("business_date").cast("timestamp"))
 
 
 def record_event(spark: SparkSession, control: TableRef | dict | str, event: dict) -> None:

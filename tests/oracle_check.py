@@ -61,7 +61,8 @@ def main() -> int:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = set(sys.argv[2:])
     spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
-             .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC")
+             .config("spark.sql.shuffle.partitions", "8")
+             .config("spark.sql.session.timeZone", os.environ.get("ORACLE_TZ", "UTC"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
