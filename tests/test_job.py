@@ -241,3 +241,15 @@ def test_parse_errors_can_fail_the_run(spark, tmp_dir):
     cfg["validation"]["no_parse_errors"] = {}
     with pytest.raises(ValidationError, match="no_parse_errors"):
         job.run_job(spark, cfg, dict(details, batch_id=2), schema=schema)
+
+
+def test_run_business_date_follows_the_session_zone(spark):
+    key = "spark.sql.session.timeZone"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "America/Los_Angeles")
+    try:
+        frame = runs.events_frame(spark, [runs.new_run("j", "2026-08-08", 1, "crm", "load", job_run_id=5)])
+        same = frame.select((F.col("business_date") == F.lit("2026-08-08").cast("timestamp")).alias("eq")).first()
+        assert same["eq"]
+    finally:
+        spark.conf.set(key, previous)
