@@ -63,6 +63,7 @@ def main() -> int:
     spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
              .config("spark.sql.shuffle.partitions", "8")
              .config("spark.sql.session.timeZone", os.environ.get("ORACLE_TZ", "UTC"))
+             .config("spark.sql.ansi.enabled", os.environ.get("ORACLE_ANSI", "true"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
