@@ -17,17 +17,23 @@ from pyspark.sql import types as T
 from ..functions.columns import with_metadata
 from ..operators.merge import merge_into
 from ..operators.quality import collect_results, evaluate, gate
-from ..session import scratch_path
+from ..plans.job import already_loaded
+from ..plans.runs import SUCCEEDED, finish, new_run, record_event
+from ..session import TableRef, scratch_path
 from ..sources.files import date_from_path
 from ..spec import JobSpec
 
 
 def stream_loads(spark: SparkSession, config: dict, schema: T.StructType, source_name: str,
-                 *, checkpoint: str | None = None, trigger_once: bool = True) -> Any:
+                 *, checkpoint: str | None = None, trigger_once: bool = True,
+                 control: TableRef | dict | str | None = None) -> Any:
     """Start a query loading every new file under ``source.path``.
 
     The business date of a row is the drop's date taken from the file name;
-    ``batch_id`` is the micro-batch id. Returns the ``StreamingQuery``.
+    ``batch_id`` is the micro-batch id. ``foreachBatch`` is at-least-once: with
+    ``control``, each (job, date, micro-batch) is recorded as a run and a
+    replayed micro-batch whose run SUCCEEDED is skipped, so versions are not
+    bumped twice. Returns the ``StreamingQuery``.
     """
     spec = JobSpec.of(config)
     src = spec.source
@@ -50,9 +56,16 @@ def stream_loads(spark: SparkSession, config: dict, schema: T.StructType, source
             gate(collect_results(evaluate(batch.drop("_bg_day"), spec.rules)))
             days = sorted(r[0] for r in batch.select("_bg_day").distinct().collect())
             for day in days:
+                if control is not None and already_loaded(spark, control, spec.name, str(day), batch_id):
+                    continue
+                run = new_run(spec.name, str(day), batch_id, source_name, spec.run_type)
+                if control is not None:
+                    record_event(spark, control, run)
                 enriched = (with_metadata(batch.filter(F.col("_bg_day") == F.lit(day)), batch_id,
                                           str(day), source_name).drop("_bg_day"))
-                merge_into(spark, enriched, spec.master, spec.keys, buckets=spec.buckets)
+                counters = merge_into(spark, enriched, spec.master, spec.keys, buckets=spec.buckets)
+                if control is not None:
+                    record_event(spark, control, finish(run, SUCCEEDED, **counters))
         finally:
             batch.unpersist()
 
