@@ -10,6 +10,7 @@ import decimal
 import math
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -64,6 +65,7 @@ def main() -> int:
              .config("spark.sql.shuffle.partitions", "8")
              .config("spark.sql.session.timeZone", os.environ.get("ORACLE_TZ", "UTC"))
              .config("spark.sql.ansi.enabled", os.environ.get("ORACLE_ANSI", "true"))
+             .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="batchgate-oracle-wh-"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
