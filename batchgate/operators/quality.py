@@ -138,7 +138,9 @@ def evaluate(df: DataFrame, rules: Any) -> DataFrame:
     """Results frame, one row per configured rule (``rule_index`` = config order).
 
     Scans: one for all row-level rules, NULL counters, row counts and static
-    results together, plus one grouped pass per unique-key rule.
+    results together, plus one grouped pass per unique-key rule. Each pass
+    re-reads ``df``, so give it a columnar source (the landed batch), not a
+    text scan.
     """
     compiled = compile_for(df, rules)
     spark = df.sparkSession
