@@ -606,6 +606,29 @@ def _customer_job(base: str, target_root: str) -> dict:
     }
 
 
+def _two_day_load(spark, d, mode: str) -> DataFrame:
+    cust = _t(spark, d, "customer")
+    base = scratch_path(spark, "drops", "crm")
+    _write_csv(cust, f"{base}/crm_customer_08-08-2026.csv")
+    _write_csv(cust.withColumn("c_acctbal", F.col("c_acctbal") + 1), f"{base}/crm_customer_09-08-2026.csv")
+    cfg = _customer_job(base, scratch_path(spark, "tables", "customers"))
+    cfg["target"]["write"] = {"mode": mode}
+    for day, batch, as_of in (("2026-08-08", 1, AS_OF_1), ("2026-08-09", 2, AS_OF_2)):
+        job.run_job(spark, cfg, {"business_date": day, "batch_id": batch, "source_name": "crm"},
+                    schema=cust.schema, as_of=as_of)
+    return _ntz(tables.scan_table(spark, TableRef.of(cfg["target"]["master"])))
+
+
+def q_job_append_load(spark, d):
+    """Two daily loads in append mode: the master keeps both batches."""
+    return _two_day_load(spark, d, "append")
+
+
+def q_job_overwrite_load(spark, d):
+    """Two daily loads in overwrite mode: the master holds the last batch only."""
+    return _two_day_load(spark, d, "overwrite")
+
+
 def q_job_run_control(spark, d):
     """Run control after a load that succeeds and one the gate rejects."""
     cust = _t(spark, d, "customer")
@@ -994,6 +1017,16 @@ def oracle_sql() -> dict[str, str]:
                       "count(*) FILTER (WHERE c_code IS NOT NULL AND NOT regexp_full_match(c_code, '[0-9]+'))",
                       _CUST_CODES),
         ]),
+        "job_append_load": (
+            f"SELECT {_CUST_META} FROM customer UNION ALL "
+            "SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1, c_mktsegment, CAST(2 AS BIGINT), "
+            "TIMESTAMP '2026-08-09 00:00:00', 'crm', CAST(1 AS BIGINT), TIMESTAMP '2026-08-09 06:00:00', "
+            "CAST(NULL AS TIMESTAMP) FROM customer"),
+        "job_overwrite_load": (
+            "SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment, "
+            "CAST(2 AS BIGINT) AS batch_id, TIMESTAMP '2026-08-09 00:00:00' AS buisness_date, 'crm' AS source_name, "
+            "CAST(1 AS BIGINT) AS record_version, TIMESTAMP '2026-08-09 06:00:00' AS ingested_at, "
+            "CAST(NULL AS TIMESTAMP) AS updated_at FROM customer"),
         "job_run_control": (
             "SELECT CAST(1 AS BIGINT) AS job_run_id, 'customers' AS job_name, 'crm' AS source_name, "
             "TIMESTAMP '2026-08-08 00:00:00' AS business_date, CAST(1 AS BIGINT) AS batch_id, 'SUCCEEDED' AS run_status, "
