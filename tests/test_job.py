@@ -253,3 +253,19 @@ def test_run_business_date_follows_the_session_zone(spark):
         assert same["eq"]
     finally:
         spark.conf.set(key, previous)
+
+
+def test_cli_with_a_json_config(spark, tmp_dir, capsys):
+    import json
+    import os
+    base, root = f"{tmp_dir}/landing", f"{tmp_dir}/tables"
+    write_text(spark, f"{base}/crm_customers_08-08-2026.csv", CSV)
+    local = tmp_dir.removeprefix("file:")
+    os.makedirs(local, exist_ok=True)
+    path = os.path.join(local, "job.json")
+    with open(path, "w") as fh:
+        json.dump(config(base, root), fh)
+    from batchgate.__main__ import main
+    assert main([path, "2026-08-08", "3", "crm"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert (out["run_status"], out["records_read"], out["records_inserted"]) == ("SUCCEEDED", 2, 2)
