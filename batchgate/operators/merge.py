@@ -235,14 +235,19 @@ _MARKER_SCHEMA = f"`{_PROP_LAYOUT}` string, `{_PROP_BUCKETS}` string"
 
 
 def bucket_expr(keys: list[str], buckets: int, all_columns: list[str], layout: str = "folders") -> Column:
-    """Bucket of a row: hash of its key; NULL-key rows spread by all columns.
+    """Bucket of a row: hash of its key; NULL-key rows spread by their columns.
 
     ``bucketed`` uses Spark's own bucket hash (Murmur3 ``hash``), so a row's
-    folder equals the bucket file Spark's ``bucketBy`` puts it in.
+    folder equals the bucket file Spark's ``bucketBy`` puts it in. The spread
+    of NULL-key rows leaves out the batch metadata columns: ``ingested_at``
+    may be the query's current time, which differs between the pass that
+    lists the touched buckets and the write, and a row landing in an unread
+    bucket would make the dynamic overwrite drop that bucket's rows.
     """
     h = F.hash if layout == "bucketed" else F.xxhash64
+    stable = [c for c in all_columns if c not in S.METADATA_COLUMNS] or list(keys)
     by_key = F.pmod(h(*[F.col(k) for k in keys]), F.lit(buckets))
-    by_row = F.pmod(h(*[F.col(c) for c in all_columns]), F.lit(buckets))
+    by_row = F.pmod(h(*[F.col(c) for c in stable]), F.lit(buckets))
     return F.when(any_null(keys), by_row).otherwise(by_key).cast("int")
 
 
@@ -358,12 +363,16 @@ def _overwrite_buckets(spark: SparkSession, df: DataFrame, ref: TableRef, layout
            .option("partitionOverwriteMode", "dynamic").save(ref.path))
 
 
+def resolve_layout(ref: TableRef, layout: str | None) -> str:
+    return layout or ("bucketed" if ref.name else "folders")
+
+
 def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict | str,
                keys: list[str] | str, as_of: dt.datetime | str | None = None, *,
                buckets: int = 64, batch_rows: int | None = None, batch_bytes: int | None = None,
                max_broadcast_bytes: int = 64 << 20, check_duplicates: bool = True,
                hot_key_rows: int = 10000, dedupe_by: list[str] | str | None = None,
-               layout: str | None = None) -> dict:
+               layout: str | None = None, touched: list[int] | None = None) -> dict:
     """Merge ``batch`` into a stored table; returns the merge counters.
 
     Table formats with row-level DML use their MERGE. Otherwise the bucketed
@@ -380,7 +389,7 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
     if ref.supports_row_level_dml() and ref.exists(spark):
         return _merge_with_table_format(batch, ref, keys, as_of)
 
-    layout = layout or ("bucketed" if ref.name else "folders")
+    layout = resolve_layout(ref, layout)
     if layout not in LAYOUTS or (layout == "bucketed" and not ref.name):
         raise ValueError(f"layout must be one of {LAYOUTS} ('bucketed' needs a catalog table)")
     bcols = [c for c in batch.columns if c != BUCKET]
@@ -390,7 +399,8 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
     observed_terms = [F.count_if(a == INSERT).alias("records_inserted"),
                       F.count_if(a == UPDATE).alias("records_updated")]
 
-    touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())  # <= buckets values
+    if touched is None or dedupe_by:
+        touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())  # <= buckets values
     current = _read_buckets(spark, ref, touched, buckets)
     if current is None:
         out = staged.withColumn(ACTION, F.lit(INSERT)).observe(metrics, *observed_terms).drop(ACTION)

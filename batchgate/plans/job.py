@@ -77,6 +77,9 @@ def run_job(spark: SparkSession, config: dict, batch_details: dict, *,
     spec = JobSpec.of(config)
     business_date = batch_details["business_date"]
     parse_business_date(business_date)
+    # One run time for every write of the run (raw, bronze, audit): the
+    # query-time clock would differ between actions.
+    as_of = as_of if as_of is not None else dt.datetime.now(dt.timezone.utc).isoformat(sep=" ")
     source_name = batch_details.get("source_name", spec.source.name)
     if skip_if_loaded and control is not None and already_loaded(spark, control, spec.name, business_date,
                                                                  batch_details["batch_id"]):

@@ -6,7 +6,10 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.merge import merge_into
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from ..operators.merge import BUCKET, bucket_expr, merge_into, resolve_layout
 from ..session import TableRef
 
 
@@ -43,10 +46,19 @@ def write_target(spark: SparkSession, df: DataFrame, mode: str, master: TableRef
     master. overwrite / append go to the master only.
     """
     if mode == "merge":
+        touched = None
         if raw is not None:
-            overwrite_table(df, raw)
+            # The raw table receives exactly the rows to merge: observe their
+            # buckets on that write (at most `buckets` values), not in a new pass.
+            layout = resolve_layout(TableRef.of(master), layout)
+            obs = Observation("batchgate_buckets")
+            cols = [c for c in df.columns if c != BUCKET]
+            overwrite_table(df.observe(obs, F.collect_set(bucket_expr(keys or [], buckets, cols, layout))
+                                       .alias("b")), raw)
+            touched = sorted(obs.get.get("b") or [])
         return merge_into(spark, df, master, keys or [], as_of, buckets=buckets, batch_rows=batch_rows,
-                          batch_bytes=batch_bytes, dedupe_by=dedupe_by or None, layout=layout)
+                          batch_bytes=batch_bytes, dedupe_by=dedupe_by or None, layout=layout,
+                          touched=touched)
     if mode == "overwrite":
         overwrite_table(df, master)
     elif mode == "append":

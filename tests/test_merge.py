@@ -181,3 +181,17 @@ def test_path_table_bucket_count_is_checked(spark, tmp_dir):
     with pytest.raises(ValueError, match="buckets=4"):
         merge.merge_into(spark, b, TableRef(path=tmp_dir), ["k"], AS_OF, buckets=8)
     assert merge.merge_into(spark, b, TableRef(path=tmp_dir), ["k"], AS_OF, buckets=4)["records_updated"] == 1
+
+
+def test_null_key_buckets_ignore_the_run_clock(spark, tmp_dir):
+    """With ingested_at = current time, NULL-key rows must land in buckets the
+    merge read; otherwise the dynamic overwrite would drop a bucket's rows."""
+    target = TableRef(path=tmp_dir)
+    base = with_metadata(spark.range(400).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v")),
+                         1, "2026-08-08", "crm")                       # as_of None: current_timestamp()
+    merge.merge_into(spark, base, target, ["k"], buckets=8)
+    nulls = with_metadata(spark.range(40).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("v")),
+                          2, "2026-08-09", "crm")
+    merge.merge_into(spark, nulls, target, ["k"], buckets=8)
+    out = spark.read.parquet(tmp_dir)
+    assert out.count() == 440 and out.filter("k IS NOT NULL").count() == 400
