@@ -8,6 +8,7 @@ TIMESTAMP; every computed column is aliased the same on both sides.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -735,10 +736,27 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_job_bronze_load(spark, SMOKE_DIR)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
 
 
+def _optional(module: str, attribute: str) -> dict:
+    """``attribute`` of a module that may have been removed ({} then); any
+    other import failure is raised."""
+    try:
+        return getattr(importlib.import_module(module), attribute)
+    except ModuleNotFoundError as e:
+        if e.name is None or not (module == e.name or e.name == "batchgate.llm"):
+            raise
+        return {}
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The core queries, and those of batchgate.llm and corpus_pipeline where present."""
+    return {**core_queries(), **_optional("batchgate.llm.queries", "QUERIES"),
+            **_optional("corpus_pipeline", "QUERIES")}
+
+
 _META_T = ("CAST(1 AS BIGINT) AS batch_id, TIMESTAMP '2026-08-07 00:00:00' AS buisness_date, 'crm' AS source_name, "
            "CAST(1 AS BIGINT) AS record_version, TIMESTAMP '2026-08-08 06:00:00' AS ingested_at, "
            "CAST(NULL AS TIMESTAMP) AS updated_at")
@@ -827,6 +845,11 @@ _CUST_META = ("c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, CAST(1 A
 
 
 def oracle_sql() -> dict[str, str]:
+    return {**core_oracle_sql(), **_optional("batchgate.llm.queries", "ORACLE_SQL"),
+            **_optional("corpus_pipeline", "ORACLE_SQLS")}
+
+
+def core_oracle_sql() -> dict[str, str]:
     merge_all = _merge_sql()
     union = lambda parts: " UNION ALL ".join(parts)
     six = union(_six_rules_sql(_CUST_NULLS))

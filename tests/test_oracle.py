@@ -8,7 +8,7 @@ import __spark_entry__ as E
 from oracle_check import TABLES, canon
 
 SF = "/root/testdata/sf0.001"
-SQL = E.oracle_sql()
+SQL = E.core_oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -23,14 +23,14 @@ def duck():
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():
-    rows_only = set(E.queries()) - set(SQL)
+    rows_only = set(E.core_queries()) - set(SQL)
     assert rows_only == {"limit_preview"}
-    assert set(SQL) <= set(E.queries())
+    assert set(SQL) <= set(E.core_queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
+    df = E.core_queries()[name](spark, SF)
     got = canon(df.columns, [tuple(r) for r in df.collect()])
     cur = duck.execute(SQL[name])
     want = canon([c[0] for c in cur.description], cur.fetchall())
