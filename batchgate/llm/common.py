@@ -3,6 +3,10 @@ cluster's shared folder, and the fixed white-space set of their contracts."""
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +41,20 @@ def word_count(text: Column) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """Sends this package to the executors' Python once per application, so the
+    operators that run Python there need no installation on the workers."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_batchgate_shipped", False):
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        target = os.path.join(tempfile.mkdtemp(prefix="batchgate-py-"), "batchgate.zip")   # served from the driver
+        with zipfile.ZipFile(target, "w") as z:
+            for folder, _, names in os.walk(package):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+        sc.addPyFile(target)
+        sc._batchgate_shipped = True
+    return spark

@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchgate.llm import chat_format, exact_dedup, mixing
+import public_tokenizers
+from batchgate.llm import bpe, chat_format, embed_dedup, exact_dedup, langid, mixing, quality, simhash, warc
+from batchgate.session import scratch_path
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -70,13 +72,89 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_cha
 """
 
 
+# ------------------------------------------------------------ 1 SimHash near-dedup
+
+def op1_simhash_near_dedup(spark, d):
+    out = simhash.near_dedup(_t(spark, d, "documents"), shingle=4, max_bits=4)
+    return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# -------------------------------------------------------------------------- 2 WARC
+
+def op2_warc(spark, d):
+    path = scratch_path(spark, "llm", "warc")
+    warc.write_archives(_t(spark, d, "pages"), path)
+    return warc.read_pages(spark, path).select(
+        F.expr("try_cast(id AS bigint)").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.expr("try_cast(refers_to AS bigint)").alias("refers_to"))
+
+
+_OP2_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to FROM f
+"""
+
+
+# --------------------------------------------------------------- 4 byte-level BPE
+
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+def op4_bpe(spark, d):
+    path = public_tokenizers.path(VOCABULARY)
+    ids = bpe.encode(_t(spark, d, "documents"), path, public_tokenizers.PATTERN)
+    return bpe.decode(ids, path).select(
+        F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+# ---------------------------------------------------------- 5 quality classifier
+
+def _crc(column: str, modulus: int):
+    return F.crc32(F.col(column).cast("string")) % modulus
+
+
+def op5_quality(spark, d):
+    docs = _t(spark, d, "documents")
+    model = quality.fit(docs, _t(spark, d, "labels"), allowed=_crc("id", 5) != 0)
+    return quality.score(docs, model).select(
+        F.col("id").alias("doc_id"), F.coalesce(_crc("id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+# ------------------------------------------------------- 8 embedding near-dedup
+
+def op8_embedding_near_dedup(spark, d):
+    out = embed_dedup.near_dedup(_t(spark, d, "embeddings"), threshold=0.9)
+    return out.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
+# ----------------------------------------------------------------- 10 language ID
+
+def op10_language_id(spark, d):
+    docs = _t(spark, d, "documents")
+    model = langid.fit(docs, allowed=_crc("id", 4) != 2)
+    return langid.predict(docs, model).select(
+        F.col("id").alias("doc_id"), F.coalesce(_crc("id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
+    "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_warc": op2_warc,
+    "op4_bpe": op4_bpe,
+    "op5_quality": op5_quality,
     "op6_chat_format": op6_chat_format,
     "op7_mixing": op7_mixing,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL = {
+    "op2_warc": _OP2_SQL,
     "op6_chat_format": _OP6_SQL,
     "op9_exact_dedup": _OP9_SQL,
 }
