@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from batchgate.llm import bpe, chat_format, embed_dedup, exact_dedup, langid, mixing, quality, simhash, warc
+from batchgate.llm import bpe, chat_format, embed_dedup, exact_dedup, langid, mixing, quality, simhash, suffix_dedup, warc
 from batchgate.session import scratch_path
 
 
@@ -98,6 +98,14 @@ SELECT page_id, payload_bytes, payload_digest,
 """
 
 
+# ------------------------------------------------------------- 3 passage dedup
+
+def op3_passage_dedup(spark, d):
+    out = suffix_dedup.drop_repeats(_t(spark, d, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                      (F.size("spans") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # --------------------------------------------------------------- 4 byte-level BPE
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -144,6 +152,7 @@ def op10_language_id(spark, d):
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_warc": op2_warc,
+    "op3_passage_dedup": op3_passage_dedup,
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
     "op6_chat_format": op6_chat_format,
