@@ -148,8 +148,11 @@ def turns_from_json(df: DataFrame, id_col: str = "conv_id", json_col: str = "jso
     the fingerprint is returned for a report.
     """
     text = F.col(json_col)
-    nested = [F.transform(F.coalesce(F.json_object_keys(F.get_json_object(text, f"$.{f}[0]")), F.array().cast("array<string>")),
-                          lambda k, f=f: F.concat(F.lit(f"{f}[]."), k)) for f in ("messages", "conversations")]
+    def inner(field: str) -> Column:
+        keys = F.json_object_keys(F.get_json_object(text, f"$.{field}[0]"))
+        return F.transform(F.coalesce(keys, F.array().cast("array<string>")), lambda k: F.concat(F.lit(f"{field}[]."), k))
+
+    nested = [inner("messages"), inner("conversations")]
     top = F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
     paths = F.array_sort(F.array_distinct(F.transform(F.concat(top, *nested), lambda k: F.lower(k))))
     known = F.filter(paths, lambda k: k.isin(sorted(KNOWN)))
