@@ -26,7 +26,8 @@ Defined results
   * NULL text has size 0; sizes of 0 take 0 words. A NULL source is a source
     of its own and sorts last; ids may be NULL or repeat (repeated rows are
     interchangeable). An empty table gives an empty result.
-  * Reruns agree: ties are ordered by a hash of id and size.
+  * Reruns agree, however rows are dealt: sums are exact, ties are ordered by a
+    hash of id and size.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ from batchgate.llm.common import word_count, written
 KEY = ["src", "src_null"]
 CELL = 1024
 TOLERANCE = 1e-7
+EXACT = "decimal(38,12)"            # sums that do not depend on the order of their terms
 MAX_STEPS = 80
 
 
@@ -97,9 +99,9 @@ def balance(atoms: DataFrame, targets: DataFrame, cap: float,
         c = F.col("cls") / F.col("mean")
         raw = F.exp(F.least(F.col("lam") * c, F.lit(50.0)))
         sums = (live.join(state.select(*KEY, "mean", "lam"), KEY)
-                    .select(*KEY, (F.col("tokens") * F.least(raw, F.lit(float(cap)))).alias("f"),
-                            F.when(raw < F.lit(float(cap)), F.col("tokens") * c * raw).otherwise(0.0).alias("h"))
-                    .groupBy(*KEY).agg(F.sum("f").alias("f"), F.sum("h").alias("h")))
+                    .select(*KEY, (F.col("tokens") * F.least(raw, F.lit(float(cap)))).cast(EXACT).alias("f"),
+                            F.when(raw < F.lit(float(cap)), F.col("tokens") * c * raw).otherwise(0.0).cast(EXACT).alias("h"))
+                    .groupBy(*KEY).agg(F.sum("f").cast("double").alias("f"), F.sum("h").cast("double").alias("h")))
         step = state.join(sums, KEY).withColumn("gap", F.col("f") - F.col("target"))
         done = F.abs(F.col("gap")) <= F.col("target") * F.lit(tolerance)
         step = step.withColumns({"lo": F.when((F.col("gap") < 0) & ~done, F.col("lam")).otherwise(F.col("lo")),
