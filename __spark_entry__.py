@@ -150,6 +150,27 @@ def q_scan_csv_corrupt(spark, d):
     return parsed.select(*cust.columns, F.col(files.CORRUPT).isNotNull().alias("corrupt"))
 
 
+def q_scan_by_name_two_headers(spark, d):
+    """Two drops whose headers list the columns in different orders, read at once."""
+    cust = _t(spark, d, "customer")
+    base = scratch_path(spark, "csv", "customer_two")
+    _write_csv(cust.filter("c_custkey % 2 = 0"), f"{base}/drop_01-01-2026.csv")
+    _write_csv(cust.filter("c_custkey % 2 = 1").select(*reversed(cust.columns)), f"{base}/drop_02-01-2026.csv")
+    src = {"type": "file", "format": "csv", "header": True, "binding": "name", "path": base,
+           "file_format": "drop_{dd}-{MM}-{yyyy}.csv"}
+    return files.scan_dated_files(spark, src, cust.schema)
+
+
+def q_scan_by_name_corrupt(spark, d):
+    """As scan_csv_corrupt, the columns reordered and bound by name."""
+    cust = _t(spark, d, "customer")
+    path = scratch_path(spark, "csv", "customer_named_corrupt")
+    text = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("n/a")).otherwise(F.col("c_acctbal").cast("string"))
+    _write_csv(cust.withColumn("c_acctbal", text).select(*reversed(cust.columns)), path)
+    parsed = files.scan_csv(spark, path, cust.schema, {"header": True, "binding": "name"}, corrupt=True)
+    return parsed.select(*cust.columns, F.col(files.CORRUPT).isNotNull().alias("corrupt"))
+
+
 def q_scan_table(spark, d):
     db = scratch_database(spark)
     name = f"{db}.customer_copy"
@@ -304,31 +325,38 @@ def q_filter_eq(spark, d):
 
 # --------------------------------------------------------------------------- aggregates
 
+def _failed_by_rule(results: DataFrame, names: list[str]) -> DataFrame:
+    """One row: the failed records of each rule, in config order."""
+    return results.agg(*[F.max(F.when(F.col("rule_index") == i, F.col("records_failed"))).alias(n) for i, n in enumerate(names)])
+
+
 def q_agg_row_count(spark, d):
-    return _t(spark, d, "customer").agg(F.count(F.lit(1)).alias("row_count"))
+    r = quality.evaluate(_t(spark, d, "customer"), [{"name": "row_count", "min": 0}])
+    return r.select(F.col("records_checked").alias("row_count"))
 
 
 def q_agg_count_if(spark, d):
     c = _t(spark, d, "customer")
-    return c.agg(F.count_if(F.col("c_acctbal") < 0).alias("negative_balance"),
-                 F.count_if(F.col("c_mktsegment") == "BUILDING").alias("building"),
-                 F.count_if(F.col("c_nationkey") > 20).alias("high_nation"))
+    return _failed_by_rule(quality.evaluate(c, [
+        {"name": "expression", "expression": "c_acctbal >= 0"},
+        {"name": "expression", "expression": "c_mktsegment <> 'BUILDING'"},
+        {"name": "expression", "expression": "c_nationkey <= 20"},
+    ]), ["negative_balance", "building", "high_nation"])
 
 
 def q_agg_null_profile(spark, d):
     c = _customer_nulls(spark, d)
-    return c.agg(*[F.coalesce(F.sum(F.when(F.col(x).isNull(), 1).otherwise(0)), F.lit(0)).alias(x)
-                   for x in ["c_custkey", "c_nationkey", "c_mktsegment"]])
+    names = ["c_custkey", "c_nationkey", "c_mktsegment"]
+    return _failed_by_rule(quality.evaluate(c, [{"name": "non_nullable", "columns": [x]} for x in names]), names)
 
 
 def q_agg_group_count(spark, d):
-    return _t(spark, d, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    return merge.key_counts(_t(spark, d, "orders"), ["o_custkey"]).withColumnRenamed("_bg_n", "n")
 
 
 def q_agg_duplicate_excess(spark, d):
-    g = _t(spark, d, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
-    return g.filter(F.col("n") > 1).agg(
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_excess"))
+    r = quality.evaluate(_t(spark, d, "orders"), [{"name": "unique_key", "columns": ["o_custkey"]}])
+    return r.select(F.col("records_failed").alias("duplicate_excess"))
 
 
 # --------------------------------------------------------------------------- rules
@@ -378,6 +406,13 @@ def q_rule_range_text(spark, d):
                     [{"name": "range", "column": "c_acctbal_text", "min": 0, "max": 9000}])
 
 
+def q_rule_range_text_exact(spark, d):
+    """Amounts as text, around a bound that doubles cannot tell from its neighbours."""
+    o = _t(spark, d, "orders").select(F.concat((F.col("o_orderkey") % 3 + F.lit(9007199254740991)).cast("string"),
+                                               F.when(F.col("o_orderkey") % 5 == 0, "d").otherwise("")).alias("amount"))
+    return _results(o, [{"name": "range", "column": "amount", "min": 0, "max": 9007199254740992}])
+
+
 def q_rule_row_count(spark, d):
     return _results(_t(spark, d, "lineitem"), [{"name": "row_count", "min": 1, "max": 50000}])
 
@@ -516,14 +551,23 @@ def q_merge_broadcast(spark, d):
 
 def q_merge_insert_only(spark, d):
     t, b = _merge_inputs(spark, d)
-    m = merge.merge_frames(t, b, "o_orderkey", AS_OF_2, with_action=True)
-    return _ntz(m.filter(F.col("_action") == "insert").drop("_action"))
+    return _ntz(merge.inserted_rows(t, b, "o_orderkey"))
 
 
 def q_merge_update_only(spark, d):
     t, b = _merge_inputs(spark, d)
-    m = merge.merge_frames(t, b, "o_orderkey", AS_OF_2, with_action=True)
-    return _ntz(m.filter(F.col("_action") == "update").drop("_action"))
+    return _ntz(merge.matched_rows(t, b, "o_orderkey", AS_OF_2))
+
+
+def q_merge_key_types(spark, d):
+    """A stored table with bigint keys, a batch whose keys are int: hashed under the stored type."""
+    t, b = _merge_inputs(spark, d)
+    target = TableRef(path=scratch_path(spark, "tables", "orders_keys"))
+    big = t.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
+    merge.merge_into(spark, big, target, ["o_orderkey"], AS_OF_1, buckets=16)
+    merge.merge_into(spark, b.withColumn("o_orderkey", F.col("o_orderkey").cast("int")), target, ["o_orderkey"], AS_OF_2, buckets=16)
+    out = tables.scan_table(spark, target).drop(merge.BUCKET)
+    return _ntz(out.withColumn("o_orderkey", F.col("o_orderkey").cast(t.schema["o_orderkey"].dataType)))
 
 
 def q_merge_null_keys(spark, d):
@@ -543,7 +587,7 @@ def q_merge_dedupe(spark, d):
     newer = b.filter(F.col("o_orderdate") >= F.lit("1999-01-01").cast("timestamp_ntz")) \
              .withColumn("o_totalprice", F.col("o_totalprice") + 1)
     batch = b.withColumn("_version", F.lit(1)).unionByName(newer.withColumn("_version", F.lit(2)))
-    return _ntz(merge.merge_frames(t, merge.dedupe_latest(batch, ["o_orderkey"], "_version"),
+    return _ntz(merge.merge_frames(t, merge.dedupe_latest(batch, ["o_orderkey"], "_version").drop("_version"),
                                    "o_orderkey", AS_OF_2))
 
 
@@ -1027,6 +1071,15 @@ def core_oracle_sql() -> dict[str, str]:
                              "count(*) FILTER (WHERE event_type = 'error') AS records_invalid, max(ts) AS finished_at "
                              "FROM events GROUP BY user_id"),
         "scan_csv_by_name": "SELECT * FROM customer",
+        "scan_by_name_two_headers": ("SELECT *, CASE WHEN c_custkey % 2 = 0 THEN DATE '2026-01-01' ELSE DATE '2026-01-02' END "
+                                     "AS business_date FROM customer"),
+        "scan_by_name_corrupt": ("SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL "
+                                 "ELSE c_acctbal END AS c_acctbal, c_mktsegment, c_mktsegment = 'BUILDING' AS corrupt "
+                                 "FROM customer"),
+        "merge_key_types": _no_action(merge_all),
+        "rule_range_text_exact": _rule_sql(
+            "range", "ERROR", "count(*)",
+            "count(*) FILTER (WHERE o_orderkey % 5 = 0 OR o_orderkey % 3 + 9007199254740991 > 9007199254740992)", "orders"),
         "scan_csv_corrupt": ("SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL "
                              "ELSE c_acctbal END AS c_acctbal, c_mktsegment, c_mktsegment = 'BUILDING' AS corrupt "
                              "FROM customer"),

@@ -8,6 +8,7 @@ with ``count_if`` in one aggregate.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 from operator import or_
 from typing import Any, Iterable
@@ -21,6 +22,9 @@ from pyspark.sql import types as T
 # line break and would let "12\n" pass.
 DIGITS_ONLY = r"^[0-9]+\z"
 
+# A plain decimal number, as a range rule reads it from text.
+NUMBER_ONLY = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*\z"
+
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
 
@@ -93,18 +97,23 @@ def not_in(c: str | Column, values: Iterable[Any]) -> Column:
 def outside_range(c: str | Column, lo: Any, hi: Any, dtype: T.DataType | None = None) -> Column:
     """Non-NULL values below ``lo`` or above ``hi`` (bounds inclusive).
 
-    A text column compared with numeric bounds is read with ``try_cast`` to
-    double; a value that is not a number counts as failed instead of aborting
-    the job. NaN sorts above every number, so it fails a max bound.
+    A text column compared with numeric bounds must hold a plain decimal number
+    (sign, digits, point, exponent); any other text ('5d', 'NaN') fails. Numbers
+    are compared exactly as DECIMAL(38, 18); those beyond its 20 integer digits
+    as doubles, where no such bound is near.
     """
     col = _col(c)
     numeric_bounds = all(isinstance(b, (int, float)) for b in (lo, hi) if b is not None)
     if isinstance(dtype, T.StringType) and numeric_bounds:
-        value = col.try_cast("double")
-        cond = _bounded(value, lo, hi)
-        if cond is None:
+        bounds = [None if b is None else Decimal(str(b)) for b in (lo, hi)]
+        loose = _bounded(col.try_cast("double"), lo, hi)
+        if loose is None:
             return F.lit(False)
-        return null_safe(col.isNotNull() & (value.isNull() | cond))
+        exact_ok = all(b is None or (b.is_finite() and abs(b) < 10 ** 20) for b in bounds)
+        value = col.try_cast("decimal(38,18)")
+        exact = _bounded(value, *[None if b is None else F.lit(b).cast("decimal(38,18)") for b in bounds]) if exact_ok else loose
+        cond = F.when(value.isNotNull(), exact).otherwise(loose) if exact_ok else loose
+        return null_safe(col.isNotNull() & (~col.rlike(NUMBER_ONLY) | cond))
     if dtype is not None and not isinstance(dtype, _NUMERIC + (T.StringType,)):
         lo = None if lo is None else F.lit(lo).cast(dtype)
         hi = None if hi is None else F.lit(hi).cast(dtype)

@@ -3,8 +3,7 @@
 from .audit import failure_audit, flag_failures, record_key, split_valid_invalid
 from .merge import (MergeConflictError, bucket_expr, check_duplicate_matches, heavy_keys,
                     key_counts, merge_frames, merge_into, merge_metrics)
-from .quality import (ValidationError, collect_results, evaluate, gate, summarize,
-                      summary_dict, validate)
+from .quality import (ValidationError, collect_results, evaluate, gate, summarize, validate)
 from .rules import CompiledRule, compile_rules, register_rule, registered_rules
 
 __all__ = [
@@ -12,5 +11,5 @@ __all__ = [
     "check_duplicate_matches", "collect_results", "compile_rules", "evaluate", "failure_audit",
     "flag_failures", "gate", "heavy_keys", "key_counts", "merge_frames", "merge_into",
     "merge_metrics", "record_key", "register_rule", "registered_rules", "split_valid_invalid",
-    "summarize", "summary_dict", "validate",
+    "summarize", "validate",
 ]

@@ -5,7 +5,9 @@ passing records. Row-level rules are found in a single pass: each rule adds a
 ``when(failed, struct(..))`` entry to an array that is filtered and exploded.
 Unique-key rules add one grouped pass; rows with a NULL key part are flagged
 without any join, and rows of duplicated keys by a join with the (deduplicated)
-key counts, which AQE may broadcast or split when a key is hot.
+key counts. The counts are rebalanced first: joined as they come, the join would
+reuse the aggregate's partitioning, and adaptive execution could not split a
+key that holds much of the table.
 """
 
 from __future__ import annotations
@@ -54,7 +56,7 @@ def _row_entries(compiled: list[CompiledRule]) -> list[Column]:
 def _dup_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Non-NULL keys that occur more than once, with their count (grouped pass)."""
     return (df.filter(~any_null(keys)).groupBy(*keys)
-              .agg(F.count(F.lit(1)).alias("_bg_n")).filter(F.col("_bg_n") > 1))
+              .agg(F.count(F.lit(1)).alias("_bg_n")).filter(F.col("_bg_n") > 1).hint("rebalance"))
 
 
 def failure_audit(df: DataFrame, rules: Any, key_columns: list[str]) -> DataFrame:
@@ -123,15 +125,13 @@ def audit_table_rows(audit_rows: DataFrame, job_run_id: int, job_name: str, sour
                      business_date: str, table_name: str, as_of=None) -> DataFrame:
     """Audit rows in the ``dq_failure_audit`` layout.
 
-    ``dq_failure_id`` is ``monotonically_increasing_id``: unique within the
-    write, no driver round trip. Rows from the row-rule pass keep their id
-    when a lost task is recomputed (same landed split, same order); rows that
-    come after the duplicate-key join may be numbered differently on a
-    recompute, but stay unique.
+    ``dq_failure_id`` is a 64-bit hash of the run, the violation and the row's
+    number within the write, so ids of several runs appended to one table do
+    not repeat; no driver round trip.
     """
     from ..functions.columns import as_of_column
     return audit_rows.select(
-        F.monotonically_increasing_id().alias("dq_failure_id"),
+        F.xxhash64(F.lit(job_run_id).cast("bigint"), *AUDIT_COLUMNS, F.monotonically_increasing_id()).alias("dq_failure_id"),
         F.lit(job_run_id).cast("bigint").alias("job_run_id"),
         F.lit(job_name).alias("job_name"),
         F.lit(source_name).cast("string").alias("source_name"),

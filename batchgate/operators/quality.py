@@ -196,27 +196,10 @@ def gate(results: DataFrame | list[Row]) -> list[Row]:
     return rows
 
 
-def summary_dict(rows: list[Row]) -> dict:
-    """The rule-list engine's return value, built from collected results."""
-    results = [{k: r[k] for k in S.RESULT_SCHEMA.fieldNames()} for r in rows]
-    failed = [r for r in results if r["status"] == FAIL]
-    warned = [r for r in results if r["status"] == WARN]
-    if any(r["status"] == FAIL and r["severity"] in FAIL_SEVERITIES for r in results):
-        overall = FAIL
-    elif warned:
-        overall = WARN
-    else:
-        overall = PASS
-    return {
-        "overall_status": overall,
-        "total_rules": len(results),
-        "passed_rules": sum(r["status"] == PASS for r in results),
-        "failed_rules": len(failed),
-        "warning_rules": len(warned),
-        "results": results,
-    }
-
-
 def validate(df: DataFrame, validation_config: Any) -> dict:
-    """Evaluate a validation config and return the summary dict (one action)."""
-    return summary_dict(collect_results(evaluate(df, validation_config)))
+    """Evaluate a validation config; the summary and the results as one dict."""
+    results = evaluate(df, validation_config)
+    rows = collect_results(results)
+    # The results are at most one row per rule: summarised by the same operator, without a second scan.
+    kept = df.sparkSession.createDataFrame(rows, results.schema) if rows else results
+    return {**summarize(kept).first().asDict(), "results": [{k: r[k] for k in S.RESULT_SCHEMA.fieldNames()} for r in rows]}

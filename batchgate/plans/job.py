@@ -29,8 +29,9 @@ from .. import schemas as S
 from ..functions.columns import with_metadata
 from ..operators.audit import audit_table_rows, failure_audit
 from ..operators.quality import collect_results, evaluate, gate
+from ..operators.rule_table import rules_from_table
 from ..session import TableRef, scratch_path
-from ..sources.files import CORRUPT, land, read_source
+from ..sources.files import CORRUPT, land, read_source, scan_csv
 from ..spec import JobSpec, parse_business_date
 from .runs import FAILED, SUCCEEDED, finish, latest_runs, new_run, record_event
 from .sinks import append_table, write_target
@@ -65,9 +66,15 @@ def run_job(spark: SparkSession, config: dict, batch_details: dict, *,
             as_of: dt.datetime | str | None = None, job_run_id: int | None = None,
             landing_path: str | None = None,
             audit: TableRef | dict | str | None = None,
-            skip_if_loaded: bool = False) -> dict[str, Any]:
+            skip_if_loaded: bool = False, paths: list[str] | None = None,
+            rules_table: TableRef | dict | str | None = None) -> dict[str, Any]:
     """Run one load; returns the run's counters and rule results.
 
+    ``paths`` loads these files instead of the dated path (a stream's new
+    files of one day). ``rules_table`` (or ``validation.rules_table`` of the
+    config) names a table in the ``dq_rules`` layout whose active rules for
+    this job are checked after the configured ones.
+
     With ``audit``, failing records are appended to that table (layout
     ``dq_failure_audit``) when any rule failed or warned -- before the gate,
     so a rejected batch leaves its evidence; a clean batch adds no rows.
@@ -91,15 +98,19 @@ def run_job(spark: SparkSession, config: dict, batch_details: dict, *,
     records_read = records_valid = None
     try:
         schema = schema or source_schema(spark, spec)
-        parsed = read_source(spark, spec.source, business_date, schema, corrupt=True)
+        rules = list(spec.rules)
+        if (stored := rules_table or spec.rules_table) is not None:
+            rules += rules_from_table(TableRef.of(stored).read(spark), spec.name)
+        parsed = (scan_csv(spark, paths, schema, spec.source, corrupt=True) if paths is not None
+                  else read_source(spark, spec.source, business_date, schema, corrupt=True))
         landed_df, landed = land(parsed, landing_path or scratch_path(spark, "landing", spec.name))
         records_read = landed["rows"]
         # Rules see the landed copy with _corrupt_record (rule no_parse_errors);
         # everything written drops it.
-        results = collect_results(evaluate(landed_df, spec.rules))
+        results = collect_results(evaluate(landed_df, rules))
         staged = landed_df.drop(CORRUPT)
         if audit is not None and any(r["status"] != "PASS" for r in results):
-            rows = failure_audit(landed_df, spec.rules, spec.keys)
+            rows = failure_audit(landed_df, rules, spec.keys)
             append_table(audit_table_rows(rows, run["job_run_id"], spec.name, source_name, business_date,
                                           spec.master.table or spec.master.label, as_of), audit)
         gate(results)
@@ -117,14 +128,12 @@ def run_job(spark: SparkSession, config: dict, batch_details: dict, *,
                 "corrupt_rows": landed.get("corrupt_rows", 0), **merged,
                 "results": [r.asDict() for r in results]}
     except Exception as error:
-        log.exception("Job failed: job=%s business_date=%s", spec.name, business_date)
-        invalid = (records_read - records_valid
-                   if records_read is not None and records_valid is not None else None)
-        failed = finish(run, FAILED, records_read=records_read, records_valid=records_valid,
-                        records_invalid=invalid, error_summary=str(error))
         if control is not None:
+            # What is known by now: rows read if the landing finished, rows valid if the gate was passed.
+            known = {k: v for k, v in (("records_read", records_read), ("records_valid", records_valid)) if v is not None}
+            event = finish(run, FAILED, error_summary=f"{type(error).__name__}: {error}", **known)
             try:
-                record_event(spark, control, failed)
+                record_event(spark, control, event)
             except Exception:
-                log.exception("Failed to record the FAILED event of run %s", run["job_run_id"])
+                log.exception("run %s failed, and its event could not be written", run["job_run_id"])
         raise

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from ..operators.merge import BUCKET, bucket_expr, merge_into, resolve_layout
+from ..operators.merge import BUCKET, bucket_expr, conform, merge_into, resolve_layout, target_schema
 from ..session import TableRef
 
 
@@ -23,6 +23,13 @@ def append_table(df: DataFrame, table: TableRef | dict | str) -> None:
     if ref.name:
         _writer(df, ref, "append").saveAsTable(ref.name)
     else:
+        # Files of another schema beside the old ones would be read back without an error, columns missing.
+        if ref.exists(df.sparkSession):
+            have = {x.name: x.dataType.simpleString() for x in ref.read(df.sparkSession).schema.fields}
+            new = {x.name: x.dataType.simpleString() for x in df.schema.fields}
+            if have != new:
+                odd = sorted(c for c in {*have, *new} if have.get(c) != new.get(c))
+                raise ValueError(f"Append to {ref.label} with another schema; columns that differ: {odd}")
         _writer(df, ref, "append").save(ref.path)
 
 
@@ -32,7 +39,8 @@ def overwrite_table(df: DataFrame, table: TableRef | dict | str) -> None:
     if ref.name:
         _writer(df, ref, "overwrite").saveAsTable(ref.name)
     else:
-        _writer(df, ref, "overwrite").save(ref.path)
+        # Stated, since a concurrent merge may hold the session's mode at dynamic.
+        _writer(df, ref, "overwrite").option("partitionOverwriteMode", "static").save(ref.path)
 
 
 def write_target(spark: SparkSession, df: DataFrame, mode: str, master: TableRef,
@@ -52,6 +60,8 @@ def write_target(spark: SparkSession, df: DataFrame, mode: str, master: TableRef
             # buckets on that write (at most `buckets` values), not in a new pass.
             layout = resolve_layout(TableRef.of(master), layout)
             obs = Observation("batchgate_buckets")
+            stored = target_schema(spark, TableRef.of(master))
+            df = conform(df, stored) if stored is not None else df      # keys are hashed under their stored types
             cols = [c for c in df.columns if c != BUCKET]
             overwrite_table(df.observe(obs, F.collect_set(bucket_expr(keys or [], buckets, cols, layout))
                                        .alias("b")), raw)

@@ -12,9 +12,20 @@ import tempfile
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Error conditions of a path that holds no table (missing, or a folder without data files).
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def path_missing(error: AnalysisException) -> bool:
+    """True only if the error says that nothing is stored there; any other storage
+    error must not be taken for an absent table (it would be overwritten)."""
+    return (error.getCondition() or "") in _ABSENT
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session, set up only if unset."""
     try:
@@ -30,7 +41,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         return sc.getCheckpointDir().rstrip("/")
     if conf:
         return conf.rstrip("/")
-    # Unset: a local session (tests). Pick a private folder once.
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    # Unset in a local session (tests): pick a private folder once.
     local = tempfile.mkdtemp(prefix="batchgate-ckpt-")
     if sc is None:
         spark.conf.set("spark.checkpoint.dir", local)
@@ -90,8 +104,10 @@ class TableRef:
         try:
             spark.read.format(self.format).load(self.path).schema
             return True
-        except Exception:
-            return False
+        except AnalysisException as e:
+            if path_missing(e):
+                return False
+            raise
 
     def read(self, spark: SparkSession) -> DataFrame:
         if self.name:

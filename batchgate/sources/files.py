@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -52,28 +55,58 @@ def _reader(spark: SparkSession, src: SourceSpec, schema: T.StructType | None, c
 
 
 def scan_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType,
-             source: SourceSpec | dict | None = None, *, corrupt: bool = False) -> DataFrame:
+             source: SourceSpec | dict | None = None, *, corrupt: bool = False,
+             path_column: str | None = None) -> DataFrame:
     """CSV under an explicit schema.
 
     ``binding='position'`` binds columns by position; with ``check_header``
     the header must name the schema's columns (in order, case ignored) or the
-    read fails instead of silently shifting data. ``binding='name'`` maps
-    header names to the schema, parses timestamps by pattern, and yields NULL
-    for absent columns and unparseable values. ``corrupt`` adds
-    ``_corrupt_record`` holding the raw line of rows that failed to parse.
+    read fails instead of silently shifting data. ``binding='name'`` maps the
+    header names of **each file** to the schema, parses timestamps by pattern,
+    and yields NULL for absent columns and unparseable values. ``corrupt``
+    adds ``_corrupt_record`` for rows that failed to parse (the raw line by
+    position; the row's fields as text by name). ``path_column`` adds the
+    file of each row.
     """
     src = source if isinstance(source, SourceSpec) else SourceSpec.of(source or {})
     if src.binding == "name":
-        return _scan_by_name(spark, paths, schema, src)
-    return _reader(spark, src, schema, src.check_header, corrupt).load(paths)
-
-
-def _scan_by_name(spark: SparkSession, paths, schema: T.StructType, src: SourceSpec) -> DataFrame:
-    raw = _reader(spark, src, None, False, False).load(paths)
-    present = set(raw.columns)
-    out = []
+        return _scan_by_name(spark, paths, schema, src, corrupt, path_column)
+    df = _reader(spark, src, schema, src.check_header, corrupt).load(paths)
+    return df.withColumn(path_column, F.col("_metadata.file_path")) if path_column else df
+
+
+def _headers(spark: SparkSession, paths, src: SourceSpec) -> dict[tuple[str, ...], list[str] | str]:
+    """The files under ``paths`` by their header. Of each file only the first line
+    is read; the driver holds one header per file of the drop."""
+    whole = _reader(spark, src, None, False, False).load(paths)
+    names = sorted(whole.inputFiles())
+    if not src.header or len(names) <= 1:
+        return {tuple(whole.columns): paths}
+    with ThreadPoolExecutor(8) as pool:
+        found = list(pool.map(lambda name: tuple(_reader(spark, src, None, False, False).load(unquote(name)).columns), names))
+    if len(set(found)) == 1:
+        return {found[0]: paths}
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for header, name in zip(found, names):
+        groups.setdefault(header, []).append(unquote(name))
+    return groups
+
+
+def _scan_by_name(spark: SparkSession, paths, schema: T.StructType, src: SourceSpec, corrupt: bool,
+                  path_column: str | None) -> DataFrame:
+    """One scan for each distinct header among the files."""
+    parts = [_bound_by_name(spark, group, header, schema, src, corrupt, path_column)
+             for header, group in _headers(spark, paths, src).items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _bound_by_name(spark: SparkSession, paths, header: tuple[str, ...], schema: T.StructType, src: SourceSpec,
+                   corrupt: bool, path_column: str | None) -> DataFrame:
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    raw = _reader(spark, src, texts, False, corrupt).load(paths)
+    out, bad = [], []
     for f in schema.fields:
-        if f.name not in present:
+        if f.name not in header:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
             continue
         c = F.col(f"`{f.name}`")
@@ -85,7 +118,15 @@ def _scan_by_name(spark: SparkSession, paths, schema: T.StructType, src: SourceS
             parsed = c
         else:
             parsed = c.try_cast(f.dataType)
+        if not isinstance(f.dataType, T.StringType):
+            bad.append(c.isNotNull() & parsed.isNull())
         out.append(parsed.alias(f.name))
+    if corrupt:
+        line = F.concat_ws(src.delimiter, *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in header])
+        failed = reduce(lambda a, b: a | b, bad) if bad else F.lit(False)
+        out.append(F.coalesce(F.col(CORRUPT), F.when(failed, line)).alias(CORRUPT))
+    if path_column:
+        out.append(F.col("_metadata.file_path").alias(path_column))
     return raw.select(*out)
 
 
@@ -167,8 +208,9 @@ def dated_glob(source: SourceSpec | dict, start: str | None = None, end: str | N
 def scan_dated_files(spark: SparkSession, source: SourceSpec | dict, schema: T.StructType, *,
                      dates: Iterable[str] | None = None, start: str | None = None,
                      end: str | None = None, date_column: str = "business_date",
-                     missing_ok: bool = False) -> DataFrame:
-    """Many business dates in ONE scan, each row tagged with its file's date.
+                     missing_ok: bool = False, corrupt: bool = False) -> DataFrame:
+    """Many business dates in ONE scan, each row tagged with its file's date
+    (by name: one scan per distinct header). ``corrupt`` as in :func:`scan_csv`.
 
     ``dates`` lists the days explicitly (each must exist unless
     ``missing_ok``); otherwise the drops of the ``start``..``end`` range
@@ -182,9 +224,8 @@ def scan_dated_files(spark: SparkSession, source: SourceSpec | dict, schema: T.S
         paths = [dated_path(src, d) for d in dates]
     else:
         paths = [dated_glob(src, start, end, dates)]
-    df = scan_csv(spark, paths, schema, src)
-    day = date_from_path(F.col("_metadata.file_path"), src.file_format)
-    df = df.withColumn(date_column, day)
+    df = scan_csv(spark, paths, schema, src, corrupt=corrupt, path_column="_bg_path")
+    df = df.withColumn(date_column, date_from_path(F.col("_bg_path"), src.file_format)).drop("_bg_path")
     if start is not None:
         df = df.filter(F.col(date_column) >= F.lit(parse_business_date(start)))
     if end is not None:

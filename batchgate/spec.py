@@ -107,10 +107,16 @@ class JobSpec:
     buckets: int = 64
     dedupe_by: list[str] = field(default_factory=list)
     layout: str | None = None
+    rules_table: Any = None
 
     @classmethod
     def of(cls, config: dict) -> "JobSpec":
         job = config.get("job", {})
+        validation = config.get("validation")
+        rules_table = None
+        if isinstance(validation, dict) and "rules_table" in validation:
+            rules_table = validation["rules_table"]
+            validation = {k: v for k, v in validation.items() if k != "rules_table"}
         target = config["target"]
         write = target.get("write", {})
         mode = write.get("mode", "append")
@@ -127,8 +133,9 @@ class JobSpec:
             master=TableRef.of(target["master"]),
             write_mode=mode,
             keys=keys,
-            rules=normalize_rules(config.get("validation")),
+            rules=normalize_rules(validation),
             buckets=int(write.get("buckets", 64)),
             dedupe_by=normalize_keys(write.get("dedupe_by")),
             layout=write.get("layout"),
+            rules_table=rules_table,
         )

@@ -9,8 +9,8 @@ from batchgate.plans import job, runs
 from batchgate.session import TableRef
 
 CSV = ["customer_id,customer_name,email,phone,city,state,country,created_at,updated_at_raw",
-       "C001,Arun Kumar,arun@example.com,9876543210,Chennai,TN,IN,2026/09/25 09:15:00,2026/09/26 08:10:00",
-       "C002,Priya Sharma,priya@example.com,9876543211,Chennai,TN,IN,2026/09/25 10:20:00,2026/09/26 08:25:00"]
+       "C001,Mona Quill,mona@quill.test,5550101010,Brayford,BF,ZZ,2026/03/02 07:05:00,2026/03/03 06:20:00",
+       "C002,Odo Fenn,odo@fenn.test,5550202020,Brayford,BF,ZZ,2026/03/02 11:40:00,2026/03/03 06:45:00"]
 
 
 def write_text(spark, path, lines):
@@ -34,7 +34,7 @@ def config(base, root, validation=None):
 def test_success_then_gate_failure(spark, tmp_dir):
     base, root = f"{tmp_dir}/landing", f"{tmp_dir}/tables"
     write_text(spark, f"{base}/crm_customers_08-08-2026.csv", CSV)
-    write_text(spark, f"{base}/crm_customers_09-08-2026.csv", CSV[:2] + [CSV[2].replace("9876543211", "98765x4321")])
+    write_text(spark, f"{base}/crm_customers_09-08-2026.csv", CSV[:2] + [CSV[2].replace("5550202020", "55502x2020")])
     cfg = config(base, root)
     control = TableRef(path=f"{tmp_dir}/control")
     schema = S.entity_schema("crm_customers", with_metadata=False)
@@ -84,7 +84,7 @@ def test_latest_runs_with_a_hot_run(spark):
 
 def test_failing_batch_leaves_audit_rows(spark, tmp_dir):
     base, root = f"{tmp_dir}/landing", f"{tmp_dir}/tables"
-    write_text(spark, f"{base}/crm_customers_09-08-2026.csv", CSV[:2] + [CSV[2].replace("Priya Sharma", "")])
+    write_text(spark, f"{base}/crm_customers_09-08-2026.csv", CSV[:2] + [CSV[2].replace("Odo Fenn", "")])
     cfg = config(base, root)
     audit = TableRef(path=f"{tmp_dir}/audit")
     with pytest.raises(ValidationError):
@@ -231,7 +231,7 @@ def test_job_with_catalog_tables(spark, tmp_dir):
 
 def test_parse_errors_can_fail_the_run(spark, tmp_dir):
     base, root = f"{tmp_dir}/landing", f"{tmp_dir}/tables"
-    write_text(spark, f"{base}/crm_customers_08-08-2026.csv", CSV[:2] + [CSV[2].replace("2026/09/25 10:20:00", "soon")])
+    write_text(spark, f"{base}/crm_customers_08-08-2026.csv", CSV[:2] + [CSV[2].replace("2026/03/02 11:40:00", "soon")])
     cfg = config(base, root)
     schema = S.entity_schema("crm_customers", with_metadata=False)
     details = {"business_date": "2026-08-08", "batch_id": 1, "source_name": "crm"}

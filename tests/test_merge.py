@@ -146,11 +146,16 @@ def test_bucketed_layout_merge_does_not_shuffle_the_target(spark):
     staged = b.withColumn(merge.BUCKET, merge.bucket_expr(["o_orderkey"], 8, b.columns, "bucketed"))
     current = spark.table(name).filter(F.col(merge.BUCKET).isin(list(range(8))))
     plan = io.StringIO()
-    with contextlib.redirect_stdout(plan):
-        merge.merge_frames(current, staged, "o_orderkey", strategy="shuffle").explain()
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with contextlib.redirect_stdout(plan):
+            merge.merge_frames(current, staged, "o_orderkey", strategy="shuffle").explain()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     text = plan.getvalue()
-    assert "Bucketed: true" in text and "FullOuter" in text
-    assert text.count("Exchange hashpartitioning") == 1          # the batch side only
+    assert "Bucketed: true" in text and "LeftOuter" in text and "LeftAnti" in text
+    assert text.count("Exchange hashpartitioning") == 2          # the batch side of either join only
     counters = merge.merge_into(spark, b, name, ["o_orderkey"], AS_OF, buckets=8, max_broadcast_bytes=0)
     assert counters["records_updated"] == orders.count() and counters["records_inserted"] == 0
     got = spark.table(name)
@@ -195,3 +200,53 @@ def test_null_key_buckets_ignore_the_run_clock(spark, tmp_dir):
     merge.merge_into(spark, nulls, target, ["k"], buckets=8)
     out = spark.read.parquet(tmp_dir)
     assert out.count() == 440 and out.filter("k IS NOT NULL").count() == 400
+
+
+def _keyed(spark, n, kind, *extra):
+    return spark.range(n).selectExpr(f"cast(id AS {kind}) AS k", "id * 10 AS v", *extra, "1L AS record_version",
+                                     "cast(NULL AS timestamp) AS updated_at")
+
+
+@pytest.mark.parametrize("named", [False, True])
+def test_batch_keys_take_the_stored_type(spark, tmp_dir, named):
+    from batchgate.session import scratch_database
+    target = TableRef(name=f"{scratch_database(spark)}.t") if named else TableRef(path=tmp_dir)
+    merge.merge_into(spark, _keyed(spark, 20, "bigint"), target, ["k"], buckets=8)
+    got = merge.merge_into(spark, _keyed(spark, 20, "int"), target, ["k"], buckets=8)
+    assert (got["records_inserted"], got["records_updated"]) == (0, 20)
+    assert target.read(spark).count() == 20 and dict(target.read(spark).dtypes)["k"] == "bigint"
+    with pytest.raises(ValueError, match="keep their values"):
+        merge.merge_into(spark, _keyed(spark, 20, "string"), target, ["k"], buckets=8)
+    with pytest.raises(ValueError, match="keys="):
+        merge.merge_into(spark, _keyed(spark, 20, "bigint"), target, ["k", "v"], buckets=8)
+
+
+def test_unknown_batch_columns_are_refused(spark, tmp_dir):
+    target = TableRef(path=tmp_dir)
+    merge.merge_into(spark, _keyed(spark, 5, "bigint"), target, ["k"], buckets=4)
+    more = _keyed(spark, 5, "bigint", "'x' AS extra")
+    with pytest.raises(ValueError, match="extra"):
+        merge.merge_into(spark, more, target, ["k"], buckets=4)
+    base = target.read(spark).drop(merge.BUCKET)
+    with pytest.raises(ValueError, match="extra"):
+        merge.merge_frames(base, more, "k")
+    added = merge.merge_frames(base, more.limit(2), "k", add_columns=True)
+    assert added.columns[-1] == "extra" and added.where("extra = 'x'").count() == 2 and added.count() == 5
+
+
+def test_path_append_refuses_another_schema(spark, tmp_dir):
+    from batchgate.plans.sinks import append_table
+    append_table(spark.range(3).selectExpr("id", "id AS a"), TableRef(path=tmp_dir))
+    append_table(spark.range(3).selectExpr("id", "id AS a"), TableRef(path=tmp_dir))
+    with pytest.raises(ValueError, match="'b'"):
+        append_table(spark.range(3).selectExpr("id", "id AS a", "id AS b"), TableRef(path=tmp_dir))
+    assert spark.read.parquet(tmp_dir).count() == 6
+
+
+def test_branches_alone(spark):
+    t = spark.createDataFrame([(1, 10, 1), (2, 20, 1), (None, 30, 1)], "k int, v int, record_version int")
+    b = spark.createDataFrame([(2, 21, 1), (3, 31, 1), (None, 41, 1)], "k int, v int, record_version int")
+    assert sorted(tuple(r) for r in merge.matched_rows(t, b, "k").collect()) == [(2, 21, 2)]
+    assert sorted(merge.inserted_rows(t, b, "k").select("v").toPandas().v) == [31, 41]
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (merge.matched_rows(t, b, "k"), merge.inserted_rows(t, b, "k"))]
+    assert all("FullOuter" not in p for p in plans)

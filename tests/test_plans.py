@@ -42,8 +42,12 @@ def test_merge_plans(spark):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     t = with_metadata(orders, 1, "2026-08-07", "crm")
     b = with_metadata(orders.limit(100), 2, "2026-08-08", "crm")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     shuffle = plan(merge.merge_frames(t, b, "o_orderkey", strategy="shuffle"))
-    assert "FullOuter" in shuffle and "SortMergeJoin" in shuffle
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "LeftOuter" in shuffle and "LeftAnti" in shuffle and "FullOuter" not in shuffle
+    assert "SortMergeJoin" in shuffle
     bcast = plan(merge.merge_frames(t, b, "o_orderkey", strategy="broadcast"))
     assert "BroadcastHashJoin" in bcast and "SortMergeJoin" not in bcast
 

@@ -16,12 +16,12 @@ def test_with_metadata_types(spark):
 
 def test_project_to_prepared_customers(spark):
     bronze = C.with_metadata(spark.createDataFrame(
-        [("C1", "Arun", "a@x", "9876543210", "Chennai"), ("C2", "Priya", "p@x", "98x", "Chennai")],
+        [("C1", "Mona", "a@x", "5550101010", "Brayford"), ("C2", "Odo", "p@x", "98x", "Brayford")],
         "customer_id string, customer_name string, email string, phone string, city string"), 1, "2026-08-08", "crm")
     out = C.project_to_schema(bronze, S.PREPARED_CUSTOMERS)
     assert out.columns == S.PREPARED_CUSTOMERS.fieldNames()
     rows = {r["customer_id"]: r for r in out.collect()}
-    assert rows["C1"]["phone"] == 9876543210 and rows["C2"]["phone"] is None
+    assert rows["C1"]["phone"] == 5550101010 and rows["C2"]["phone"] is None
     assert rows["C1"]["customer_status"] is None
     bad = bronze.withColumn("customer_id", bronze["customer_id"].substr(5, 1))   # empty -> not NULL
     assert C.project_to_schema(bad, S.PREPARED_CUSTOMERS).count() == 2

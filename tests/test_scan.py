@@ -86,7 +86,7 @@ def test_dated_scan_tags_rows_and_globs_range(spark, tmp_dir):
 
 
 def test_infer_schema(spark, tmp_dir):
-    write_text(spark, tmp_dir, ["id,phone,created_at", "C1,9876543210,25/09/2026 09:15:00"])
+    write_text(spark, tmp_dir, ["id,phone,created_at", "C1,5550101010,25/09/2026 09:15:00"])
     df = files.scan_csv_infer(spark, tmp_dir)
     assert dict(df.dtypes)["phone"] == "bigint"
 

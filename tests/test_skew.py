@@ -70,3 +70,35 @@ def test_empty_batch_merge_is_a_no_op(spark, tmp_dir):
     merge.merge_into(spark, base, target, ["k"], buckets=4)
     counters = merge.merge_into(spark, base.limit(0), target, ["k"], buckets=4)
     assert counters["records_merged"] == 0 and spark.read.parquet(tmp_dir).count() == 10
+
+
+def _splits(spark, df) -> bool:
+    """Whether adaptive execution splits a skewed join partition when ``df`` runs."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df.write.format("noop").mode("overwrite").save()
+        df = df.select("*")
+        df.collect()
+        return "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_keys_are_split_over_tasks(spark, tmp_dir):
+    # Several map tasks, so that a skewed partition has map outputs to split at.
+    hot_frame(spark).repartition(12).write.parquet(f"{tmp_dir}/hot")
+    df = spark.read.option("maxPartitionBytes", "64k").parquet(f"{tmp_dir}/hot")
+    keys = spark.range(N).select(F.col("id").cast("string").alias("k")).union(spark.sql("SELECT 'HOT' AS k"))
+    assert _splits(spark, df.join(keys, "k"))                                     # control
+    rule = [{"name": "unique_key", "columns": ["k"]}]
+    assert _splits(spark, audit.failure_audit(df, rule, ["v"]))
+    assert _splits(spark, audit.split_valid_invalid(df, rule)[0])
+    target = with_metadata(df, 1, "2026-08-08", "crm", "2026-08-08 06:00:00")     # a hot key of the target
+    batch = with_metadata(keys.withColumn("v", F.lit(0).cast("long")), 2, "2026-08-09", "crm", "2026-08-09 06:00:00")
+    assert _splits(spark, merge.merge_frames(target, batch, "k", "2026-08-09 06:00:00"))
