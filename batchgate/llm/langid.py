@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from batchgate.llm.common import shipped
+from batchgate.llm.common import shipped, written
 
 WINDOW = 128
 HIDDEN = 12
@@ -167,13 +167,18 @@ def fit(docs: DataFrame, allowed: Column | None = None, id_col: str = "doc_id",
     rows = rows.where("lang IS NOT NULL")
     if allowed is not None:
         rows = rows.where(allowed)
-    langs = rows.select("lang").distinct().count()
+    # The languages with most rows, at most max_docs of them (one window each): few enough to broadcast.
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_docs)
+    counts = written(counts, "langid_counts")
+    each = max(1, max_docs // max(1, counts.count()))
     h, text = F.xxhash64("id"), F.col("text")
     start = 1 + F.pmod(F.xxhash64("id", F.lit(1)), F.greatest(F.lit(1), F.length("text") - chars))
-    rows = rows.where(text.rlike(r"\p{L}")).select(
-        "lang", h.alias("h"), F.substring(text, start.cast("int"), F.lit(chars)).cast("binary").alias("x"))
-    # The lowest hashes of each language; Spark keeps only these per task before it shuffles.
-    each = max(1, max_docs // max(1, langs))
+    # Rows of a language are thinned by their hash to about three times what is wanted
+    # before the window sees them.
+    place = F.pmod(h, F.lit(1 << 30))
+    rows = (rows.join(F.broadcast(counts), "lang").where(place < F.least(F.lit(1.0), F.lit(3.0 * each) / F.col("n")) * (1 << 30))
+                .where(text.rlike(r"\p{L}"))
+                .select("lang", place.alias("h"), F.substring(text, start.cast("int"), F.lit(chars)).cast("binary").alias("x")))
     ranked = rows.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("h", "x"))).where(F.col("k") <= each)
     got = ranked.orderBy("lang", "h", "x").select("x", "lang").limit(max_docs).collect()
     return train([bytes(r.x) for r in got], [r.lang for r in got])
