@@ -183,12 +183,12 @@ _ORDERS_SOURCE = {"type": "file", "format": "csv", "header": True, "delimiter":
                   "file_format": "_drop=orders_{dd}-{MM}-{yyyy}.csv"}
 
 
-_DROPS: dict[tuple[int, str], tuple[dict, T.StructType]] = {}
+_DROPS: dict[tuple[str, str], tuple[dict, T.StructType]] = {}
 
 
 def _orders_drops(spark, d) -> tuple[dict, T.StructType]:
     """orders written as one dated CSV drop per order day (once per session and table dir)."""
-    key = (id(spark), d)
+    key = (spark.sparkContext.applicationId, d)       # a later session has another id
     if key not in _DROPS:
         _DROPS[key] = _write_orders_drops(spark, d)
     return _DROPS[key]
