@@ -45,17 +45,18 @@ def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
     taken = written(mixing.mix(docs).select("id", "size", "copies"), "pipeline_copies")
-    keep = docs.columns
-    left, right, same = docs.alias("d"), taken.alias("t"), F.expr("d.doc_id <=> t.id")
+    # Rows travel as one struct each, so no column of docs can clash with the mix's.
+    left = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"))
+    right = taken.select(F.struct("*").alias("t"))
+    same = F.expr("d.doc_id <=> t.id")
     if not taken.groupBy("id").count().where("count > 1").isEmpty():
         # Repeated ids: the rows of one id and size are told apart by their rank.
-        left = docs.withColumns({"_size": word_count(F.col("text"))}).withColumn(
-            "_nth", F.row_number().over(W.partitionBy("doc_id", "_size").orderBy("text"))).alias("d")
-        right = taken.withColumn("_nth", F.row_number().over(W.partitionBy("id", "size").orderBy("copies"))).alias("t")
-        same = same & F.expr("d._size = t.size AND d._nth = t._nth")
-    rows = left.join(right.where("copies > 0"), same).select(*[F.col(f"d.`{c}`") for c in keep], F.col("t.copies").alias("_copies"))
-    return rows.select(*[F.col(f"`{c}`") for c in keep], F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int"))).alias("_copy")).select(
-        *[F.col(f"`{c}`") for c in keep])
+        size = word_count(F.col("d.text"))
+        left = left.withColumn("i", F.row_number().over(W.partitionBy("d.doc_id", size).orderBy("d.text")))
+        right = right.withColumn("j", F.row_number().over(W.partitionBy("t.id", "t.size").orderBy("t.copies")))
+        same = same & (size == F.col("t.size")) & (F.col("i") == F.col("j"))
+    rows = left.join(right.where("t.copies > 0"), same)
+    return rows.select("d", F.explode(F.array_repeat(F.lit(0), F.col("t.copies").cast("int"))).alias("copy")).select("d.*")
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
