@@ -131,6 +131,8 @@ def run_job(spark: SparkSession, config: dict, batch_details: dict, *,
         if control is not None:
             # What is known by now: rows read if the landing finished, rows valid if the gate was passed.
             known = {k: v for k, v in (("records_read", records_read), ("records_valid", records_valid)) if v is not None}
+            if records_valid is not None:
+                known["records_invalid"] = 0          # a passed gate leaves no invalid rows
             event = finish(run, FAILED, error_summary=f"{type(error).__name__}: {error}", **known)
             try:
                 record_event(spark, control, event)

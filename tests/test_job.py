@@ -205,7 +205,7 @@ def test_write_failure_is_recorded(spark, tmp_dir):
                     schema=schema, control=control, job_run_id=31)
     r = runs.latest_runs(spark.read.parquet(control.path)).collect()[0]
     assert (r["run_status"], r["records_read"], r["records_valid"], r["records_invalid"]) == ("FAILED", 2, 2, 0)
-    assert "lacks target columns" in r["error_summary"]
+    assert "not in the target" in r["error_summary"]
 
 
 def test_job_with_catalog_tables(spark, tmp_dir):
