@@ -39,6 +39,17 @@ def word_count(text: Column) -> Column:
     return F.length(squeezed(F.regexp_replace(F.coalesce(text, F.lit("")), WORD, "x"))).cast("long")
 
 
+#: Rows of a written table of ids (some 100 bytes each at most) that may be broadcast: 20 MB.
+BROADCAST_ROWS = 200_000
+
+
+def small_side(table: DataFrame) -> DataFrame:
+    """A written table of ids as the small side of a join with whole documents:
+    broadcast if its counted rows are within the bound, else joined by a
+    shuffle (said outright, so that the plan does not depend on estimates)."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table.hint("merge")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchgate.llm.common import squeezed, written
+from batchgate.llm.common import small_side, squeezed, written
 
 PREFIX_CHARS = 256
 
@@ -84,8 +84,8 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     members = written(duplicate_groups(docs, id_col, text_col), "dedup_members")
     sha = F.sha2(squeezed(F.coalesce(F.col(f"d.{text_col}"), F.lit(""))), 256)
     same = F.col(f"d.{id_col}").eqNullSafe(F.col("m.id")) & (sha == F.col("m.sha"))
-    losers = members.where("NOT (id <=> keep_id)").select("id", "sha")
-    kept = docs.alias("d").join(losers.alias("m"), same, "left_anti")
+    losers = written(members.where("NOT (id <=> keep_id)").select("id", "sha"), "dedup_losers")
+    kept = docs.alias("d").join(small_side(losers).alias("m"), same, "left_anti")
     repeated = members.where("id <=> keep_id AND n_same > 1").select("id", "sha")
     if repeated.isEmpty():                 # no row repeats id and text: nothing more to drop
         return kept
