@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from batchgate.llm import bpe, exact_dedup, mixing, quality, simhash
-from batchgate.llm.common import shipped, word_count, written
+from batchgate.llm.common import shipped, small_side, word_count, written
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -39,7 +39,7 @@ def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = simhash.near_dedup(docs, shingle=4, max_bits=4)
     lost = found.groupBy("id").agg(F.bool_or(F.col("id").eqNullSafe(F.col("component_id"))).alias("stays")).where("NOT stays")
     lost = written(lost.select("id"), "pipeline_lost")
-    return docs.alias("d").join(lost.alias("x"), F.expr("d.doc_id <=> x.id"), "left_anti")
+    return docs.alias("d").join(small_side(lost).alias("x"), F.expr("d.doc_id <=> x.id"), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         left = left.withColumn("i", F.row_number().over(W.partitionBy("d.doc_id", size).orderBy("d.text")))
         right = right.withColumn("j", F.row_number().over(W.partitionBy("t.id", "t.size").orderBy("t.copies")))
         same = same & (size == F.col("t.size")) & (F.col("i") == F.col("j"))
-    rows = left.join(right.where("t.copies > 0"), same)
+    # The copies are as many as the documents: always a shuffle.
+    rows = left.join(right.where("t.copies > 0").hint("merge"), same)
     return rows.select("d", F.explode(F.array_repeat(F.lit(0), F.col("t.copies").cast("int"))).alias("copy")).select("d.*")
 
 
