@@ -65,3 +65,36 @@ def test_graph_search_finds_neighbours(n):
     found = {(a, b) for at, node in graph.within(x, 0.9) for a, b in zip(at.tolist(), node.tolist())}
     want = set(zip(*(v.tolist() for v in np.nonzero(x @ x.T >= 0.9))))
     assert len(found & want) >= 0.98 * len(want) and all((x[a] @ x[b]) >= 0.899 for a, b in found)
+
+
+def severed(n=3000):
+    """A third are near copies of one vector, the others pairs; the graph has lost its edges to all but the copies."""
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.normal(size=(n // 2, 16)), 2, axis=0) + rng.normal(size=(n, 16)) * 0.05
+    copies = np.arange(n) % 3 == 0
+    x[copies] = x[0] + rng.normal(size=(copies.sum(), 16)) * 0.02
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+    graph = E.SmallWorld.build(x)
+    graph.layers = [(ids, np.where((links >= 0) & copies[links], links, -1)) for ids, links in graph.layers]
+    return x, graph
+
+
+def test_audit_counts_queries_and_widest_beam_is_brute_force():
+    x, graph = severed()
+    graph.audit(0.9)
+    found = np.zeros((len(x), len(x)), bool)
+    for at, node in graph.within(x, 0.9):
+        found[at, node] = True
+    want = x @ x.T >= 0.9
+    assert (found != want).mean() < 1e-5 and (want.sum(axis=1) < 100).any()          # rounding at the threshold aside
+
+
+def test_audit_demands_nearest_neighbours_without_any_links():
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(4000, 48))
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+    graph = E.SmallWorld.build(x)
+    graph.audit(0.9)
+    near = np.argsort(-(x[::50] @ x.T), axis=1)[:, :10]
+    ids = np.concatenate([i for _, i, _ in graph.search(x[::50], graph.beam)])
+    assert np.mean([len(np.intersect1d(a, b)) / 10 for a, b in zip(near, ids)]) >= 0.85 or graph.beam * 24 >= len(x)
