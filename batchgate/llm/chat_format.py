@@ -95,7 +95,7 @@ LAYOUTS = (
     Layout("instruction_output", ("instruction", "output"),
            "array(named_struct('role', 'user', 'text', instruction), named_struct('role', 'assistant', 'text', output))"),
 )
-KNOWN = {p.lower() for layout in LAYOUTS for p in layout.paths}
+KNOWN = {p.lower() for layout in LAYOUTS if not layout.rows for p in layout.paths}        # paths of whole conversations
 
 
 def field_paths(kind: T.DataType, at: str = "") -> list[str]:
@@ -142,27 +142,35 @@ _JSON = ("messages array<struct<role:string,content:string>>, conversations arra
 def turns_from_json(df: DataFrame, id_col: str = "conv_id", json_col: str = "json") -> DataFrame:
     """Canonical turns of JSON texts of mixed layouts, each row by its own fingerprint.
 
-    The nested field paths of a row are read from the JSON, those that some
-    mapping knows are hashed, and the hash selects the mapping. Rows whose
-    fingerprint no mapping has (or whose JSON does not parse) get NULL turns;
-    the fingerprint is returned for a report.
+    The nested field paths of a row are read from the JSON, of arrays from all
+    their elements. As in :func:`layout_of`, the first layout whose fingerprint
+    the paths have that it knows is the row's; its fingerprint is returned.
+    Rows that no layout fits (or whose JSON does not parse) get NULL turns and,
+    for a report, the hash of the paths that any layout knows.
     """
     text = F.col(json_col)
+    none = F.array().cast("array<string>")
+
     def inner(field: str) -> Column:
-        keys = F.json_object_keys(F.get_json_object(text, f"$.{field}[0]"))
-        return F.transform(F.coalesce(keys, F.array().cast("array<string>")), lambda k: F.concat(F.lit(f"{field}[]."), k))
+        items = F.coalesce(F.from_json(F.get_json_object(text, f"$.{field}"), "array<string>"), none)
+        keys = F.flatten(F.transform(items, lambda x: F.coalesce(F.json_object_keys(x), none)))
+        return F.transform(F.array_distinct(keys), lambda k: F.concat(F.lit(f"{field}[]."), k))
+
+    def hashed(own) -> Column:
+        kept = F.filter(F.col("_paths"), lambda k: k.isin(sorted({p.lower() for p in own})))
+        return F.substring(F.sha2(F.array_join(kept, "\n"), 256), 1, 16)
 
     nested = [inner("messages"), inner("conversations")]
-    top = F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
+    top = F.coalesce(F.json_object_keys(text), none)
     paths = F.array_sort(F.array_distinct(F.transform(F.concat(top, *nested), lambda k: F.lower(k))))
-    known = F.filter(paths, lambda k: k.isin(sorted(KNOWN)))
-    out = df.select(F.col(id_col).alias("_id"), F.substring(F.sha2(F.array_join(known, "\n"), 256), 1, 16).alias("fingerprint"),
-                    F.from_json(text, _JSON).alias("_v")).select("_id", "fingerprint", "_v.*")
-    turns = F.lit(None).cast(TURNS)
-    for layout in LAYOUTS:
+    out = df.select(F.col(id_col).alias("_id"), paths.alias("_paths"), F.from_json(text, _JSON).alias("_v")).select("_id", "_paths", "_v.*")
+    turns, name = F.lit(None).cast(TURNS), hashed(KNOWN)
+    for layout in reversed(LAYOUTS):                          # the first that fits comes to stand outermost
         if not layout.rows:
-            turns = F.when(F.col("fingerprint") == layout.fingerprint, _filled(F.expr(layout.turns))).otherwise(turns)
-    return out.select(F.col("_id").alias("conv_id"), "fingerprint", turns.alias("turns"))
+            fits = hashed(layout.paths) == layout.fingerprint
+            turns = F.when(fits, _filled(F.expr(layout.turns))).otherwise(turns)
+            name = F.when(fits, F.lit(layout.fingerprint)).otherwise(name)
+    return out.select(F.col("_id").alias("conv_id"), name.alias("fingerprint"), turns.alias("turns"))
 
 
 # ----------------------------------------------------------------- template

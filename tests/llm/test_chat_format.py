@@ -61,6 +61,25 @@ def test_json_layouts_row_by_row(spark):
     assert got[90] is None and got[91] is None and got[92] is None
 
 
+def test_json_rows_with_fields_of_other_layouts(spark):
+    qa = [("user", "q"), ("assistant", "a")]
+    cases = [
+        ({"instruction": "q", "input": "", "output": "a", "text": "whole"}, qa),                          # Alpaca
+        ({"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}], "prompt": "p"}, qa),
+        ({"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}], "prompt": "p", "response": "r"}, qa),
+        ({"prompt": "q", "response": "a", "role": "x", "turn": 1, "messages": "none", "completion": "c"}, qa),
+        ({"messages": [{"role": "system"}, {"role": "user", "content": "q"}]}, [("system", ""), ("user", "q")]),
+        ({"conversations": [{"from": "human"}, {"from": "gpt", "value": "a", "weight": 1}]}, [("user", ""), ("assistant", "a")]),
+    ]
+    rows = [(i, json.dumps(x)) for i, (x, _) in enumerate(cases)] + [(90, json.dumps({"turn": 1, "role": "user", "text": "t"}))]
+    got = {r["conv_id"]: r for r in C.turns_from_json(spark.createDataFrame(rows, "conv_id long, json string")).collect()}
+    prints = {layout.name: layout.fingerprint for layout in C.LAYOUTS}
+    for i, (_, want) in enumerate(cases):
+        assert [(t["role"], t["text"]) for t in got[i]["turns"] or []] == want, i
+    assert got[0]["fingerprint"] == prints["instruction_input_output"] and got[2]["fingerprint"] == prints["messages"]
+    assert got[90]["turns"] is None
+
+
 def test_frame_layouts(spark):
     for x, want in LAYOUTS:
         df = spark.read.json(spark.createDataFrame([(json.dumps({**x, "conv_id": 5}),)], "value string").rdd.map(lambda r: r[0]))
