@@ -36,8 +36,8 @@ MAGIC = b"WARC/1.1\r\n"
 END = "\r\n\r\n"
 MIN_REVISIT = 100
 FILE_BYTES = 16 << 20
-MAX_HEADER = 1 << 16
 BROADCAST_ROWS = 200_000         # revisits of some 100 bytes each: 20 MB
+_FIELDS = {"content-length", "warc-type", "warc-record-id", "warc-refers-to", "warc-payload-digest"}
 _DATE = "2000-01-01T00:00:00Z"
 
 
@@ -84,26 +84,48 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", payload
 
 # --------------------------------------------------------------------- reading
 
-def _header(data: bytes, at: int) -> tuple[dict[str, str], int] | None:
-    """Fields of the header at ``at`` and the offset of its payload."""
-    end = data.find(b"\r\n\r\n", at, at + MAX_HEADER)
-    if end < 0:
-        return None
-    fields = {}
-    for line in data[at + len(MAGIC):end].split(b"\r\n"):
-        name, colon, value = line.partition(b":")
-        if not colon:
+class _Headers:
+    """Headers of any length. Places that share the header's end (the first empty
+    line after them) share its lines, which are read once."""
+
+    def __init__(self, data: bytes):
+        self.data, self.end = data, -1
+
+    def at(self, at: int) -> tuple[dict[str, str], int] | None:
+        """Fields of the header at ``at`` and the offset of its payload; places in
+        ascending order."""
+        if at > self.end:
+            self.end = self.data.find(b"\r\n\r\n", at)
+            if self.end < 0:
+                self.end = len(self.data)                     # no header ends after this place
+            else:
+                self._read(at + len(MAGIC))
+        if self.end == len(self.data):
             return None
-        fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
-    return (fields, end + 4) if fields.get("content-length", "").isdecimal() else None
+        first = at + len(MAGIC)
+        if self.bad >= first or first > self.end:
+            return None
+        fields = {k: v for k, (place, v) in self.fields.items() if place >= first}
+        return (fields, self.end + 4) if fields.get("content-length", "").isdecimal() else None
+
+    def _read(self, place: int) -> None:
+        """The last place and value of each field, and the last line that is none."""
+        self.fields, self.bad = {}, -1
+        for line in self.data[place:self.end].split(b"\r\n"):
+            name, colon, value = line.partition(b":")
+            if not colon:
+                self.bad = place
+            elif (key := name.strip().lower().decode("latin-1")) in _FIELDS:
+                self.fields[key] = place, value.strip().decode("utf-8", "replace")
+            place += len(line) + 2
 
 
 def candidates_of(data: bytes) -> Iterator[tuple]:
     """Every place that looks like a record: offset, successor, whether a record
     or the end of the file stands there, header fields, payload size and digest."""
-    at = data.find(MAGIC)
+    headers, at = _Headers(data), data.find(MAGIC)
     while at >= 0:
-        if (found := _header(data, at)) is not None:
+        if (found := headers.at(at)) is not None:
             fields, start = found
             stop = start + int(fields["content-length"])
             if data[stop:stop + 4] == b"\r\n\r\n":

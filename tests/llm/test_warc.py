@@ -46,6 +46,19 @@ def test_round_trip_with_magic_in_payloads(spark, file_bytes):
     assert got == brute(ROWS)
 
 
+def test_long_urls(spark):
+    url = "data:text/html," + "u" * 100_000
+    rows = [(1, url, "a"), (2, url + FAKE, FAKE), (3, "u", "x" * 200), (4, url * 20, "x" * 200), (5, "u", "b")]
+    _, got = round_trip(spark, rows)
+    assert got == brute(rows)
+
+
+def test_lines_of_magic_are_read_once():
+    body = b"a:WARC/1.1\r\n" * 200_000
+    data = b"WARC/1.1\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(body), body)
+    assert [c[:2] for c in warc.candidates_of(data)] == [(0, len(data))]
+
+
 def test_empty_table(spark):
     path = scratch_path(spark, "test", "warc")
     empty = spark.createDataFrame([], "page_id long, url string, html string")
