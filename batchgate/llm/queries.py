@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from batchgate.llm import bpe, chat_format, embed_dedup, exact_dedup, langid, mixing, quality, simhash, suffix_dedup, warc
+from batchgate.llm import (bpe, chat_format, embed_dedup, exact_dedup, langid, mixing, periodic_runs, quality, simhash, suffix_dedup,
+                           warc)
+from batchgate.llm.common import WORD
 from batchgate.session import scratch_path
 
 
@@ -149,6 +151,34 @@ def op10_language_id(spark, d):
         F.col("id").alias("doc_id"), F.coalesce(_crc("id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+# -------------------------------------------------------- 13 periodic run detection
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text of every row; where crc32(doc_id) % 10 is 0, the n words from a = g % n on repeat
+    the first p = 1 + (n - a) div (3 + g % 8) of them (g = crc32(doc_id) div 10). NULL ids and texts stay."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    rows = docs.select("doc_id", "text", (h.cast("long") / 10).cast("long").alias("g"),
+                       F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))).alias("words"))
+    n = F.size("words")
+    a = (F.col("g") % n).cast("int")
+    p = (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    rows = rows.withColumn("a", F.when(n > 0, a)).withColumn("p", p)
+    block = F.slice("words", F.col("a") + 1, F.col("p"))
+    tail = F.flatten(F.array_repeat(block, F.ceil((n - F.col("a")) / F.col("p")).cast("int")))
+    words = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(tail, F.lit(1), n - F.col("a")))
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(words, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark, d):
+    out = periodic_runs.find_runs(planted_runs(_t(spark, d, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    top = F.get("runs", "best")
+    return out.select(F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), top["start"].alias("start"),
+                      top["length"].alias("length"), top["period"].alias("period"),
+                      F.expr("1000 * get(runs, best).length div get(runs, best).period").alias("exponent_milli"),
+                      F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_warc": op2_warc,
@@ -160,6 +190,7 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_language_id": op10_language_id,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL = {
