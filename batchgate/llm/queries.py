@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from batchgate.llm import (bpe, chat_format, embed_dedup, exact_dedup, langid, mixing, periodic_runs, quality, simhash, suffix_dedup,
-                           warc)
+from batchgate.llm import (bpe, chat_format, embed_dedup, exact_dedup, langid, mixing, periodic_runs, quality, quality_rules, simhash,
+                           suffix_dedup, warc)
 from batchgate.llm.common import WORD
 from batchgate.session import scratch_path
 
@@ -151,6 +151,15 @@ def op10_language_id(spark, d):
         F.col("id").alias("doc_id"), F.coalesce(_crc("id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+# ----------------------------------------------------------------- 12 quality rules
+
+def op12_quality_rules(spark, d):
+    docs = _t(spark, d, "documents")
+    model = quality_rules.fit(docs, _t(spark, d, "labels"), allowed=_crc("id", 5) != 0)
+    return quality_rules.judge(docs, model).select(F.col("id").alias("doc_id"), *quality_rules.COUNTS, "base_failed", "kept", "score",
+                                                   F.coalesce(_crc("id", 5) == 0, F.lit(False)).alias("held_out"))
+
+
 # -------------------------------------------------------- 13 periodic run detection
 
 def planted_runs(docs: DataFrame) -> DataFrame:
@@ -190,6 +199,7 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_language_id": op10_language_id,
+    "op12_quality_rules": op12_quality_rules,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
