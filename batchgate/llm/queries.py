@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from batchgate.llm import (bpe, chat_format, embed_dedup, exact_dedup, langid, mixing, periodic_runs, quality, quality_rules, simhash,
-                           suffix_dedup, warc)
+from batchgate.llm import (bpe, chat_format, conversation_repair, embed_dedup, exact_dedup, langid, mixing, periodic_runs, quality,
+                           quality_rules, simhash, suffix_dedup, warc)
 from batchgate.llm.common import WORD
 from batchgate.session import scratch_path
 
@@ -151,6 +151,92 @@ def op10_language_id(spark, d):
         F.col("id").alias("doc_id"), F.coalesce(_crc("id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+# ------------------------------------------------------ 11 conversation structure repair
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows, NULL roles and texts as one space, damaged by crc32('conv_id:turn') % 20."""
+    ids = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text"),
+                                (F.crc32(F.concat(ids[0], F.lit(":"), ids[1])) % 20).alias("h"))
+    h = F.col("h")
+    rows = rows.withColumns({"role": F.when(h == 4, "user").otherwise(F.col("role")),
+                             "text": F.when(h == 1, "").when(h == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))})
+    times = F.when(h == 0, 0).when(h == 3, 2).otherwise(1)
+    return rows.withColumn("copy", F.explode(F.array_repeat(F.lit(0), times))).drop("h", "copy")
+
+
+def line_digest_rows(rows: DataFrame, done: conversation_repair.Repaired) -> DataFrame:
+    """Report and digest of every conversation of ``rows``, of those without rows after damage too."""
+    sha = conversation_repair.line_digests(done.lines).select(F.col("conv").alias("s_conv"), "sha")
+    out = rows.select("conv_id").distinct().join(done.report, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    out = out.join(sha, F.col("conv_id").eqNullSafe(F.col("s_conv")), "left")
+    return out.select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
+                                   for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("sha", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+def op11_conversation_repair(spark, d):
+    rows = _t(spark, d, "conversations")
+    return line_digest_rows(rows, conversation_repair.repair(damaged(rows)))
+
+
+_OP11_SQL = r"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+hashed AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(k, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+         lambda crc, b: list_reduce(list_prepend(xor(crc, b), CAST(range(8) AS BIGINT[])), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 20 AS h
+  FROM given),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+         CASE h WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM hashed),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+         rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM damaged),
+faults AS (
+  SELECT conv_id, turn, role, text, i, left(role, 1) AS c, body = '' AS blank, body <> '' AND seen > 1 AS dup,
+         body <> '' AND seen = 1 AND right(body, 1) NOT IN ('.', '!', '?') AS cut,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+         count(*) FILTER (WHERE dup) AS duplicate, count(*) FILTER (WHERE cut) AS truncated,
+         count(*) FILTER (WHERE before || c NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM faults GROUP BY conv_id),
+-- One insert from each state (0 nothing yet, 1 after s, 2 after u, 3 after a) and the role that it gives.
+adds AS (SELECT * FROM (VALUES (0, 2, 'user', 'u'), (1, 2, 'user', 'u'), (2, 3, 'assistant', 'a'), (3, 2, 'user', 'u')) t(s, t, role, c)),
+moves AS (
+  SELECT 0 AS s, 0 AS t, '' AS e, [] AS l UNION ALL SELECT 1, 1, '', [] UNION ALL SELECT 2, 2, '', [] UNION ALL SELECT 3, 3, '', []
+  UNION ALL SELECT s, t, 'I', [role || ':'] FROM adds
+  UNION ALL SELECT a.s, b.t, 'II', [a.role || ':', b.role || ':'] FROM adds a JOIN adds b ON b.s = a.t),
+walk AS (
+  SELECT conv_id, n, CAST(0 AS BIGINT) AS i, 0 AS s, CAST(0 AS BIGINT) AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS lines FROM counted
+  UNION ALL
+  SELECT conv_id, n, i, s, cost, audit, lines FROM (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, s ORDER BY cost, audit) AS best FROM (
+      SELECT w.conv_id, w.n, f.i, x.t AS s, w.cost + 2 * length(m.e) + x.cost AS cost, w.audit || m.e || x.e AS audit,
+             list_concat(list_concat(w.lines, m.l), x.l) AS lines
+      FROM walk w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1 JOIN moves m ON m.s = w.s,
+      LATERAL (SELECT m.t AS t, 3 AS cost, 'D' AS e, CAST([] AS VARCHAR[]) AS l
+               UNION ALL SELECT a.t, CAST(f.cut AS INT), 'K', [f.role || ':' || f.text] FROM adds a
+                         WHERE a.s = m.t AND a.c = f.c AND NOT f.blank AND NOT f.dup
+               UNION ALL SELECT 1, CAST(f.cut AS INT), 'K', [f.role || ':' || f.text] WHERE m.t = 0 AND f.c = 's' AND NOT f.blank AND NOT f.dup
+               UNION ALL SELECT a.t, 2 + CAST(f.cut AS INT), 'R', [a.role || ':' || f.text] FROM adds a
+                         WHERE a.s = m.t AND NOT f.blank AND NOT f.dup) x)) WHERE best = 1),
+ended AS (
+  SELECT w.conv_id, w.cost + 2 * length(m.e) AS cost, w.audit || m.e AS audit, list_concat(w.lines, m.l) AS lines,
+         row_number() OVER (PARTITION BY w.conv_id ORDER BY w.cost + 2 * length(m.e), w.audit || m.e) AS best
+  FROM walk w JOIN moves m ON m.s = w.s WHERE w.i = w.n AND m.t IN (0, 3))
+SELECT o.conv_id, CAST(coalesce(k.gaps, 0) AS BIGINT) AS gaps, coalesce(k.blank, 0) AS blank, coalesce(k.duplicate, 0) AS duplicate,
+       coalesce(k.truncated, 0) AS truncated, coalesce(k.illegal, 0) AS illegal, CAST(coalesce(e.cost, 0) AS BIGINT) AS cost,
+       coalesce(e.audit, '') AS audit, sha256(coalesce(array_to_string(e.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted k ON k.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN (SELECT * FROM ended WHERE best = 1) e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
 # ----------------------------------------------------------------- 12 quality rules
 
 def op12_quality_rules(spark, d):
@@ -199,6 +285,7 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_language_id": op10_language_id,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_quality_rules": op12_quality_rules,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -207,4 +294,5 @@ ORACLE_SQL = {
     "op2_warc": _OP2_SQL,
     "op6_chat_format": _OP6_SQL,
     "op9_exact_dedup": _OP9_SQL,
+    "op11_conversation_repair": _OP11_SQL,
 }

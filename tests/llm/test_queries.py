@@ -16,6 +16,7 @@ COLUMNS = {
     "op6": ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
     "op7": ["doc_id", "size", "source_size", "target", "taken"], "op8": ["vec_id", "n_links", "component_id", "kept"],
     "op9": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"], "op10": ["doc_id", "held_out", "lang_pred", "score"],
+    "op11": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
     "op12": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     "op13": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
 }
