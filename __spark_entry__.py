@@ -431,6 +431,15 @@ def q_rule_job_dialect(spark, d):
     return _results(df, validation)
 
 
+def q_rule_mixed_dialects(spark, d):
+    """Named rules before and after a rule list: all of them run, each under its own dialect."""
+    validation = {"non_nullable": {"columns": ["c_mktsegment", "c_name"], "severity": "WARN"},
+                  "rules": [{"name": "non_nullable", "columns": ["c_mktsegment", "c_nationkey"], "severity": "WARN"},
+                            {"name": "length", "column": "c_name", "min": 18, "max": 18}],
+                  "unique_key": {"columns": ["c_nationkey"], "severity": "INFO"}}
+    return _results(_customer_nulls(spark, d), validation)
+
+
 def q_dq_messages(spark, d):
     """Result rows with their messages (the full result contract)."""
     rules = [
@@ -502,6 +511,19 @@ def q_dq_rules_table(spark, d):
     return _results(_t(spark, d, "customer"), rules)
 
 
+def q_dq_rules_table_exact(spark, d):
+    """Thresholds of a rule table that doubles cannot tell from their neighbours, on whole numbers and on text."""
+    big = "9007199254740993"
+    rows = [(1, "orders", "amount", "range", f"0,{big}", "ERROR"), (2, "orders", "amount", "range", f"{big},", "WARN"),
+            (3, "orders", "amount_text", "range", f"0,{big}.5", "ERROR"), (4, "orders", "amount", "row_count", "1,", "ERROR")]
+    rule_rows = spark.createDataFrame([r + (None, None, True) for r in rows],
+                                      "rule_id bigint, job_name string, column_name string, rule_type string, threshold_value string, "
+                                      "severity string, rule_name string, expression string, is_active boolean")
+    amount = F.lit(9007199254740992) + F.col("o_orderkey") % 4
+    orders = _t(spark, d, "orders").select(amount.alias("amount"), F.concat(amount.cast("string"), F.lit(".25")).alias("amount_text"))
+    return _results(orders, rules_from_table(rule_rows, job_name="orders"))
+
+
 def _audit_rules() -> list[dict]:
     return [
         {"name": "non_nullable", "columns": ["c_mktsegment", "c_nationkey"]},
@@ -1035,6 +1057,20 @@ def core_oracle_sql() -> dict[str, str]:
             _rule_sql("expression", "WARN", "count(*)", "count(*) FILTER (WHERE NOT (c_acctbal > -900))",
                       "customer", "WARN"),
         ]),
+        "dq_rules_table_exact": union([
+            _rule_sql("range", "ERROR", "count(*)", "count(*) FILTER (WHERE o_orderkey % 4 > 1)", "orders"),
+            _rule_sql("range", "WARN", "count(*)", "count(*) FILTER (WHERE o_orderkey % 4 < 1)", "orders", "WARN"),
+            _rule_sql("range", "ERROR", "count(*)", "count(*) FILTER (WHERE o_orderkey % 4 > 1)", "orders"),
+            _rule_sql("row_count", "ERROR", "count(*)", "0", "orders"),
+        ]),
+        "rule_mixed_dialects": union([
+            _rule_sql("non_nullable", "WARN", "count(*)", "count(*) FILTER (WHERE c_mktsegment IS NULL OR c_name IS NULL)", _CUST_NULLS),
+            _rule_sql("non_nullable", "WARN", "count(*)",
+                      "count(*) FILTER (WHERE c_mktsegment IS NULL) + count(*) FILTER (WHERE c_nationkey IS NULL)", _CUST_NULLS, "WARN"),
+            _rule_sql("length", "ERROR", "count(*)",
+                      "count(*) FILTER (WHERE c_name IS NOT NULL AND length(c_name) <> 18)", _CUST_NULLS),
+            _unique_sql(["c_nationkey"], _CUST_NULLS, "INFO"),
+        ]),
         "dq_failure_audit": _audit_sql(),
         "dq_split_valid": (f"SELECT * FROM {_CUST_NULLS} WHERE NOT coalesce(c_mktsegment IS NULL OR c_nationkey IS NULL "
                            "OR (c_mktsegment IS NOT NULL AND c_mktsegment NOT IN ('AUTOMOBILE', 'FURNITURE', 'MACHINERY')) "

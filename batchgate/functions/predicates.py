@@ -56,12 +56,17 @@ def any_true(preds: Iterable[Column]) -> Column:
     return reduce(or_, preds) if preds else F.lit(False)
 
 
+def _bound(b: Any) -> Column:
+    """A bound as a literal; whole numbers beyond a bigint as decimals."""
+    return F.lit(Decimal(b) if isinstance(b, int) and not isinstance(b, bool) and abs(b) >= 2 ** 63 else b)
+
+
 def _bounded(value: Column, lo: Any, hi: Any) -> Column | None:
     parts = []
     if lo is not None:
-        parts.append(value < F.lit(lo))
+        parts.append(value < (lo if isinstance(lo, Column) else _bound(lo)))
     if hi is not None:
-        parts.append(value > F.lit(hi))
+        parts.append(value > (hi if isinstance(hi, Column) else _bound(hi)))
     return reduce(or_, parts) if parts else None
 
 
@@ -103,7 +108,7 @@ def outside_range(c: str | Column, lo: Any, hi: Any, dtype: T.DataType | None =
     as doubles, where no such bound is near.
     """
     col = _col(c)
-    numeric_bounds = all(isinstance(b, (int, float)) for b in (lo, hi) if b is not None)
+    numeric_bounds = all(isinstance(b, (int, float, Decimal)) for b in (lo, hi) if b is not None)
     if isinstance(dtype, T.StringType) and numeric_bounds:
         bounds = [None if b is None else Decimal(str(b)) for b in (lo, hi)]
         loose = _bounded(col.try_cast("double"), lo, hi)

@@ -6,15 +6,25 @@ rows is bounded by how many rules were written, never by the data checked.
 
 from __future__ import annotations
 
+from decimal import Decimal, InvalidOperation
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _num(text: str | None):
+def _num(text: str | None) -> int | Decimal | None:
+    """A threshold as written: a float would move bounds beyond 2**53 to a neighbour."""
     if text is None or text.strip() == "":
         return None
-    v = float(text)
-    return int(v) if v.is_integer() and "." not in text else v
+    try:
+        v = Decimal(text.strip())
+    except InvalidOperation:
+        v = Decimal("NaN")
+    if not v.is_finite():
+        raise ValueError(f"threshold {text!r} is not a number")
+    if "." not in text and v == v.to_integral_value():
+        return int(v)
+    return Decimal(format(v, "f"))
 
 
 def _pair(threshold: str | None):

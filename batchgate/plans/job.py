@@ -30,6 +30,7 @@ from ..functions.columns import with_metadata
 from ..operators.audit import audit_table_rows, failure_audit
 from ..operators.quality import collect_results, evaluate, gate
 from ..operators.rule_table import rules_from_table
+from ..operators.rules import check_rule_names
 from ..session import TableRef, scratch_path
 from ..sources.files import CORRUPT, land, read_source, scan_csv
 from ..spec import JobSpec, parse_business_date
@@ -101,6 +102,7 @@ def run_job(spark: SparkSession, config: dict, batch_details: dict, *,
         rules = list(spec.rules)
         if (stored := rules_table or spec.rules_table) is not None:
             rules += rules_from_table(TableRef.of(stored).read(spark), spec.name)
+        check_rule_names(rules)
         parsed = (scan_csv(spark, paths, schema, spec.source, corrupt=True) if paths is not None
                   else read_source(spark, spec.source, business_date, schema, corrupt=True))
         landed_df, landed = land(parsed, landing_path or scratch_path(spark, "landing", spec.name))

@@ -7,7 +7,9 @@ Two validation dialects are accepted:
   every key but ``rules`` names a registered rule; ``rules`` holds column blocks.
 * rule-list dialect: ``{"rules": [{"name": "length", "column": .., ...}, ...]}``.
 
-Both become one ordered list of rule dicts with a ``name`` and a ``dialect``.
+Both become one ordered list of rule dicts with a ``name`` and a ``dialect``. They
+may stand together: named entries beside a list are kept, in config order, and
+each entry follows its own dialect. A section that is neither is refused.
 """
 
 from __future__ import annotations
@@ -41,11 +43,13 @@ def normalize_rules(validation: dict | list | None) -> list[dict]:
         return []
     if isinstance(validation, list):
         return [dict(r, dialect=r.get("dialect", "library")) for r in validation]
-    rules_section = validation.get("rules")
-    if isinstance(rules_section, list):
-        return [dict(r, dialect=r.get("dialect", "library")) for r in rules_section]
     out: list[dict] = []
     for name, cfg in validation.items():
+        if name == "rules" and isinstance(cfg, list):
+            out.extend(dict(r, dialect=r.get("dialect", "library")) for r in cfg)
+            continue
+        if not isinstance(cfg, dict) and cfg is not None:
+            raise ValueError(f"Validation section '{name}' must be a mapping, got {cfg!r}")
         if name == "rules":
             out.extend(column_block_rules(cfg or {}))
             continue

@@ -204,3 +204,70 @@ def test_range_on_timestamps_and_length_on_numbers(spark):
     assert r["records_failed"] == 1
     r = one(spark, rows, schema, {"name": "length", "column": "n", "max": 3})
     assert r["records_failed"] == 1      # 12345 has 5 characters
+
+
+# ------------------------------------------------------------------ both dialects in one config
+
+def test_named_rules_beside_a_list_are_kept_in_config_order():
+    from batchgate.spec import normalize_rules
+    listed = [{"name": "length", "column": "k", "max": 3}, {"name": "row_count", "min": 1}]
+    first = normalize_rules({"non_nullable": {"columns": ["k"]}, "rules": listed})
+    assert [(r["name"], r["dialect"]) for r in first] == [("non_nullable", "job"), ("length", "library"), ("row_count", "library")]
+    last = normalize_rules({"rules": listed, "non_nullable": {"columns": ["k"]}})
+    assert [r["name"] for r in last] == ["length", "row_count", "non_nullable"]
+
+
+def test_a_null_key_does_not_pass_a_gate_with_a_rule_list(spark):
+    df = spark.createDataFrame([(None,), ("a",)], "k string")
+    config = {"rules": [{"name": "length", "column": "k", "max": 3}], "non_nullable": {"columns": ["k"]}}
+    with pytest.raises(ValidationError, match="non_nullable"):
+        quality.gate(quality.evaluate(df, config))
+
+
+@pytest.mark.parametrize("config", [{"rules": "length"}, {"non_nullable": ["k"]}, {"rules": [], "non_nullable": "k"}])
+def test_sections_that_are_no_mapping_are_refused(config):
+    from batchgate.spec import normalize_rules
+    with pytest.raises(ValueError, match="mapping"):
+        normalize_rules(config)
+
+
+def test_unknown_sections_are_refused(spark):
+    from batchgate.operators.rules import check_rule_names
+    with pytest.raises(ValueError, match="no_such_rule"):
+        quality.evaluate(spark.range(1), {"no_such_rule": {"x": 1}, "rules": []})
+    with pytest.raises(ValueError, match="no_such_rule"):
+        check_rule_names([{"name": "length"}, {"name": "no_such_rule"}, {}])
+
+
+# ------------------------------------------------------------------ thresholds kept as text
+
+@pytest.mark.parametrize("text, value", [("9007199254740993", 9007199254740993), ("1e3", 1000), (" -5 ", -5), ("0.1", "0.1"), ("1.5e3", "1500"),
+                                         ("5.0", "5.0"), (str(2 ** 70), 2 ** 70), ("1e-2", "0.01"), ("", None)])
+def test_rule_table_thresholds_keep_their_digits(text, value):
+    from decimal import Decimal
+
+    from batchgate.operators.rule_table import _num
+    got = _num(text)
+    assert got == (Decimal(value) if isinstance(value, str) else value)
+    assert str(got) == str(value)
+
+
+@pytest.mark.parametrize("text", ["x", "nan", "inf", "1,2"])
+def test_thresholds_that_are_no_numbers_are_refused(text):
+    from batchgate.operators.rule_table import _num
+    with pytest.raises(ValueError, match="not a number"):
+        _num(text)
+
+
+def test_exact_bounds_on_numbers_and_text(spark):
+    from batchgate.operators.rule_table import rule_from_row
+    rows = [(9007199254740992, "9007199254740992.4", 0.1), (9007199254740993, "9007199254740993.4", 0.2), (9007199254740994, "1e30", 0.3)]
+    df = spark.createDataFrame(rows, "n long, t string, f double")
+
+    def failed(column, threshold):
+        row = {"rule_type": "range", "column_name": column, "severity": "ERROR", "threshold_value": threshold, "rule_name": None}
+        return quality.collect_results(quality.evaluate(df, [rule_from_row(row)]))[0]["records_failed"]
+
+    assert [failed("n", t) for t in ("0,9007199254740993", "9007199254740993,", f"0,{2 ** 70}", f"{2 ** 70},")] == [1, 1, 0, 3]
+    assert [failed("t", t) for t in ("0,9007199254740993.3", "0,9007199254740993", "0,1e31")] == [2, 2, 0]
+    assert [failed("f", t) for t in ("0.1,0.2", "0.2,0.3", ",0.15")] == [1, 1, 2]
