@@ -161,6 +161,19 @@ def q_scan_by_name_two_headers(spark, d):
     return files.scan_dated_files(spark, src, cust.schema)
 
 
+def q_scan_by_name_recased(spark, d):
+    """Three drops bound by name: names in another case, an optional column absent, a column that is read past."""
+    cust = _t(spark, d, "customer")
+    base = scratch_path(spark, "csv", "customer_recased")
+    part = [cust.filter(f"c_custkey % 3 = {k}") for k in range(3)]
+    _write_csv(part[0].toDF(*[c.upper() for c in cust.columns]), f"{base}/drop_01-01-2026.csv")
+    _write_csv(part[1].drop("c_mktsegment"), f"{base}/drop_02-01-2026.csv")
+    _write_csv(part[2].select(F.lit("x").alias("Loaded_By"), *reversed(cust.columns)), f"{base}/drop_03-01-2026.csv")
+    src = {"type": "file", "format": "csv", "header": True, "binding": "name", "path": base, "file_format": "drop_{dd}-{MM}-{yyyy}.csv",
+           "optional_columns": ["c_mktsegment"], "ignored_columns": ["loaded_by"]}
+    return files.scan_dated_files(spark, src, cust.schema)
+
+
 def q_scan_by_name_corrupt(spark, d):
     """As scan_csv_corrupt, the columns reordered and bound by name."""
     cust = _t(spark, d, "customer")
@@ -1109,6 +1122,8 @@ def core_oracle_sql() -> dict[str, str]:
         "scan_csv_by_name": "SELECT * FROM customer",
         "scan_by_name_two_headers": ("SELECT *, CASE WHEN c_custkey % 2 = 0 THEN DATE '2026-01-01' ELSE DATE '2026-01-02' END "
                                      "AS business_date FROM customer"),
+        "scan_by_name_recased": ("SELECT c_custkey, c_name, c_nationkey, c_acctbal, CASE WHEN c_custkey % 3 = 1 THEN NULL ELSE c_mktsegment END "
+                                 "AS c_mktsegment, DATE '2026-01-01' + CAST(c_custkey % 3 AS INTEGER) AS business_date FROM customer"),
         "scan_by_name_corrupt": ("SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL "
                                  "ELSE c_acctbal END AS c_acctbal, c_mktsegment, c_mktsegment = 'BUILDING' AS corrupt "
                                  "FROM customer"),

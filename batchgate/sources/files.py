@@ -7,9 +7,10 @@ audit, metadata, merge) reads the landed copy with column pruning.
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import re
-from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 from typing import Iterable
 from urllib.parse import unquote
@@ -62,8 +63,10 @@ def scan_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType,
     ``binding='position'`` binds columns by position; with ``check_header``
     the header must name the schema's columns (in order, case ignored) or the
     read fails instead of silently shifting data. ``binding='name'`` maps the
-    header names of **each file** to the schema, parses timestamps by pattern,
-    and yields NULL for absent columns and unparseable values. ``corrupt``
+    header names of **each file** to the schema (case ignored), parses
+    timestamps by pattern, and yields NULL for unparseable values; missing,
+    unknown or repeated names fail the read, but for the source's
+    ``optional_columns`` (NULL where a file lacks them) and ``ignored_columns`` (read past). ``corrupt``
     adds ``_corrupt_record`` for rows that failed to parse (the raw line by
     position; the row's fields as text by name). ``path_column`` adds the
     file of each row.
@@ -75,41 +78,117 @@ def scan_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType,
     return df.withColumn(path_column, F.col("_metadata.file_path")) if path_column else df
 
 
-def _headers(spark: SparkSession, paths, src: SourceSpec) -> dict[tuple[str, ...], list[str] | str]:
-    """The files under ``paths`` by their header. Of each file only the first line
-    is read; the driver holds one header per file of the drop."""
-    whole = _reader(spark, src, None, False, False).load(paths)
-    names = sorted(whole.inputFiles())
-    if not src.header or len(names) <= 1:
-        return {tuple(whole.columns): paths}
-    with ThreadPoolExecutor(8) as pool:
-        found = list(pool.map(lambda name: tuple(_reader(spark, src, None, False, False).load(unquote(name)).columns), names))
-    if len(set(found)) == 1:
-        return {found[0]: paths}
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for header, name in zip(found, names):
-        groups.setdefault(header, []).append(unquote(name))
-    return groups
+class HeaderMismatchError(ValueError):
+    """A file's header does not name the schema's columns."""
+
+
+@dataclass(frozen=True)
+class HeaderMatch:
+    """One distinct header beside the schema: where each column stands, and what does not fit."""
+    names: tuple[str, ...]
+    files: tuple[str, ...]
+    positions: dict[str, int]            # schema column -> place in the header
+    recased: tuple[str, ...]             # header names that fit but for their case
+    missing: tuple[str, ...]             # schema columns the header lacks, optional ones left out
+    unknown: tuple[str, ...]             # header names outside the schema, ignored ones left out
+    repeated: tuple[str, ...]            # header names that occur more than once
+
+    @property
+    def fits(self) -> bool:
+        return not (self.missing or self.unknown or self.repeated)
+
+
+def match_header(names: Iterable[str], schema: T.StructType, source: SourceSpec | dict | None = None, *,
+                 files: Iterable[str] = (), case_sensitive: bool = False) -> HeaderMatch:
+    """Header names against schema columns; as for by-position headers, case is ignored unless the session's
+    analyzer is case-sensitive."""
+    src = source if isinstance(source, SourceSpec) else SourceSpec.of(source or {})
+    fold = str if case_sensitive else str.lower
+    names = tuple(names)
+    places: dict[str, list[int]] = {}
+    for i, name in enumerate(names):
+        places.setdefault(fold(name), []).append(i)
+    wanted = {fold(f.name): f.name for f in schema.fields}
+    optional, ignored = ({fold(c) for c in more} for more in (src.optional_columns, src.ignored_columns))
+    return HeaderMatch(
+        names, tuple(files), {column: places[key][0] for key, column in wanted.items() if key in places},
+        tuple(n for n in names if fold(n) in wanted and n != wanted[fold(n)]),
+        tuple(column for key, column in wanted.items() if key not in places and key not in optional),
+        tuple(n for n in names if fold(n) not in wanted and fold(n) not in ignored),
+        tuple(names[at[0]] for key, at in places.items() if len(at) > 1 and (key in wanted or key not in ignored)))
+
+
+_LEADING = 100          # blank lines before a header are skipped, as the CSV reader does; looked for among so many lines
+
+
+def _header_lines(spark: SparkSession, paths) -> list[tuple[str, list[str]]]:
+    """Each distinct header line with its files, found by one job over the first block of every file.
+
+    A session of its own keeps every block in a partition of its own, so the
+    first rows of a partition that starts at byte 0 are the first lines of a
+    file: a filter on the row number, no sort or shuffle of the text. The
+    driver receives one row a distinct header (with its paths, which the scans need).
+    """
+    probe = spark.newSession()
+    probe.conf.set("spark.sql.files.openCostInBytes", probe.conf.get("spark.sql.files.maxPartitionBytes"))
+    lines = probe.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("row"))
+    top = lines.where((F.col("at") == 0) & (F.col("row") < _LEADING) & (F.trim("value") != ""))
+    first = top.groupBy("path").agg(F.min_by("value", "row").alias("line"))
+    found = first.groupBy("line").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("line").collect()
+    return [(r["line"], [unquote(p) for p in r["paths"]]) for r in found]
+
+
+def match_headers(spark: SparkSession, paths, schema: T.StructType, source: SourceSpec | dict | None = None) -> list[HeaderMatch]:
+    """The distinct headers of the files under ``paths``, each matched with the schema."""
+    src = source if isinstance(source, SourceSpec) else SourceSpec.of(source or {})
+    if not src.header:
+        raise ValueError("binding by name needs files with a header")
+    sensitive = spark.conf.get("spark.sql.caseSensitive").lower() == "true"
+    return [match_header(next(csv.reader([line], delimiter=src.delimiter, escapechar="\\", doublequote=False)), schema, src,
+                         files=found, case_sensitive=sensitive)
+            for line, found in _header_lines(spark, paths)]
+
+
+def header_report(spark: SparkSession, paths, schema: T.StructType, source: SourceSpec | dict | None = None) -> DataFrame:
+    """One row per distinct header of a drop: its names, how many files have it, and what does not fit the schema."""
+    rows = [(list(m.names), len(m.files), list(m.recased), list(m.missing), list(m.unknown), list(m.repeated), m.fits)
+            for m in match_headers(spark, paths, schema, source)]
+    texts = ", ".join(f"{c} array<string>" for c in ("recased", "missing", "unknown", "repeated"))
+    return spark.createDataFrame(rows, f"header array<string>, files bigint, {texts}, fits boolean")
 
 
 def _scan_by_name(spark: SparkSession, paths, schema: T.StructType, src: SourceSpec, corrupt: bool,
                   path_column: str | None) -> DataFrame:
-    """One scan for each distinct header among the files."""
-    parts = [_bound_by_name(spark, group, header, schema, src, corrupt, path_column)
-             for header, group in _headers(spark, paths, src).items()]
+    """One scan for each distinct header among the files; headers that do not fit are refused together."""
+    matches = match_headers(spark, paths, schema, src)
+    wrong = [m for m in matches if not m.fits]
+    if wrong:
+        raise HeaderMismatchError("; ".join(
+            f"header {list(m.names)} of {len(m.files)} file(s), e.g. {m.files[0]}: missing={list(m.missing)}, "
+            f"unknown={list(m.unknown)}, repeated={list(m.repeated)}" for m in wrong)
+            + " (optional_columns / ignored_columns of the source list exceptions)")
+    if len(matches) == 1:
+        return _bound_by_name(spark, paths, matches[0], schema, src, corrupt, path_column)
+    parts = [_bound_by_name(spark, list(m.files), m, schema, src, corrupt, path_column) for m in matches]
+    if not parts:                                       # files without a line
+        extra = [T.StructField(c, T.StringType()) for c in ([CORRUPT] if corrupt else []) + ([path_column] if path_column else [])]
+        return spark.createDataFrame([], T.StructType(schema.fields + extra))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _bound_by_name(spark: SparkSession, paths, header: tuple[str, ...], schema: T.StructType, src: SourceSpec,
+def _bound_by_name(spark: SparkSession, paths, match: HeaderMatch, schema: T.StructType, src: SourceSpec,
                    corrupt: bool, path_column: str | None) -> DataFrame:
-    texts = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    raw = _reader(spark, src, texts, False, corrupt).load(paths)
+    # Text columns named by place: header names may differ from others by their case only.
+    place = [f"_h{i}" for i in range(len(match.names))]
+    raw = _reader(spark, src, T.StructType([T.StructField(c, T.StringType()) for c in place]), False, corrupt).load(paths)
     out, bad = [], []
     for f in schema.fields:
-        if f.name not in header:
+        if f.name not in match.positions:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
             continue
-        c = F.col(f"`{f.name}`")
+        c = F.col(place[match.positions[f.name]])
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) and src.timestamp_format:
             parsed = F.try_to_timestamp(c, F.lit(src.timestamp_format)).cast(f.dataType)
         elif isinstance(f.dataType, T.DateType) and src.date_format:
@@ -122,7 +201,7 @@ def _bound_by_name(spark: SparkSession, paths, header: tuple[str, ...], schema:
             bad.append(c.isNotNull() & parsed.isNull())
         out.append(parsed.alias(f.name))
     if corrupt:
-        line = F.concat_ws(src.delimiter, *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in header])
+        line = F.concat_ws(src.delimiter, *[F.coalesce(F.col(c), F.lit("")) for c in place])
         failed = reduce(lambda a, b: a | b, bad) if bad else F.lit(False)
         out.append(F.coalesce(F.col(CORRUPT), F.when(failed, line)).alias(CORRUPT))
     if path_column:

@@ -91,10 +91,13 @@ class SourceSpec:
     file_format: str = ""
     binding: str = "position"      # position | name
     check_header: bool = True      # header names must equal the schema (position binding)
+    optional_columns: list[str] = field(default_factory=list)   # name binding: columns that a file may lack
+    ignored_columns: list[str] = field(default_factory=list)    # name binding: columns of a file that are read past
 
     @classmethod
     def of(cls, cfg: dict) -> "SourceSpec":
-        known = {k: cfg[k] for k in cls.__dataclass_fields__ if k in cfg}
+        known = {k: normalize_keys(cfg[k]) if k in ("optional_columns", "ignored_columns") else cfg[k]
+                 for k in cls.__dataclass_fields__ if k in cfg}
         return cls(**known)
 
 
