@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.predicates import any_null, any_true
+from .key_counts import KeyCounts
 from .quality import compile_for
 from .rules import FAIL, CompiledRule
 
@@ -53,14 +54,17 @@ def _row_entries(compiled: list[CompiledRule]) -> list[Column]:
     return entries
 
 
-def _dup_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Non-NULL keys that occur more than once, with their count (grouped pass)."""
+def _dup_keys(df: DataFrame, keys: list[str], counts: KeyCounts | None = None) -> DataFrame:
+    """Non-NULL keys that occur more than once, with their count (grouped pass, or the run's key counts)."""
+    if counts is not None:
+        return counts.of(keys).repeated
     return (df.filter(~any_null(keys)).groupBy(*keys)
               .agg(F.count(F.lit(1)).alias("_bg_n")).filter(F.col("_bg_n") > 1).hint("rebalance"))
 
 
-def failure_audit(df: DataFrame, rules: Any, key_columns: list[str]) -> DataFrame:
-    """Rows for failing records only: record_key, column_name, rule, status, details."""
+def failure_audit(df: DataFrame, rules: Any, key_columns: list[str], counts: KeyCounts | None = None) -> DataFrame:
+    """Rows for failing records only: record_key, column_name, rule, status, details.
+    ``counts``: key counts of ``df`` that the run has taken."""
     compiled = compile_for(df, rules)
     rk = record_key(key_columns).alias("record_key")
     parts: list[DataFrame] = []
@@ -77,7 +81,7 @@ def failure_audit(df: DataFrame, rules: Any, key_columns: list[str]) -> DataFram
         null_rows = df.filter(any_null(keys)).select(
             rk, F.lit(cols).alias("column_name"), F.lit(r.rule_name).alias("validation_rule"),
             F.lit(r.fail_status).alias("validation_status"), F.lit("NULL key").alias("error_details"))
-        dup_rows = df.filter(~any_null(keys)).join(_dup_keys(df, keys), keys, "inner").select(
+        dup_rows = df.filter(~any_null(keys)).join(_dup_keys(df, keys, counts), keys, "inner").select(
             rk, F.lit(cols).alias("column_name"), F.lit(r.rule_name).alias("validation_rule"),
             F.lit(r.fail_status).alias("validation_status"),
             F.format_string("duplicate key, %d occurrences", F.col("_bg_n")).alias("error_details"))
@@ -90,7 +94,7 @@ def failure_audit(df: DataFrame, rules: Any, key_columns: list[str]) -> DataFram
 
 
 def flag_failures(df: DataFrame, rules: Any, failing_only: bool = False,
-                  flag: str = "_dq_failed") -> DataFrame:
+                  flag: str = "_dq_failed", counts: KeyCounts | None = None) -> DataFrame:
     """Add a boolean column: the row fails at least one rule.
 
     ``failing_only`` restricts to rules that FAIL when violated (a rule that
@@ -106,17 +110,18 @@ def flag_failures(df: DataFrame, rules: Any, failing_only: bool = False,
     out = df.withColumn(flag, any_true(preds))
     for i, r in enumerate(r for r in compiled if r.kind == "unique"):
         mark = f"_bg_dup{i}"
-        dups = _dup_keys(df, r.keys).select(*r.keys, F.lit(True).alias(mark))
+        dups = _dup_keys(df, r.keys, counts).select(*r.keys, F.lit(True).alias(mark))
         out = (out.join(dups, r.keys, "left")
                   .withColumn(flag, F.col(flag) | any_null(r.keys) | F.coalesce(F.col(mark), F.lit(False)))
                   .drop(mark))
     return out
 
 
-def split_valid_invalid(df: DataFrame, rules: Any, failing_only: bool = False) -> tuple[DataFrame, DataFrame]:
+def split_valid_invalid(df: DataFrame, rules: Any, failing_only: bool = False,
+                        counts: KeyCounts | None = None) -> tuple[DataFrame, DataFrame]:
     """(valid, invalid) rows; both keep the input columns in their order."""
     cols = df.columns
-    flagged = flag_failures(df, rules, failing_only)
+    flagged = flag_failures(df, rules, failing_only, counts=counts)
     return (flagged.filter(~F.col("_dq_failed")).select(*cols),
             flagged.filter(F.col("_dq_failed")).select(*cols))
 

@@ -17,7 +17,10 @@ Plan shapes:
 * ``shuffle``: a left outer join of the target with the batch (updates and kept
   rows; adaptive execution can split a hot target key) and a left anti join
   of the batch with the target's keys (inserts; a hot batch key can be
-  split). NULL-key rows are split off first (they would all hash to one task).
+  split). The right side of the anti join could not be split, so it is reduced first:
+  target keys that a Bloom filter of the batch's keys lets through, one row a
+  key. Whole target rows thus cross a shuffle once, and no side that cannot be split
+  holds a key twice. NULL-key rows are split off first (they would all hash to one task).
 * ``broadcast``: for a batch whose row count was checked to be small, the
   target is streamed through a broadcast left-outer join (never shuffled);
   inserts are the batch minus the batch-sized set of matched keys.
@@ -26,6 +29,12 @@ Keys that occur many times in the batch can be routed straight to the insert
 branch (``insert_only_keys``), once a duplicate check has proved they have no
 target row, so no join task receives a hot key.
 
+Fence (``done``): target rows that this very load has already written, when a run
+that wrote and then died is run again. They stay as they are (counted as the
+insert or update that they were), their keys take no further part, and NULL-key
+rows of the first attempt are replaced by those of the second. A bucket is
+replaced as a whole, so this holds whichever buckets the first attempt reached.
+
 Persistence (:func:`merge_into`) without a row-level-DML table format:
 the target is partitioned by ``_bucket = pmod(hash(keys), N)``; only the
 buckets present in the batch are read (partition pruning) and rewritten
@@ -47,10 +56,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..functions import bloom
 from ..functions.columns import as_of_column
-from ..functions.predicates import any_null
-from ..session import TableRef, path_missing
+from ..functions.predicates import any_null, null_safe
+from ..session import TableRef, path_missing, scratch_path
 from ..sources.files import row_width
+from .key_counts import KeyCounts
 
 BUCKET = "_bucket"
 _WIDER = {"byte": 1, "short": 2, "integer": 3, "long": 4}
@@ -155,7 +166,8 @@ def merge_frames(target: DataFrame, batch: DataFrame, keys: list[str] | str,
                  as_of: dt.datetime | str | None = None, *, strategy: str = "shuffle",
                  insert_only_keys: DataFrame | None = None, with_action: bool = False,
                  batch_bytes: int | None = None, max_broadcast_bytes: int = 64 << 20,
-                 add_columns: bool = False) -> DataFrame:
+                 add_columns: bool = False, batch_rows: int | None = None, colocated: bool = False,
+                 done: Column | None = None) -> DataFrame:
     """The merged table as a DataFrame (target's column order).
 
     Batch columns that the target lacks are refused; with ``add_columns`` they
@@ -167,6 +179,9 @@ def merge_frames(target: DataFrame, batch: DataFrame, keys: list[str] | str,
     back to the shuffle plan otherwise. ``insert_only_keys``: keys known to
     have no target row (checked by the caller); their batch rows skip the
     join. ``with_action`` adds ``_action`` in {insert, update, keep}.
+    ``batch_rows`` sizes the Bloom filter; ``colocated`` says that the target is
+    read hash-partitioned by its keys (its reduced keys then need no exchange);
+    ``done`` is the fence described above, a condition on target rows.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if strategy not in ("shuffle", "broadcast", "auto"):
@@ -185,7 +200,14 @@ def merge_frames(target: DataFrame, batch: DataFrame, keys: list[str] | str,
     now = as_of_column(as_of)
 
     target_null = target.filter(any_null(keys))
-    target_keyed = target.filter(~any_null(keys))
+    target_keyed = open_rows = target.filter(~any_null(keys))
+    finished = []
+    if done is not None:
+        done = null_safe(done)
+        target_null = target_null.filter(~done)          # inserted by the first attempt; its batch rows come again
+        open_rows = target_keyed.filter(~done)
+        was = F.when(F.col(S.UPDATED_AT).isNull(), INSERT).otherwise(UPDATE)
+        finished = [target_keyed.filter(done).select(*target_cols, was.alias(ACTION))]
     batch_null = batch.filter(any_null(keys))
     batch_keyed = batch.filter(~any_null(keys))
     inserts = [_align(batch_null, target_cols, INSERT)]
@@ -194,24 +216,45 @@ def merge_frames(target: DataFrame, batch: DataFrame, keys: list[str] | str,
         inserts.append(_align(batch_keyed.join(hot, keys, "left_semi"), target_cols, INSERT))
         batch_keyed = batch_keyed.join(hot, keys, "left_anti")
 
-    m = target_keyed.withColumn(_M, F.lit(True)).alias("m")
+    m = open_rows.withColumn(_M, F.lit(True)).alias("m")
     r = batch_keyed.withColumn(_R, F.lit(True)).alias("r")
     small = strategy == "broadcast"
     joined = m.join(F.broadcast(r) if small else r, _key_cond(keys), "left_outer")
     both = _q("r", _R).isNotNull()
     main = joined.select(*_project(target_cols, batch_cols, both, F.lit(False), now), _action(both, F.lit(False)))
-    inserts.append(_align(_unmatched(target_keyed, batch_keyed, keys, small), target_cols, INSERT))
-    parts = [main, _align(target_null, target_cols, KEEP)] + inserts
+    inserts.append(_align(_unmatched(target_keyed, batch_keyed, keys, small, batch_rows, colocated), target_cols, INSERT))
+    parts = [main, _align(target_null, target_cols, KEEP)] + finished + inserts
     out = reduce(DataFrame.unionByName, parts)
     return out if with_action else out.drop(ACTION)
 
 
-def _unmatched(target: DataFrame, batch: DataFrame, keys: list[str], small: bool) -> DataFrame:
+def reduced_keys(target: DataFrame, batch: DataFrame, keys: list[str], batch_rows: int | None = None,
+                 colocated: bool = False) -> DataFrame:
+    """The target's keys that the batch may hold, one row a key.
+
+    The Bloom filter of the batch's keys drops the others before anything is
+    shuffled; duplicates are combined map-side, so a key on a third of the
+    target leaves a task once. Rebalanced, so that a join on it does not reuse
+    the aggregate's partitioning, under which no side could be split. Keys of a
+    ``colocated`` target are never shuffled, so there is nothing to filter for.
+    """
+    found = target.select(*keys)
+    if colocated:
+        return found.distinct()
+    if bloom.same_hash(target.schema, batch.schema, keys):
+        bits = bloom.log2_bits(batch_rows)
+        found = found.where(bloom.might_contain(bloom.build(batch.select(*keys), keys, bits).scalar(), keys, bits))
+    return found.distinct().hint("rebalance")
+
+
+def _unmatched(target: DataFrame, batch: DataFrame, keys: list[str], small: bool, batch_rows: int | None = None,
+               colocated: bool = False) -> DataFrame:
     """Batch rows without a target row. A small batch meets the target's keys by
     broadcast: the keys it matches are no more than its own."""
-    found = target.select(*keys)
     if small:
-        found = found.join(F.broadcast(batch.select(*keys)), keys, "left_semi")
+        found = target.select(*keys).join(F.broadcast(batch.select(*keys)), keys, "left_semi")
+    else:
+        found = reduced_keys(target, batch, keys, batch_rows, colocated)
     return batch.join(found, keys, "left_anti")
 
 
@@ -270,7 +313,7 @@ def check_duplicate_matches(target: DataFrame, batch: DataFrame, keys: list[str]
     """Raise when a key repeated in the batch also has a target row."""
     counts = key_counts(batch, keys) if counts is None else counts
     dups = counts.filter(F.col("_bg_n") > 1).select(*keys)
-    conflict = dups.join(target.select(*keys), keys, "left_semi").limit(1).collect()
+    conflict = dups.join(reduced_keys(target, dups, keys), keys, "left_semi").limit(1).collect()
     if conflict:
         raise MergeConflictError(
             f"Several batch rows match one target row for key {conflict[0].asDict()}")
@@ -292,6 +335,7 @@ def hot_threshold(batch_rows: int, max_keys: int = 10000, min_rows: int = 10000)
 
 LAYOUTS = ("folders", "bucketed")
 _PROP_LAYOUT, _PROP_BUCKETS, _PROP_KEYS = "batchgate.layout", "batchgate.buckets", "batchgate.keys"
+_PROP_DYNAMIC = "batchgate.dynamic_overwrite"     # the table's own options hold the overwrite mode
 _MARKER = "_batchgate_layout"     # path tables: a folder Spark's listing skips (leading '_')
 _MARKER_SCHEMA = f"`{_PROP_LAYOUT}` string, `{_PROP_BUCKETS}` string, `{_PROP_KEYS}` string"
 
@@ -337,6 +381,10 @@ def _clustered(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", BUCKET)
 
 
+def _properties(spark: SparkSession, ref: TableRef) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {ref.name}").collect()}
+
+
 def _table_layout(spark: SparkSession, ref: TableRef, layout: str, buckets: int, keys: str) -> None:
     """Refuse a merge whose layout, bucket count or keys differ from the table's.
 
@@ -345,7 +393,7 @@ def _table_layout(spark: SparkSession, ref: TableRef, layout: str, buckets: int,
     (catalog tables as properties, path tables in a marker folder).
     """
     if ref.name:
-        props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {ref.name}").collect()}
+        props = _properties(spark, ref)
     else:
         try:
             props = (spark.read.schema(_MARKER_SCHEMA).json(f"{ref.path}/{_MARKER}")
@@ -421,9 +469,11 @@ def _write_new(spark: SparkSession, df: DataFrame, ref: TableRef, keys: list[str
     if layout == "bucketed":
         w = w.bucketBy(buckets, *keys).sortBy(*keys)
     if ref.name:
-        w.saveAsTable(ref.name)
+        # Kept as an option of the table: later inserts replace the buckets they write, whatever the session's mode.
+        w.option("partitionOverwriteMode", "dynamic").saveAsTable(ref.name)
         spark.sql(f"ALTER TABLE {ref.name} SET TBLPROPERTIES "
-                  f"('{_PROP_LAYOUT}' = '{layout}', '{_PROP_BUCKETS}' = '{buckets}', '{_PROP_KEYS}' = '{signature}')")
+                  f"('{_PROP_LAYOUT}' = '{layout}', '{_PROP_BUCKETS}' = '{buckets}', '{_PROP_KEYS}' = '{signature}', "
+                  f"'{_PROP_DYNAMIC}' = 'true')")
     else:
         w.save(ref.path)
         marker = spark.createDataFrame([(layout, str(buckets), signature)], _MARKER_SCHEMA)
@@ -432,17 +482,20 @@ def _write_new(spark: SparkSession, df: DataFrame, ref: TableRef, keys: list[str
 
 def _overwrite_buckets(spark: SparkSession, df: DataFrame, ref: TableRef, layout: str, metrics: Observation) -> None:
     if ref.name:
-        # A catalog insert takes the overwrite mode from the session only;
-        # set it for this statement and restore it.
         if layout == "folders":
             df = _clustered(df)
-        df = _counted(df, metrics)
         cols = spark.table(ref.name).columns
+        out = _counted(df, metrics).select(*cols).write
+        if _properties(spark, ref).get(_PROP_DYNAMIC) == "true":
+            out.insertInto(ref.name, overwrite=True)
+            return
+        # A table of an earlier version has no overwrite mode of its own, and an insert then takes the
+        # session's: set for this statement and restored.
         key = "spark.sql.sources.partitionOverwriteMode"
         previous = spark.conf.get(key)
         spark.conf.set(key, "dynamic")
         try:
-            df.select(*cols).write.insertInto(ref.name, overwrite=True)
+            out.insertInto(ref.name, overwrite=True)
         finally:
             spark.conf.set(key, previous)
     else:
@@ -454,12 +507,31 @@ def resolve_layout(ref: TableRef, layout: str | None) -> str:
     return layout or ("bucketed" if ref.name else "folders")
 
 
+def own_rows(batch_id: int, business_date: str, source_name: str | None) -> Column:
+    """Target rows that a load (batch id, business date, source) has written."""
+    return ((F.col(S.BATCH_ID) == F.lit(batch_id)) & (F.col(S.BUSINESS_DATE) == F.lit(business_date).cast("timestamp"))
+            & F.col(S.SOURCE_NAME).eqNullSafe(F.lit(source_name)))
+
+
+def _landed(staged: DataFrame) -> tuple[DataFrame, int, int, list[int]]:
+    """A deduplicated batch written once: the frame read back, its rows, bytes and buckets, observed on that write."""
+    spark, obs = staged.sparkSession, Observation("batchgate_staged")
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in staged.schema.fields
+             if f.dataType.typeName() in ("string", "binary")]
+    path = scratch_path(spark, "staged")
+    (staged.observe(obs, F.count(F.lit(1)).alias("n"), (F.sum(sum(texts[1:], texts[0])) if texts else F.lit(0)).alias("b"),
+                    F.collect_set(BUCKET).alias("buckets")).write.parquet(path))
+    rows, text_bytes = int(obs.get["n"] or 0), int(obs.get["b"] or 0)
+    return spark.read.schema(staged.schema).parquet(path), rows, rows * row_width(staged.schema) + text_bytes, sorted(obs.get["buckets"] or [])
+
+
 def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict | str,
                keys: list[str] | str, as_of: dt.datetime | str | None = None, *,
                buckets: int = 64, batch_rows: int | None = None, batch_bytes: int | None = None,
                max_broadcast_bytes: int = 64 << 20, check_duplicates: bool = True,
                hot_key_rows: int = 10000, dedupe_by: list[str] | str | None = None,
-               layout: str | None = None, touched: list[int] | None = None) -> dict:
+               layout: str | None = None, touched: list[int] | None = None,
+               counts: KeyCounts | None = None, done: Column | None = None) -> dict:
     """Merge ``batch`` into a stored table; returns the merge counters.
 
     Table formats with row-level DML use their MERGE. Otherwise the bucketed
@@ -467,12 +539,14 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
     The broadcast plan is used only when the batch is proven small:
     ``batch_bytes`` (measured while landing) or, if not given, measured by
     one aggregate, at most ``max_broadcast_bytes``. Otherwise the shuffle plan.
+    ``counts``: key counts of this very batch, if a rule has taken them.
+    ``done``: the condition on target rows that this load has already written
+    (:func:`own_rows`), for a run that may be a repeat of one that died.
     """
     ref = TableRef.of(target)
     keys = [keys] if isinstance(keys, str) else list(keys)
     if dedupe_by:
         batch = dedupe_latest(batch, keys, dedupe_by)
-        batch_rows = batch_bytes = None
     if ref.supports_row_level_dml():
         if ref.exists(spark):
             return _merge_with_table_format(batch, ref, keys, as_of)
@@ -487,7 +561,10 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
     bcols = [c for c in batch.columns if c != BUCKET]
     staged = batch.select(*bcols).withColumn(BUCKET, bucket_expr(keys, buckets, bcols, layout))
     metrics = Observation("batchgate_merge")
-    if touched is None or dedupe_by:
+    if dedupe_by:
+        # The one aggregate of the run; no key repeats in what it leaves.
+        staged, batch_rows, batch_bytes, touched = _landed(staged)
+    elif touched is None:
         touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())  # <= buckets values
     current = _read_buckets(spark, ref, touched, buckets)
     if current is None:
@@ -497,24 +574,36 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
 
     if batch_rows is None or batch_bytes is None:
         batch_rows, batch_bytes = measure(staged)
-    counts = key_counts(staged, keys)
     hot = None
-    if check_duplicates:
-        # One small aggregate first: when no batch key repeats (the usual
-        # case) neither the conflict join against the target keys nor the
-        # hot-key route is needed.
-        top = counts.agg(F.max("_bg_n")).first()[0] or 0
-        if top > 1:
-            check_duplicate_matches(current, staged, keys, counts)
-            if top > hot_threshold(batch_rows, min_rows=hot_key_rows):
-                hot = heavy_keys(counts, batch_rows, min_rows=hot_key_rows)
+    if check_duplicates and not dedupe_by:
+        hot = _checked_hot_keys(current, counts or KeyCounts(staged), keys, batch_rows, hot_key_rows, done)
     merged = merge_frames(current, staged, keys, as_of, strategy="auto", insert_only_keys=hot,
-                          with_action=True, batch_bytes=batch_bytes,
-                          max_broadcast_bytes=max_broadcast_bytes)
+                          with_action=True, batch_bytes=batch_bytes, batch_rows=batch_rows,
+                          max_broadcast_bytes=max_broadcast_bytes, colocated=layout == "bucketed", done=done)
     _overwrite_buckets(spark, merged, ref, layout, metrics)
     return _counters(metrics)
 
 
+def _checked_hot_keys(current: DataFrame, counts: KeyCounts, keys: list[str], batch_rows: int, hot_key_rows: int,
+                      done: Column | None) -> DataFrame | None:
+    """Refuses repeated keys that have a target row; the hot ones among the others, if any.
+
+    When no batch key repeats (the usual case) neither the conflict join nor the hot-key route is needed.
+    """
+    found = counts.of(keys)
+    if found.top <= 1:
+        return None
+    repeated = found.repeated.select(*[F.col(k).cast(current.schema[k].dataType).alias(k) for k in keys], "_bg_n")
+    if done is not None:
+        # Keys whose rows stand there from the first attempt are no conflict, and are not inserted again.
+        own, current = current.filter(null_safe(done)), current.filter(~null_safe(done))
+        repeated = repeated.join(reduced_keys(own, repeated, keys), keys, "left_anti")
+    check_duplicate_matches(current, repeated, keys, repeated)
+    if found.top > hot_threshold(batch_rows, min_rows=hot_key_rows):
+        return heavy_keys(repeated, batch_rows, min_rows=hot_key_rows)
+    return None
+
+
 def _counters(obs: Observation) -> dict:
     got = obs.get
     ins, upd = int(got.get("records_inserted") or 0), int(got.get("records_updated") or 0)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.predicates import any_null, any_true
 from ..spec import normalize_rules
+from .key_counts import KeyCounts
 from .rules import (FAIL, FAIL_SEVERITIES, MESSAGES, PASS, WARN, CompiledRule,
                     compile_rules)
 
@@ -134,13 +135,21 @@ def _unique_result(df: DataFrame, r: CompiledRule) -> DataFrame:
     return stats.select(res.alias("_r")).select("_r.*")
 
 
-def evaluate(df: DataFrame, rules: Any) -> DataFrame:
+def _known_unique(r: CompiledRule, counts: KeyCounts) -> Column:
+    """The same result from key counts that were taken before: literals, no pass."""
+    c = counts.of(r.keys)
+    message = MESSAGES["unique_fail"].format(nulls=c.null_rows, dups=c.excess)
+    return _result(r, F.lit(c.rows), F.lit(c.null_rows + c.excess), F.lit(message), F.lit(r.pass_message))
+
+
+def evaluate(df: DataFrame, rules: Any, counts: KeyCounts | None = None) -> DataFrame:
     """Results frame, one row per configured rule (``rule_index`` = config order).
 
     Scans: one for all row-level rules, NULL counters, row counts and static
     results together, plus one grouped pass per unique-key rule. Each pass
     re-reads ``df``, so give it a columnar source (the landed batch), not a
-    text scan.
+    text scan. With ``counts`` (the run's key counts of ``df``), unique-key
+    rules are answered from them, and later steps share the same pass.
     """
     compiled = compile_for(df, rules)
     spark = df.sparkSession
@@ -152,9 +161,11 @@ def evaluate(df: DataFrame, rules: Any) -> DataFrame:
     elif base:
         one = spark.range(1)
         parts.append(one.select(F.inline(F.array(*[_static(r) for r in base]))))
-    for r in compiled:
-        if r.kind == "unique":
-            parts.append(_unique_result(df, r))
+    unique = [r for r in compiled if r.kind == "unique"]
+    if counts is not None and unique:
+        parts.append(spark.range(1).select(F.inline(F.array(*[_known_unique(r, counts) for r in unique]))))
+    elif unique:
+        parts.extend(_unique_result(df, r) for r in unique)
     if not parts:
         return spark.createDataFrame([], S.RESULT_SCHEMA).select(
             F.lit(0).alias("rule_index"), *S.RESULT_SCHEMA.fieldNames())

@@ -150,7 +150,7 @@ def test_bucketed_layout_merge_does_not_shuffle_the_target(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         with contextlib.redirect_stdout(plan):
-            merge.merge_frames(current, staged, "o_orderkey", strategy="shuffle").explain()
+            merge.merge_frames(current, staged, "o_orderkey", strategy="shuffle", colocated=True).explain()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     text = plan.getvalue()
@@ -250,3 +250,55 @@ def test_branches_alone(spark):
     assert sorted(merge.inserted_rows(t, b, "k").select("v").toPandas().v) == [31, 41]
     plans = [df._jdf.queryExecution().executedPlan().toString() for df in (merge.matched_rows(t, b, "k"), merge.inserted_rows(t, b, "k"))]
     assert all("FullOuter" not in p for p in plans)
+
+
+def test_key_counts_are_taken_once_and_shared(spark):
+    from batchgate.operators import audit, quality
+    from batchgate.operators.key_counts import KeyCounts
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 3), ("b", 1), (None, 1), (None, 2), ("c", 5), ("c", 6)], "k string, v long")
+    counts = KeyCounts(df)
+    c = counts.of(["k"])
+    assert (c.rows, c.null_rows, c.repeated_rows, c.excess, c.top) == (8, 2, 5, 3, 3)
+    assert sorted(tuple(r) for r in c.repeated.collect()) == [("a", 3), ("c", 2)]
+    rules = [{"name": "unique_key", "columns": ["k"]}, {"name": "row_count", "min": 1}]
+    assert quality.evaluate(df, rules, counts).collect() == quality.evaluate(df, rules).collect()
+    by = lambda rows: sorted(map(tuple, rows), key=repr)
+    assert by(audit.failure_audit(df, rules, ["v"], counts).collect()) == by(audit.failure_audit(df, rules, ["v"]).collect())
+    split = [by(x.collect()) for x in audit.split_valid_invalid(df, rules, counts=counts)]
+    assert split == [by(x.collect()) for x in audit.split_valid_invalid(df, rules)]
+    assert counts.passes == 1
+    counts.of(["k", "v"])
+    assert counts.passes == 2
+    empty = KeyCounts(df.limit(0)).of(["k"])
+    assert (empty.rows, empty.top, empty.repeated.count()) == (0, 0, 0)
+
+
+def test_the_session_keeps_its_overwrite_mode(spark, monkeypatch):
+    """Bucket rewrites of a catalog table take the mode from the table, so a concurrent statement sees no change."""
+    from batchgate.session import scratch_database
+    name = f"{scratch_database(spark)}.t"
+    rows = with_metadata(spark.range(100).selectExpr("id AS k", "id AS v"), 1, "2026-08-07", "crm")
+    merge.merge_into(spark, rows, name, ["k"], buckets=4)
+    touched = []
+    monkeypatch.setattr(type(spark.conf), "set", lambda self, k, v: touched.append(k))
+    counters = merge.merge_into(spark, rows.where("k < 3").withColumn("v", F.lit(7).cast("long")), name, ["k"], buckets=4)
+    monkeypatch.undo()
+    assert counters["records_updated"] == 3 and not [k for k in touched if "partitionOverwriteMode" in k]
+    assert spark.table(name).count() == 100 and spark.table(name).where("v = 7").count() == 4
+
+
+def test_dedupe_runs_once_and_lands(spark, tmp_dir):
+    target = TableRef(path=tmp_dir)
+    base = with_metadata(spark.range(50).selectExpr("id AS k", "id AS v"), 1, "2026-08-07", "crm")
+    merge.merge_into(spark, base, target, ["k"], buckets=4)
+    batch = with_metadata(spark.range(60).selectExpr("id % 20 + 40 AS k", "id AS v").union(spark.sql("SELECT NULL, 3L")), 2, "2026-08-08", "crm")
+    calls = []
+    real = merge.dedupe_latest
+    merge.dedupe_latest = lambda *a: calls.append(1) or real(*a)
+    try:
+        counters = merge.merge_into(spark, batch, target, ["k"], "2026-08-09 06:00:00", buckets=4, dedupe_by="v")
+    finally:
+        merge.dedupe_latest = real
+    assert len(calls) == 1 and (counters["records_updated"], counters["records_inserted"]) == (10, 11)
+    rows = {r["k"]: r["v"] for r in spark.read.parquet(tmp_dir).collect()}
+    assert len(rows) == 61 and all(rows[k] == 40 + k - 40 for k in range(40, 60)) and rows[None] == 3

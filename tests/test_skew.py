@@ -102,3 +102,50 @@ def test_hot_keys_are_split_over_tasks(spark, tmp_dir):
     target = with_metadata(df, 1, "2026-08-08", "crm", "2026-08-08 06:00:00")     # a hot key of the target
     batch = with_metadata(keys.withColumn("v", F.lit(0).cast("long")), 2, "2026-08-09", "crm", "2026-08-09 06:00:00")
     assert _splits(spark, merge.merge_frames(target, batch, "k", "2026-08-09 06:00:00"))
+
+
+def _rows_in_largest_partition(df) -> int:
+    return max(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+
+
+def test_the_insert_branch_alone_with_a_hot_target_key(spark, tmp_dir):
+    """The anti join checked by itself: its right side cannot be split, so it must not hold a key twice."""
+    hot_frame(spark).repartition(12).write.parquet(f"{tmp_dir}/hot")
+    target = spark.read.option("maxPartitionBytes", "64k").parquet(f"{tmp_dir}/hot")
+    batch = spark.range(N).select(F.col("id").cast("string").alias("k"), F.lit(0).cast("long").alias("v"))
+    batch = batch.union(spark.sql("SELECT 'HOT' AS k, 1L AS v"))
+    raw = target.select("k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert _rows_in_largest_partition(raw.repartition("k")) > N // 3                                  # control: the raw right side
+        reduced = merge.reduced_keys(target, batch, ["k"], N)
+        assert _rows_in_largest_partition(reduced.repartition("k")) < N // 4
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert reduced.count() == reduced.distinct().count() == target.select("k").distinct().count()
+    inserted = merge.inserted_rows(target, batch, "k")
+    assert inserted.count() == N // 3 and inserted.where("k = 'HOT'").isEmpty()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        inserted.explain()
+    plan = buf.getvalue()
+    assert "getbit" in plan and "LeftAnti" in plan
+
+
+def test_a_hot_batch_key_is_split_in_the_insert_branch(spark, tmp_dir):
+    hot_frame(spark).repartition(12).write.parquet(f"{tmp_dir}/hot")
+    batch = spark.read.option("maxPartitionBytes", "64k").parquet(f"{tmp_dir}/hot")
+    target = spark.range(N).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    control = batch.join(target.select("k"), "k", "left_anti")
+    assert _splits(spark, control) and _splits(spark, merge.inserted_rows(target, batch, "k"))
+
+
+def test_keys_that_the_batch_lacks_are_dropped_before_the_shuffle(spark):
+    target = spark.range(200_000).select(F.col("id").alias("k"))
+    batch = spark.range(0, 200_000, 1000).select(F.col("id").alias("k"))
+    kept = merge.reduced_keys(target, batch, ["k"], 200)
+    assert kept.join(batch, "k").count() == 200 and kept.count() < 2000
+    other_type = batch.select(F.col("k").cast("int").alias("k"))            # hashes differ: no filter, whole keys
+    assert merge.reduced_keys(target, other_type, ["k"], 200).count() == 200_000
+    zeros = spark.createDataFrame([(0.0,), (float("nan"),)], "k double"), spark.createDataFrame([(-0.0,), (float("nan"),)], "k double")
+    assert merge.inserted_rows(zeros[0], zeros[1], ["k"]).count() == 0
