@@ -266,6 +266,33 @@ def q_prepared_projection(spark, d):
                                       not_null=["c_custkey"]))
 
 
+def _projected(spark, d) -> C.Projected:
+    """Orders as text, some prices and dates unreadable, cast back."""
+    o = _t(spark, d, "orders").select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        F.when(F.col("o_orderkey") % 7 == 0, F.lit("n/a")).when(F.col("o_orderkey") % 11 == 0, F.lit(None))
+         .otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"),
+        F.when(F.col("o_orderkey") % 5 == 0, F.lit("31/31/2026")).otherwise(F.col("o_orderdate").cast("string")).alias("o_orderdate"),
+        "o_orderstatus")
+    return C.projection_with_rejects(o, ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"],
+                                     {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderdate": "date"},
+                                     scratch_path(spark, "projected", "orders"), keys=["o_orderkey"], not_null=["o_orderkey"])
+
+
+def q_prepared_rejects(spark, d):
+    """Values that a typed projection could not cast: the row, the column and the text."""
+    return _projected(spark, d).rejects
+
+
+def q_prepared_reject_counts(spark, d):
+    """The same projection's rows and its reject counts by column (observed on its write), and the values it kept."""
+    done = _projected(spark, d)
+    lost = F.create_map(*[F.lit(x) for c, n in done.counts.items() for x in (c, n)])
+    kept = done.rows.agg(*[F.count(c).alias(c) for c in done.counts], F.count(F.lit(1)).alias("n"))
+    return kept.select(F.col("n").alias("records"), F.explode(F.create_map(*[x for c in done.counts for x in (F.lit(c), F.col(c))]))
+                       .alias("column_name", "kept")).withColumn("rejected", lost[F.col("column_name")].cast("bigint"))
+
+
 def q_scalar_cast(spark, d):
     c = _t(spark, d, "customer")
     return c.select("c_custkey", F.col("c_custkey").cast("string").alias("key_text"),
@@ -731,6 +758,59 @@ def q_job_run_control(spark, d):
                               "records_updated", "records_merged", "retry_count"))
 
 
+def _quarantine_runs(spark, d) -> tuple[dict, TableRef]:
+    """Two days of customers under rules that some rows fail; day 2 repeats the keys of one segment."""
+    cust = _t(spark, d, "customer")
+    base, root = scratch_path(spark, "drops", "crm"), scratch_path(spark, "tables", "customers")
+    day2 = cust.withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    _write_csv(cust, f"{base}/crm_customer_08-08-2026.csv")
+    _write_csv(day2.unionByName(day2.filter("c_mktsegment = 'MACHINERY'")), f"{base}/crm_customer_09-08-2026.csv")
+    cfg = _customer_job(base, root)
+    cfg["target"]["quarantine"] = {"path": f"{root}/quarantine", "format": "parquet"}
+    cfg["validation"] = {"non_nullable": {"columns": ["c_custkey"]},
+                         "rules": [{"name": "range", "column": "c_acctbal", "min": 0},
+                                   {"name": "allowed_values", "column": "c_mktsegment", "values": ["AUTOMOBILE"], "severity": "WARN"},
+                                   {"name": "length", "column": "c_name", "max": 18}, {"name": "unique_key", "columns": ["c_custkey"]}]}
+    control = TableRef(path=f"{root}/control")
+    for day, batch, as_of in (("2026-08-08", 1, AS_OF_1), ("2026-08-09", 2, AS_OF_2)):
+        job.run_job(spark, cfg, {"business_date": day, "batch_id": batch, "source_name": "crm"},
+                    schema=cust.schema, as_of=as_of, control=control, job_run_id=batch, skip_if_loaded=True)
+    return cfg, control
+
+
+def q_job_quarantine_load(spark, d):
+    """Valid rows merged, invalid rows set aside with the rules they fail (one landed copy, two days)."""
+    cfg, _ = _quarantine_runs(spark, d)
+    master = tables.scan_table(spark, TableRef.of(cfg["target"]["master"])).drop(merge.BUCKET)
+    aside = tables.scan_table(spark, TableRef.of(cfg["target"]["quarantine"]))
+    rows = master.withColumn("failed_rules", F.lit(None).cast("string")).unionByName(
+        aside.withColumn("failed_rules", F.concat_ws(",", F.array_sort("failed_rules"))))
+    return _ntz(rows)
+
+
+def q_job_run_counters_loaded(spark, d):
+    """Counters of real runs, read from the control table: rows read, valid, set aside, inserted, updated."""
+    _, control = _quarantine_runs(spark, d)
+    return runs.latest_runs(tables.scan_table(spark, control)).select(
+        "job_run_id", "batch_id", "run_status", "records_read", "records_valid", "records_invalid", "records_inserted",
+        "records_updated", "records_merged", "retry_count")
+
+
+def q_job_append_replayed(spark, d):
+    """An append whose first attempt died: two thirds of its rows are in the table already; run again, all stand there once."""
+    cust = _t(spark, d, "customer")
+    target = TableRef(path=scratch_path(spark, "tables", "customers_once"))
+    other = C.with_metadata(cust, 1, "2026-08-08", "crm", AS_OF_1)
+    batch = C.with_metadata(cust.unionByName(cust.filter("c_custkey % 5 = 0")), 2, "2026-08-09", "crm", AS_OF_2)
+    own = merge.own_rows(2, "2026-08-09", "crm")
+    sinks.append_table(other, target)
+    sinks.append_table(batch.filter("c_custkey % 3 <> 0"), target)
+    rows = batch.count()
+    for _ in range(2):                  # the second run finds everything in place
+        sinks.append_once(batch, target, own, rows, AS_OF_2)
+    return _ntz(tables.scan_table(spark, target))
+
+
 def q_job_bronze_load(spark, d):
     cust = _t(spark, d, "customer")
     base = scratch_path(spark, "drops", "crm")
@@ -923,6 +1003,27 @@ _CUST_META = ("c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, CAST(1 A
               "TIMESTAMP '2026-08-08 06:00:00' AS ingested_at, CAST(NULL AS TIMESTAMP) AS updated_at")
 
 
+def _quarantine_sql() -> str:
+    """Master and quarantine of two days, day 2 holding the MACHINERY rows twice with balances one higher."""
+    def failed(balance: str, again: str) -> str:
+        return (f"concat_ws(',', CASE WHEN length(c_name) > 18 THEN 'length' END, CASE WHEN {balance} < 0 THEN 'range' END, "
+                f"CASE WHEN {again} THEN 'unique_key' END)")
+    def meta(batch: int, day: str, version: int, ingested: str, updated: str) -> str:
+        return (f"CAST({batch} AS BIGINT) AS batch_id, TIMESTAMP '{day} 00:00:00' AS buisness_date, 'crm' AS source_name, "
+                f"CAST({version} AS BIGINT) AS record_version, TIMESTAMP '{ingested} 06:00:00' AS ingested_at, {updated} AS updated_at")
+    null = "CAST(NULL AS TIMESTAMP)"
+    one, two = meta(1, "2026-08-08", 1, "2026-08-08", null), meta(2, "2026-08-09", 1, "2026-08-09", null)
+    both = meta(2, "2026-08-09", 2, "2026-08-09", "TIMESTAMP '2026-08-09 06:00:00'")
+    cols, up = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment", "c_custkey, c_name, c_nationkey, c_acctbal + 1, c_mktsegment"
+    machine = "c_mktsegment = 'MACHINERY'"
+    return (f"WITH f AS (SELECT *, {failed('c_acctbal', 'false')} AS f1, {failed('c_acctbal + 1', machine)} AS f2 FROM customer) "
+            f"SELECT {cols}, {one}, CAST(NULL AS VARCHAR) AS failed_rules FROM f WHERE f1 = '' AND f2 <> '' "
+            f"UNION ALL SELECT {up}, {both}, NULL FROM f WHERE f1 = '' AND f2 = '' "
+            f"UNION ALL SELECT {up}, {two}, NULL FROM f WHERE f1 <> '' AND f2 = '' "
+            f"UNION ALL SELECT {cols}, {one}, f1 FROM f WHERE f1 <> '' "
+            f"UNION ALL SELECT {up}, {two}, f2 FROM (SELECT * FROM f UNION ALL SELECT * FROM f WHERE {machine}) WHERE f2 <> ''")
+
+
 def oracle_sql() -> dict[str, str]:
     return {**core_oracle_sql(), **_optional("batchgate.llm.queries", "ORACLE_SQL"),
             **_optional("corpus_pipeline", "ORACLE_SQLS")}
@@ -1162,6 +1263,31 @@ def core_oracle_sql() -> dict[str, str]:
             "0 AS retry_count FROM customer "
             "UNION ALL SELECT 2, 'customers', 'crm', TIMESTAMP '2026-08-09 00:00:00', 2, 'FAILED', 'load', count(*), "
             "NULL, NULL, NULL, NULL, NULL, 0 FROM customer"),
+        "prepared_rejects": (
+            "SELECT CAST(o_orderkey AS VARCHAR) AS record_key, 'o_custkey' AS column_name, 'n/a' AS value, 'bigint' AS wanted_type "
+            "FROM orders WHERE o_orderkey % 7 = 0 UNION ALL "
+            "SELECT CAST(o_orderkey AS VARCHAR), 'o_orderdate', '31/31/2026', 'date' FROM orders WHERE o_orderkey % 5 = 0"),
+        "prepared_reject_counts": (
+            "SELECT count(*) AS records, 'o_orderkey' AS column_name, count(*) AS kept, CAST(0 AS BIGINT) AS rejected FROM orders UNION ALL "
+            "SELECT count(*), 'o_custkey', count(*) FILTER (WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0), "
+            "count(*) FILTER (WHERE o_orderkey % 7 = 0) FROM orders UNION ALL "
+            "SELECT count(*), 'o_orderdate', count(*) FILTER (WHERE o_orderkey % 5 <> 0), count(*) FILTER (WHERE o_orderkey % 5 = 0) FROM orders"),
+        "job_quarantine_load": _quarantine_sql(),
+        "job_run_counters_loaded": (
+            "WITH c AS (SELECT c_custkey, c_acctbal, c_mktsegment, length(c_name) > 18 AS long FROM customer), "
+            "n AS (SELECT count(*) AS n, count(*) FILTER (WHERE c_acctbal < 0 OR long) AS bad1, "
+            "count(*) FILTER (WHERE c_mktsegment = 'MACHINERY') AS twice, "
+            "count(*) FILTER (WHERE c_mktsegment <> 'MACHINERY' AND (c_acctbal + 1 < 0 OR long)) AS bad2, "
+            "count(*) FILTER (WHERE c_mktsegment <> 'MACHINERY' AND NOT (c_acctbal + 1 < 0 OR long) AND c_acctbal < 0) AS fresh FROM c) "
+            "SELECT CAST(1 AS BIGINT) AS job_run_id, CAST(1 AS BIGINT) AS batch_id, 'SUCCEEDED' AS run_status, n AS records_read, "
+            "n - bad1 AS records_valid, bad1 AS records_invalid, n - bad1 AS records_inserted, CAST(0 AS BIGINT) AS records_updated, "
+            "n - bad1 AS records_merged, 0 AS retry_count FROM n UNION ALL "
+            "SELECT 2, 2, 'SUCCEEDED', n + twice, n - twice - bad2, bad2 + 2 * twice, fresh, n - twice - bad2 - fresh, n - twice - bad2, 0 FROM n"),
+        "job_append_replayed": (
+            f"SELECT {_CUST_META} FROM customer UNION ALL "
+            "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, CAST(2 AS BIGINT), TIMESTAMP '2026-08-09 00:00:00', 'crm', "
+            "CAST(1 AS BIGINT), TIMESTAMP '2026-08-09 06:00:00', CAST(NULL AS TIMESTAMP) "
+            "FROM (SELECT * FROM customer UNION ALL SELECT * FROM customer WHERE c_custkey % 5 = 0)"),
         "job_bronze_load": ("SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment, "
                             "CAST(2 AS BIGINT) AS batch_id, TIMESTAMP '2026-08-09 00:00:00' AS buisness_date, "
                             "'crm' AS source_name, CAST(2 AS BIGINT) AS record_version, "

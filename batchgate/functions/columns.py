@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from typing import Iterable
+from typing import Iterable, NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,6 +72,40 @@ def prepared_projection(df: DataFrame, columns: list[str], casts: dict[str, str]
     return df.select(*out)
 
 
+class Projected(NamedTuple):
+    """``rows``: the projected rows; ``rejects``: one row per value that did not cast (row key, column, value,
+    wanted type); ``counts``: how many values each cast column lost."""
+    rows: DataFrame
+    rejects: DataFrame
+    counts: dict[str, int]
+
+
+REJECTS = "_bg_rejects"
+
+
+def projection_with_rejects(df: DataFrame, columns: list[str], casts: dict[str, str], path: str,
+                            keys: Iterable[str] = (), not_null: Iterable[str] = ()) -> Projected:
+    """:func:`prepared_projection` that tells what it could not cast.
+
+    One pass: rows are written to ``path`` with their rejects beside them, the
+    counts are observed on that write, and both frames read the copy. A value is rejected when it
+    is not NULL and its ``try_cast`` is. ``keys`` name the row in the rejects (joined by '|', NULL as '').
+    """
+    odd = {c: F.col(c).isNotNull() & F.col(c).try_cast(t).isNull() for c, t in casts.items() if c in columns}
+    entries = [F.when(bad, F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"),
+                                    F.lit(casts[c]).alias("wanted_type"))) for c, bad in odd.items()]
+    none = F.array().cast("array<struct<column_name:string,value:string,wanted_type:string>>")
+    key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    tagged = df.withColumns({REJECTS: F.filter(F.array(*entries), lambda x: x.isNotNull()) if entries else none, "_bg_key": key})
+    out = prepared_projection(tagged, [*columns, REJECTS, "_bg_key"], casts, not_null)
+    obs = Observation("batchgate_projection")
+    terms = [F.count_if(F.array_contains(F.col(f"{REJECTS}.column_name"), c)).alias(f"n{i}") for i, c in enumerate(odd)]
+    out.observe(obs, F.count(F.lit(1)).alias("rows"), *terms).write.parquet(path)
+    landed = df.sparkSession.read.schema(out.schema).parquet(path)
+    rejects = landed.where(F.size(REJECTS) > 0).select(F.col("_bg_key").alias("record_key"), F.inline(REJECTS))
+    return Projected(landed.drop(REJECTS, "_bg_key"), rejects, {c: int(obs.get[f"n{i}"] or 0) for i, c in enumerate(odd)})
+
+
 def project_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project onto a declared schema: by name, ``try_cast`` to each type, NULL
     for columns the frame lacks, NOT NULL fields enforced in the plan."""

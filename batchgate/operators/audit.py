@@ -117,6 +117,39 @@ def flag_failures(df: DataFrame, rules: Any, failing_only: bool = False,
     return out
 
 
+FAILED_RULES, FAILED = "_dq_rules", "_dq_failed"
+
+
+def tag_failures(df: DataFrame, rules: Any) -> DataFrame:
+    """Adds ``_dq_rules``, the names of the row-level rules that fail a row (NULL key parts of unique-key rules
+    included), and ``_dq_failed``. Rules that only warn tag nothing. One projection, no pass of its own."""
+    names = []
+    for r in compile_for(df, rules):
+        if r.fail_status != FAIL:
+            continue
+        failed = {"row": lambda r: r.fail, "nulls": lambda r: any_true(p for _, p in r.cells),
+                  "unique": lambda r: any_null(r.keys)}.get(r.kind)
+        if failed is not None:
+            names.append(F.when(failed(r), F.lit(r.rule_name)))
+    found = F.filter(F.array(*names), lambda x: x.isNotNull()) if names else F.lit(None).cast("array<string>")
+    return df.withColumn(FAILED_RULES, F.coalesce(found, F.array().cast("array<string>"))).withColumn(FAILED, F.size(FAILED_RULES) > 0)
+
+
+def tag_repeated_keys(tagged: DataFrame, rules: Any, counts: KeyCounts) -> DataFrame | None:
+    """The tagged rows with the unique-key rules that their repeated keys fail; None if no key repeats."""
+    out = None
+    plain = tagged.drop(FAILED_RULES, FAILED)
+    for i, r in enumerate(compile_for(plain, rules)):
+        if r.kind != "unique" or r.fail_status != FAIL or not counts.of(r.keys).excess:
+            continue
+        mark = f"_bg_dup{i}"
+        marks = counts.of(r.keys).repeated.select(*r.keys, F.lit(r.rule_name).alias(mark))
+        out = (tagged if out is None else out).join(marks, r.keys, "left")
+        more = F.when(F.col(mark).isNull(), F.array().cast("array<string>")).otherwise(F.array(mark))
+        out = out.withColumn(FAILED_RULES, F.concat(FAILED_RULES, more)).drop(mark)
+    return None if out is None else out.withColumn(FAILED, F.size(FAILED_RULES) > 0).select(*tagged.columns)
+
+
 def split_valid_invalid(df: DataFrame, rules: Any, failing_only: bool = False,
                         counts: KeyCounts | None = None) -> tuple[DataFrame, DataFrame]:
     """(valid, invalid) rows; both keep the input columns in their order."""

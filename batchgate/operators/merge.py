@@ -463,7 +463,7 @@ def _counted(df: DataFrame, metrics: Observation) -> DataFrame:
 
 
 def _write_new(spark: SparkSession, df: DataFrame, ref: TableRef, keys: list[str], buckets: int,
-               layout: str, metrics: Observation) -> None:
+               layout: str, metrics: Observation, absent: bool = False) -> None:
     signature = _key_signature(df.schema, keys)
     w = _counted(_clustered(df), metrics).write.format(ref.format).partitionBy(BUCKET).mode("overwrite")
     if layout == "bucketed":
@@ -475,7 +475,8 @@ def _write_new(spark: SparkSession, df: DataFrame, ref: TableRef, keys: list[str
                   f"('{_PROP_LAYOUT}' = '{layout}', '{_PROP_BUCKETS}' = '{buckets}', '{_PROP_KEYS}' = '{signature}', "
                   f"'{_PROP_DYNAMIC}' = 'true')")
     else:
-        w.save(ref.path)
+        # Nothing there yet: buckets are put in place as whole folders, as by later merges.
+        (w.option("partitionOverwriteMode", "dynamic") if absent else w).save(ref.path)
         marker = spark.createDataFrame([(layout, str(buckets), signature)], _MARKER_SCHEMA)
         marker.coalesce(1).write.mode("overwrite").json(f"{ref.path}/{_MARKER}")
 
@@ -568,7 +569,7 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
         touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())  # <= buckets values
     current = _read_buckets(spark, ref, touched, buckets)
     if current is None:
-        _write_new(spark, staged.withColumn(ACTION, F.lit(INSERT)), ref, keys, buckets, layout, metrics)
+        _write_new(spark, staged.withColumn(ACTION, F.lit(INSERT)), ref, keys, buckets, layout, metrics, absent=stored is None)
         return _counters(metrics)
     _table_layout(spark, ref, layout, buckets, _key_signature(staged.schema, keys))
 

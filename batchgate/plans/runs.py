@@ -35,8 +35,9 @@ def _now() -> dt.datetime:
 
 def new_run(job_name: str, business_date: str, batch_id: int, source_name: str | None = None,
             run_type: str | None = None, job_run_id: int | None = None,
-            now: dt.datetime | None = None) -> dict:
-    """The RUNNING event of a new run as a dict of control columns."""
+            now: dt.datetime | None = None, retry_count: int = 0) -> dict:
+    """The RUNNING event of a new run as a dict of control columns (``retry_count``: earlier runs of
+    the same load that did not succeed)."""
     started = now or _now()
     return {
         "job_run_id": job_run_id if job_run_id is not None else time.time_ns(),
@@ -54,7 +55,7 @@ def new_run(job_name: str, business_date: str, batch_id: int, source_name: str |
         "records_read": None, "records_valid": None, "records_invalid": None,
         "records_inserted": None, "records_updated": None, "records_merged": None,
         "error_summary": None,
-        "retry_count": 0,
+        "retry_count": retry_count,
         "created_at": started,
         "updated_at": started,
         EVENT_SEQ: 0,

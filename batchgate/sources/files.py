@@ -326,9 +326,12 @@ def row_width(schema: T.StructType, text_bytes: int = 0) -> int:
     return 16 + sum(width(f.dataType) for f in schema.fields)
 
 
-def land(df: DataFrame, path: str, fmt: str = "parquet") -> tuple[DataFrame, dict]:
+def land(df: DataFrame, path: str, fmt: str = "parquet", flag: str | None = None) -> tuple[DataFrame, dict]:
     """Write a parsed batch once and return (re-read frame, counters).
 
+    ``flag`` names a boolean column by which the copy is partitioned, so that
+    either part is read alone; its true rows are counted as ``flagged``.
+
     Counters come from an observation of the write itself, so no extra scan:
     ``rows``, ``bytes`` (a measured size: fixed-width columns plus the actual
     length of every text value, used to bound broadcasts) and, if the frame
@@ -341,7 +344,10 @@ def land(df: DataFrame, path: str, fmt: str = "parquet") -> tuple[DataFrame, dic
              F.coalesce(F.sum(sum(texts[1:], texts[0])) if texts else F.lit(0), F.lit(0)).alias("text_bytes")]
     if CORRUPT in df.columns:
         terms.append(F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt_rows"))
-    df.observe(obs, *terms).write.format(fmt).mode("errorifexists").save(path)
+    if flag is not None:
+        terms.append(F.count_if(flag).alias("flagged"))
+    writer = df.observe(obs, *terms).write.format(fmt).mode("errorifexists")
+    (writer.partitionBy(flag) if flag is not None else writer).save(path)
     counters = {k: int(v or 0) for k, v in obs.get.items()}
     width = row_width(T.StructType([f for f in df.schema.fields if f.name != CORRUPT]))
     counters["bytes"] = counters.pop("text_bytes") + counters["rows"] * width

@@ -115,6 +115,7 @@ class JobSpec:
     dedupe_by: list[str] = field(default_factory=list)
     layout: str | None = None
     rules_table: Any = None
+    quarantine: Any = None
 
     @classmethod
     def of(cls, config: dict) -> "JobSpec":
@@ -145,4 +146,5 @@ class JobSpec:
             dedupe_by=normalize_keys(write.get("dedupe_by")),
             layout=write.get("layout"),
             rules_table=rules_table,
+            quarantine=target.get("quarantine"),
         )

@@ -29,3 +29,16 @@ def test_project_to_prepared_customers(spark):
                                1, "2026-08-08", "crm")
     with pytest.raises(Exception, match="NOT NULL"):
         C.project_to_schema(null_key, S.PREPARED_CUSTOMERS).collect()
+
+
+def test_rejected_values_are_counted_and_listed_in_one_write(spark, tmp_dir):
+    from batchgate.functions import projection_with_rejects
+    df = spark.createDataFrame([("1", "2", "x"), ("k", "3.5", "y"), (None, "", "z"), ("4", None, "w")], "a string, b string, c string")
+    done = projection_with_rejects(df, ["c", "a", "b"], {"a": "int", "b": "int", "unused": "int"}, tmp_dir, keys=["c", "a"])
+    assert done.counts == {"a": 1, "b": 2} and done.rows.columns == ["c", "a", "b"]
+    assert sorted(map(tuple, done.rows.collect())) == [("w", 4, None), ("x", 1, 2), ("y", None, None), ("z", None, None)]
+    assert sorted(map(tuple, done.rejects.collect())) == [("y|k", "a", "k", "int"), ("y|k", "b", "3.5", "int"), ("z|", "b", "", "int")]
+    with pytest.raises(Exception, match="NOT NULL constraint violated: a"):
+        projection_with_rejects(df, ["a"], {"a": "int"}, tmp_dir + "-null", not_null=["a"])
+    plain = projection_with_rejects(df.limit(0), ["c"], {}, tmp_dir + "-plain")
+    assert plain.counts == {} and plain.rows.count() == plain.rejects.count() == 0
