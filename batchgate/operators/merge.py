@@ -41,8 +41,11 @@ buckets present in the batch are read (partition pruning) and rewritten
 (dynamic partition overwrite). A catalog table also declares Spark buckets
 on the keys with the same hash (``bucketed`` layout), so the join reads the
 target already hash-partitioned: only the batch is shuffled and each join
-task writes one bucket. This is not atomic across buckets the way a
-table-format commit is.
+task writes one bucket. A bucket that has outgrown ``split_rows`` rows (a hot inserted key, say) is
+recorded in the table's properties, and merges read its files like those of any
+table, in splits, and join it by a shuffle that adaptive execution can split; its rows are
+written by several tasks, each with a file of that bucket. This is not atomic
+across buckets the way a table-format commit is.
 """
 
 from __future__ import annotations
@@ -335,6 +338,7 @@ def hot_threshold(batch_rows: int, max_keys: int = 10000, min_rows: int = 10000)
 
 LAYOUTS = ("folders", "bucketed")
 _PROP_LAYOUT, _PROP_BUCKETS, _PROP_KEYS = "batchgate.layout", "batchgate.buckets", "batchgate.keys"
+_PROP_SPLIT = "batchgate.split_buckets"           # buckets too large for one task
 _PROP_DYNAMIC = "batchgate.dynamic_overwrite"     # the table's own options hold the overwrite mode
 _MARKER = "_batchgate_layout"     # path tables: a folder Spark's listing skips (leading '_')
 _MARKER_SCHEMA = f"`{_PROP_LAYOUT}` string, `{_PROP_BUCKETS}` string, `{_PROP_KEYS}` string"
@@ -459,7 +463,11 @@ def _counted(df: DataFrame, metrics: Observation) -> DataFrame:
     map stage, a stage that runs again would count again)."""
     a = F.col(ACTION)
     return df.observe(metrics, F.count_if(a == INSERT).alias("records_inserted"),
-                      F.count_if(a == UPDATE).alias("records_updated")).drop(ACTION)
+                      F.count_if(a == UPDATE).alias("records_updated"), F.count(F.lit(1)).alias("rows")).drop(ACTION)
+
+
+def _rows_written(metrics: Observation) -> int:
+    return int(metrics.get.get("rows") or 0)
 
 
 def _write_new(spark: SparkSession, df: DataFrame, ref: TableRef, keys: list[str], buckets: int,
@@ -514,6 +522,37 @@ def own_rows(batch_id: int, business_date: str, source_name: str | None) -> Colu
             & F.col(S.SOURCE_NAME).eqNullSafe(F.lit(source_name)))
 
 
+def split_buckets(spark: SparkSession, ref: TableRef) -> list[int]:
+    """Buckets of a catalog table that were recorded as too large for one task."""
+    return [int(b) for b in (_properties(spark, ref).get(_PROP_SPLIT) or "").split(",") if b]
+
+
+def _record_large_buckets(spark: SparkSession, ref: TableRef, touched: list[int], rows_written: int, split_rows: int) -> None:
+    """Measures the buckets just written and records those above ``split_rows`` rows (a bucket may shrink again).
+    No bucket can be above it when fewer rows were written at all: the usual case, without a job."""
+    before = set(split_buckets(spark, ref))
+    large = before - set(touched)
+    if rows_written > split_rows:
+        # Row counts come from the files' footers: no column is read. At most one row a bucket.
+        sizes = spark.table(ref.name).where(F.col(BUCKET).isin(touched)).groupBy(BUCKET).count()
+        large |= {r[BUCKET] for r in sizes.where(F.col("count") > split_rows).collect()}
+    if large != before:
+        spark.sql(f"ALTER TABLE {ref.name} SET TBLPROPERTIES ('{_PROP_SPLIT}' = '{','.join(map(str, sorted(large)))}')")
+
+
+def _split_scan(spark: SparkSession, ref: TableRef, buckets: list[int]) -> DataFrame | None:
+    """The files of these buckets read in splits, without the bucket layout that would give each bucket to one task."""
+    table = spark.table(ref.name)
+    root = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {ref.name}").collect()}["Location"]
+    try:
+        return (spark.read.format(ref.format).schema(table.schema).option("basePath", root)
+                .load([f"{root}/{BUCKET}={b}" for b in buckets]).select(*table.columns))
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
+        return None
+
+
 def _landed(staged: DataFrame) -> tuple[DataFrame, int, int, list[int]]:
     """A deduplicated batch written once: the frame read back, its rows, bytes and buckets, observed on that write."""
     spark, obs = staged.sparkSession, Observation("batchgate_staged")
@@ -532,7 +571,8 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
                max_broadcast_bytes: int = 64 << 20, check_duplicates: bool = True,
                hot_key_rows: int = 10000, dedupe_by: list[str] | str | None = None,
                layout: str | None = None, touched: list[int] | None = None,
-               counts: KeyCounts | None = None, done: Column | None = None) -> dict:
+               counts: KeyCounts | None = None, done: Column | None = None,
+               split_rows: int = 20_000_000) -> dict:
     """Merge ``batch`` into a stored table; returns the merge counters.
 
     Table formats with row-level DML use their MERGE. Otherwise the bucketed
@@ -543,6 +583,8 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
     ``counts``: key counts of this very batch, if a rule has taken them.
     ``done``: the condition on target rows that this load has already written
     (:func:`own_rows`), for a run that may be a repeat of one that died.
+    ``split_rows``: rows above which a bucket of the ``bucketed`` layout is no
+    longer read and joined by one task.
     """
     ref = TableRef.of(target)
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -570,6 +612,8 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
     current = _read_buckets(spark, ref, touched, buckets)
     if current is None:
         _write_new(spark, staged.withColumn(ACTION, F.lit(INSERT)), ref, keys, buckets, layout, metrics, absent=stored is None)
+        if layout == "bucketed":
+            _record_large_buckets(spark, ref, touched, _rows_written(metrics), split_rows)
         return _counters(metrics)
     _table_layout(spark, ref, layout, buckets, _key_signature(staged.schema, keys))
 
@@ -578,10 +622,19 @@ def merge_into(spark: SparkSession, batch: DataFrame, target: TableRef | dict |
     hot = None
     if check_duplicates and not dedupe_by:
         hot = _checked_hot_keys(current, counts or KeyCounts(staged), keys, batch_rows, hot_key_rows, done)
-    merged = merge_frames(current, staged, keys, as_of, strategy="auto", insert_only_keys=hot,
-                          with_action=True, batch_bytes=batch_bytes, batch_rows=batch_rows,
-                          max_broadcast_bytes=max_broadcast_bytes, colocated=layout == "bucketed", done=done)
+    args = dict(strategy="auto", insert_only_keys=hot, with_action=True, batch_bytes=batch_bytes, batch_rows=batch_rows,
+                max_broadcast_bytes=max_broadcast_bytes, done=done)
+    large = sorted(set(split_buckets(spark, ref)) & set(touched)) if layout == "bucketed" else []
+    apart = _split_scan(spark, ref, large) if large else None
+    if apart is None:
+        merged = merge_frames(current, staged, keys, as_of, colocated=layout == "bucketed", **args)
+    else:
+        in_large = F.col(BUCKET).isin(large)
+        merged = (merge_frames(current.where(~in_large), staged.where(~in_large), keys, as_of, colocated=True, **args)
+                  .unionByName(_clustered(merge_frames(apart, staged.where(in_large), keys, as_of, **args))))
     _overwrite_buckets(spark, merged, ref, layout, metrics)
+    if layout == "bucketed":
+        _record_large_buckets(spark, ref, touched, _rows_written(metrics), split_rows)
     return _counters(metrics)
 
 

@@ -302,3 +302,35 @@ def test_dedupe_runs_once_and_lands(spark, tmp_dir):
     assert len(calls) == 1 and (counters["records_updated"], counters["records_inserted"]) == (10, 11)
     rows = {r["k"]: r["v"] for r in spark.read.parquet(tmp_dir).collect()}
     assert len(rows) == 61 and all(rows[k] == 40 + k - 40 for k in range(40, 60)) and rows[None] == 3
+
+
+def test_a_bucket_grown_too_large_is_merged_in_splits(spark):
+    """A hot inserted key: its bucket is recorded, read in splits and joined by a shuffle; results as in the folders layout."""
+    from batchgate.session import scratch_database
+    db = scratch_database(spark)
+    hot = spark.range(4000).select(F.when(F.col("id") % 2 == 0, "HOT").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("v"))
+    first = with_metadata(spark.range(50).selectExpr("cast(id as string) as k", "id as v"), 1, "2026-08-07", "crm", "2026-08-07 06:00:00")
+    grown = with_metadata(hot.repartition(6), 2, "2026-08-08", "crm", "2026-08-08 06:00:00")
+    update = with_metadata(spark.sql("SELECT 'HOT' AS k, -1L AS v UNION ALL SELECT '7', -7L UNION ALL SELECT 'new', -9L"), 3, "2026-08-09", "crm",
+                           "2026-08-09 06:00:00")
+    out = {}
+    for name, split in (("split", 1000), ("whole", 10 ** 9)):
+        table, steps = f"{db}.{name}", []
+        for batch in (first, grown, update):
+            steps.append(merge.merge_into(spark, batch, table, ["k"], "2026-08-09 06:00:00", buckets=4, max_broadcast_bytes=0, split_rows=split))
+        out[name] = (steps, sorted(map(tuple, spark.table(table).drop(merge.BUCKET).collect()), key=repr))
+    assert out["split"] == out["whole"] and out["split"][0][2]["records_updated"] == 2001
+    assert merge.split_buckets(spark, TableRef.of(f"{db}.whole")) == []
+    large = merge.split_buckets(spark, TableRef.of(f"{db}.split"))
+    assert len(large) == 1
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        bucketed = spark.table(f"{db}.split").where(F.col(merge.BUCKET).isin(large)).groupBy("k").count()
+        assert "Bucketed: true" in bucketed._jdf.queryExecution().toString()                   # control: one task a bucket
+        assert merge._split_scan(spark, TableRef.of(f"{db}.split"), large).rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    # A merge that writes few rows shows that the bucket has shrunk.
+    merge._record_large_buckets(spark, TableRef.of(f"{db}.split"), large, 10, 1000)
+    assert merge.split_buckets(spark, TableRef.of(f"{db}.split")) == []
