@@ -39,11 +39,11 @@ from batchgate.llm.components import connected
 THRESHOLD = 0.9
 SHARD_ROWS = 100_000
 MIN_SHARDS = 6
-BLOCK = 16_384
+BLOCK_VALUES = 1 << 22        # numbers in a block of queries: 65,536 vectors of 64
 RECALL = 0.98
 AUDITS = 64
-M = 12                       # neighbours on the upper layers; twice as many on the lowest
-BUILD_BEAM = 48
+M = 16                       # neighbours on the upper layers; twice as many on the lowest
+BUILD_BEAM = 64              # a better graph passes the audit at a narrow beam; a wide beam costs every query
 BEAM = 32
 
 
@@ -331,7 +331,9 @@ def near_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "em
                    .applyInPandas(_build(threshold), "dim int, shard long, beam long, ids binary, n binary, v binary, "
                                                      "tops array<binary>, links array<binary>"))
     graphs = written(graphs, "embed_graphs")
-    blocks = max(4, -(-n // BLOCK))
+    # A shard's graph travels to every block, so blocks are as large as a task may hold.
+    widest = nodes.agg(F.max(F.size("v"))).first()[0] or 1
+    blocks = max(4, -(-n * widest // BLOCK_VALUES))
     block = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(blocks))
     queries = (nodes.select(F.col("node").alias("id"), "v", F.size("v").alias("dim"), block.alias("block"),
                             F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard")))
