@@ -45,7 +45,7 @@ LONG = 64
 WORDS_A_QUERY = 40_000
 KEPT_WORDS = 250_000
 SLICE_BYTES = 8 << 20
-DECODE_TOKENS = 1 << 20
+DECODE_TOKENS = 1 << 18             # token rows that one decoding query sorts
 
 CONTRACT = """
 WITH RECURSIVE step(w, ids, live) AS (
@@ -99,7 +99,7 @@ class Vocabulary:
         texts = [t.decode("latin-1").replace("\0", "Ā") for t in tokens]
         vocabulary = pa.table({"id": pa.array(range(len(tokens)), pa.int32()), "text": texts})
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary")
-        del merges, vocabulary
+        del merges, vocabulary, pairs, texts
 
     # ---- words to ids
 
