@@ -42,9 +42,9 @@ from pyspark.sql import types as T
 from batchgate.llm.common import shipped
 
 LONG = 64
-WORDS_A_QUERY = 40_000
+WORDS_A_QUERY = 20_000
 KEPT_WORDS = 250_000
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 DECODE_TOKENS = 1 << 18             # token rows that one decoding query sorts
 
 CONTRACT = """
@@ -82,24 +82,49 @@ def read_ranks(path: str) -> list[bytes]:
 
 
 class Vocabulary:
-    """Ranks, the merge table and a DuckDB connection that holds both."""
+    """Ranks, the merge table, and a DuckDB connection for the time of a task."""
 
     def __init__(self, tokens: list[bytes]):
-        import duckdb
-
+        self.tokens = tokens
         self.rank = {t: i for i, t in enumerate(tokens)}
         self.byte_id = np.array([self.rank[bytes([b])] for b in range(256)])
-        pairs = [(self.rank[t[:k]], self.rank[t[k:]], i) for i, t in enumerate(tokens)
-                 for k in range(1, len(t)) if t[:k] in self.rank and t[k:] in self.rank]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "preserve_insertion_order": True})
-        left, right, rank = np.array(pairs, np.int64).reshape(-1, 3).T
-        merges = pa.table({"pair": (left << 30) + right, "rank": rank})         # both tokens of a pair as one number
-        self.db.execute("CREATE TABLE merges AS SELECT * FROM merges")
-        # Bytes as characters of equal number; 0 has character 256.
-        texts = [t.decode("latin-1").replace("\0", "Ā") for t in tokens]
-        vocabulary = pa.table({"id": pa.array(range(len(tokens)), pa.int32()), "text": texts})
-        self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary")
-        del merges, vocabulary, pairs, texts
+        self.merges: pa.Table | None = None
+        self.db = None
+        self.loaded: set[str] = set()
+
+    def _merges(self) -> pa.Table:
+        """Both tokens of a pair as one number, and the rank of the pair."""
+        if self.merges is None:
+            pairs = [(self.rank[t[:k]], self.rank[t[k:]], i) for i, t in enumerate(self.tokens)
+                     for k in range(1, len(t)) if t[:k] in self.rank and t[k:] in self.rank]
+            left, right, rank = np.array(pairs, np.int64).reshape(-1, 3).T
+            self.merges = pa.table({"pair": (left << 30) + right, "rank": rank})
+        return self.merges
+
+    def _vocabulary(self) -> pa.Table:
+        """Bytes as characters of equal number; 0 has character 256."""
+        texts = [t.decode("latin-1").replace("\0", "Ā") for t in self.tokens]
+        return pa.table({"id": pa.array(range(len(texts)), pa.int32()), "text": texts})
+
+    def _open(self, table: str):
+        """The connection, with ``table`` (merges or vocabulary) loaded. Encoding and
+        decoding run in workers of their own, and each needs one of the two."""
+        import duckdb
+
+        if self.db is None:
+            self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "preserve_insertion_order": True})
+        if table not in self.loaded:
+            rows = self._merges() if table == "merges" else self._vocabulary()
+            self.db.execute(f"CREATE TABLE {table} AS SELECT * FROM rows")
+            self.loaded.add(table)
+            del rows
+        return self.db
+
+    def close(self) -> None:
+        """Gives the connection's memory back: an idle worker holds the ranks and the pairs only."""
+        if self.db is not None:
+            self.db.close()
+        self.db, self.loaded = None, set()
 
     # ---- words to ids
 
@@ -113,7 +138,7 @@ class Vocabulary:
         raw = np.frombuffer(b"".join(words), np.uint8)
         start = pa.table({"w": np.arange(len(words)),
                           "ids": pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(self.byte_id[raw]))})
-        ids = self.db.sql(CONTRACT).to_arrow_table().column("ids").combine_chunks()
+        ids = self._open("merges").sql(CONTRACT).to_arrow_table().column("ids").combine_chunks()
         del start
         values = ids.values.to_numpy(zero_copy_only=False).astype(np.int32).tobytes()
         cut = (ids.offsets.to_numpy().astype(np.int64) * 4).tolist()
@@ -170,7 +195,7 @@ class Vocabulary:
         lengths = np.diff(ends, prepend=0)
         tokens = pa.table({"d": np.repeat(np.arange(len(ends), dtype=np.int32), lengths), "id": ids.astype(np.int32),
                            "at": np.arange(len(ids), dtype=np.int32)})
-        found = self.db.sql(DECODE).to_arrow_table()
+        found = self._open("vocabulary").sql(DECODE).to_arrow_table()
         del tokens
         out = [b""] * len(ends)
         for d, text in zip(found.column("d").to_pylist(), found.column("text").to_pylist()):
@@ -233,13 +258,17 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(_vocabulary(shared.value, path), pattern)
-        for batch in batches:
-            for start, held in _parts(batch.column(1), SLICE_BYTES):
-                ids = encoder([x.as_py() for x in held])
-                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids), pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(held)), ids], names=["id", "ids"])
+        vocabulary = _vocabulary(shared.value, path)
+        encoder = Encoder(vocabulary, pattern)
+        try:
+            for batch in batches:
+                for start, held in _parts(batch.column(1), SLICE_BYTES):
+                    ids = encoder([x.as_py() for x in held])
+                    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                    ids = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids), pa.int32()))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(held)), ids], names=["id", "ids"])
+        finally:
+            vocabulary.close()
 
     return rows.mapInArrow(run, schema)
 
@@ -251,12 +280,15 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", out_col: str = "dec
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(shared.value, path)
-        for batch in batches:
-            for start, held in _parts(batch.column(ids_col), DECODE_TOKENS):
-                column = batch.column(ids_col).slice(start, len(held))
-                ends = np.cumsum([len(x) if x.is_valid else 0 for x in held])
-                texts = vocabulary.decode(column.flatten().to_numpy(zero_copy_only=False), ends)
-                yield pa.RecordBatch.from_arrays([*(c.slice(start, len(held)) for c in batch.columns), pa.array(texts, pa.binary())],
-                                                 names=[*batch.schema.names, out_col])
+        try:
+            for batch in batches:
+                for start, held in _parts(batch.column(ids_col), DECODE_TOKENS):
+                    column = batch.column(ids_col).slice(start, len(held))
+                    ends = np.cumsum([len(x) if x.is_valid else 0 for x in held])
+                    texts = vocabulary.decode(column.flatten().to_numpy(zero_copy_only=False), ends)
+                    yield pa.RecordBatch.from_arrays([*(c.slice(start, len(held)) for c in batch.columns), pa.array(texts, pa.binary())],
+                                                     names=[*batch.schema.names, out_col])
+        finally:
+            vocabulary.close()
 
     return rows.mapInArrow(run, schema)
