@@ -1,18 +1,19 @@
 """Exact dedup by progressive refinement, DataFrame functions only.
 
-Rows are grouped by the length of their normalised text, then by a hash of
-its first characters, and only rows that still share both are read in full
-and hashed with SHA-256. Each refinement is a counting aggregate (combined
-before the shuffle) and a join against the counts; both join sides are
-written tables, so adaptive execution can split a group that holds a third
-of all rows.
+Rows are counted by the length of their normalised text; first characters
+are hashed for rows of a repeated length only; and rows that still share both
+are read in full and hashed with SHA-256. Each refinement is a counting
+aggregate (combined before the shuffle) and a join against the counts, so
+adaptive execution can split a group that holds a third of all rows. Past
+the length step at most ``prefix_chars`` characters of a text travel.
 
 Defined results
   * NULL text counts as empty; all empty texts form one group.
   * Of equal texts the row with most code points in the original text stays,
     then the smallest id (a NULL id only if there is no other).
-  * Rows that repeat id and text are one document: they share its decision,
-    and :func:`drop_exact_duplicates` keeps one of them.
+  * Rows of one id with equal texts share a decision; of those that stay together,
+    :func:`drop_exact_duplicates` keeps the one with most code points (ties: the
+    greatest text), NULL ids included.
   * Empty tables give empty results; other columns of the input are ignored
     by the decisions, whatever their names.
 """
@@ -42,29 +43,28 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """The members of every group of two or more rows with equal texts.
 
-    Returns one row per (id, sha): id, sha, keep_id, group_size, n_same
-    (how many rows repeat the row that stays). Rows not listed are unique.
+    Returns one row per (id, sha): id, sha, keep_id, group_size, n_id (how many
+    rows of the group have this id). Rows not listed are unique.
     """
     rows = normalised(docs, id_col, text_col)
-    keys = written(rows.select("id", F.octet_length("norm").alias("n_bytes"),
-                               F.xxhash64(F.substring("norm", 1, prefix_chars)).alias("prefix")), "dedup_keys")
-    # One aggregate serves the first two refinements: rows per (length, prefix).
-    counts = keys.groupBy("n_bytes", "prefix").agg(F.count(F.lit(1)).alias("n"))
-    counts = written(counts, "dedup_counts")
-    lengths = counts.groupBy("n_bytes").agg(F.sum("n").alias("n_len")).where("n_len > 1").select("n_bytes")
-    suspects = counts.where("n > 1").join(lengths, "n_bytes", "left_semi").select("n_bytes", "prefix")
+    lengths = rows.select(F.octet_length("norm").alias("n_bytes")).groupBy("n_bytes").agg(F.count(F.lit(1)).alias("n"))
+    lengths = written(lengths.where("n > 1").select("n_bytes"), "dedup_lengths")
+    heads = rows.select("id", F.octet_length("norm").alias("n_bytes"), F.substring("norm", 1, prefix_chars).alias("head"))
+    keys = heads.join(small_side(lengths), "n_bytes", "left_semi").select("id", "n_bytes", F.xxhash64("head").alias("prefix"))
+    keys = written(keys, "dedup_keys")
+    suspects = keys.groupBy("n_bytes", "prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("n_bytes", "prefix")
     suspects = written(suspects, "dedup_suspects")
     survivors = written(keys.join(suspects, ["n_bytes", "prefix"]).select("id"), "dedup_survivors")
 
     full = (rows.alias("r").join(survivors.alias("s"), F.expr("r.id <=> s.id"), "left_semi")
                 .select("id", "n_chars", F.sha2("norm", 256).alias("sha")))
-    full = written(full.groupBy("sha", "n_chars", "id").agg(F.count(F.lit(1)).alias("n")), "dedup_full")
-    best = F.min(F.struct((-F.col("n_chars")).alias("o"), F.col("id").isNull().alias("z"), F.col("id"), F.col("n")))
-    groups = (full.groupBy("sha").agg(F.sum("n").alias("group_size"), best.alias("best"))
-                  .where("group_size > 1")
-                  .select("sha", "group_size", F.col("best.id").alias("keep_id"), F.col("best.n").alias("n_same")))
+    full = full.groupBy("sha", "id").agg(F.max("n_chars").alias("n_chars"), F.count(F.lit(1)).alias("n_id"))
+    full = written(full, "dedup_full")
+    best = F.min(F.struct((-F.col("n_chars")).alias("o"), F.col("id").isNull().alias("z"), F.col("id")))
+    groups = (full.groupBy("sha").agg(F.sum("n_id").alias("group_size"), best.alias("best"))
+                  .where("group_size > 1").select("sha", "group_size", F.col("best.id").alias("keep_id")))
     groups = written(groups, "dedup_groups")
-    return full.select("id", "sha").distinct().join(groups, "sha")
+    return full.select("id", "sha", "n_id").join(groups, "sha")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -82,12 +82,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     members = written(duplicate_groups(docs, id_col, text_col), "dedup_members")
-    sha = F.sha2(squeezed(F.coalesce(F.col(f"d.{text_col}"), F.lit(""))), 256)
-    same = F.col(f"d.{id_col}").eqNullSafe(F.col("m.id")) & (sha == F.col("m.sha"))
+    sha = F.sha2(squeezed(F.coalesce(F.col(f"d.`{text_col}`"), F.lit(""))), 256)
+    same = F.col(f"d.`{id_col}`").eqNullSafe(F.col("m.id")) & (sha == F.col("m.sha"))
     losers = written(members.where("NOT (id <=> keep_id)").select("id", "sha"), "dedup_losers")
     kept = docs.alias("d").join(small_side(losers).alias("m"), same, "left_anti")
-    repeated = members.where("id <=> keep_id AND n_same > 1").select("id", "sha")
-    if repeated.isEmpty():                 # no row repeats id and text: nothing more to drop
+    repeated = members.where("id <=> keep_id AND n_id > 1").select("id", "sha")
+    if repeated.isEmpty():                 # no id holds two rows of a group: nothing more to drop
         return kept
-    once = kept.alias("d").join(repeated.alias("m"), same, "left_semi").dropDuplicates([id_col, text_col])
+    # Folded before the shuffle, so a group without ids may hold any number of rows.
+    whole = F.struct(*[F.col(f"d.`{c}`") for c in docs.columns])
+    text = F.coalesce(F.col(f"d.`{text_col}`"), F.lit(""))
+    once = (kept.alias("d").join(repeated.alias("m"), same).groupBy("m.id", "m.sha")
+                .agg(F.max_by(whole, F.struct(F.length(text), text)).alias("row")).select("row.*"))
     return kept.alias("d").join(repeated.alias("m"), same, "left_anti").unionByName(once)
