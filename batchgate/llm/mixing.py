@@ -20,7 +20,8 @@ Rounding: over the classes of a source from large to small, copies are rounded
 with the error carried on to the next class, so that a source misses its
 target by about one small document. The copies of a class go to its documents
 in hash order, in cells of about 1,024 documents, so a class that holds a third
-of all rows is spread over many tasks.
+of all rows is spread over many tasks. Documents of size 0 need no rank, and
+rows of one id and size enter a cell as one counted row.
 
 Defined results
   * NULL text has size 0; sizes of 0 take 0 words. A NULL source is a source
@@ -42,6 +43,7 @@ from batchgate.llm.common import word_count, written
 
 KEY = ["src", "src_null"]
 CELL = 1024
+BLOCK = 10_000                      # rows that one counted row is opened into at a time
 TOLERANCE = 1e-7
 EXACT = "decimal(38,12)"            # sums that do not depend on the order of their terms
 MAX_STEPS = 80
@@ -144,17 +146,34 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     dual = balance(atoms, targets, cap)
     classes = written(copies_of_classes(atoms, targets, dual, cap), "mix_classes")
 
-    j = (rows.join(classes, [*KEY, "cls"], "left")
-             .withColumns({"n": F.coalesce("n", F.lit(1)), "m": F.coalesce("m", F.lit(0)), "rate": F.coalesce("rate", F.lit(0.0))}))
+    t = targets.select(*KEY, F.col("tokens").alias("source_size"), "target")
+    none = rows.where("size = 0").withColumns({"rate": F.lit(0.0), "copies": F.lit(0).cast("long")})
+    dealt = _deal(rows.where("size > 0").join(classes, [*KEY, "cls"])).unionByName(none.select(*KEY, "id", "size", "rate", "copies"))
+    return dealt.join(t, KEY).select("id", "size", "source_size", F.col("target").cast("double").alias("target"), "rate",
+                                     "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def _deal(rows: DataFrame) -> DataFrame:
+    """Copies of a class to its documents: in cells by hash, those first in hash
+    order get one more. Rows of one id and size are interchangeable; they enter
+    a cell as one counted row, so ids that repeat (or lack) make no cell larger."""
+    same = [*KEY, "cls", "id", "size"]
+    j = rows.groupBy(*same).agg(F.count(F.lit(1)).alias("c"), *[F.first(x).alias(x) for x in ("n", "m", "rate")])
     h = F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), "size")
     j = j.withColumns({"h": h, "cells": F.ceil(F.col("n") / CELL)}).withColumn("cell", F.pmod("h", "cells"))
     cell = W.partitionBy(*KEY, "cls", "cell")
     base = F.floor(F.col("m") / F.col("n"))
     phase = F.when(F.col("cells") == 1, 0.5).otherwise(
         F.pmod(F.xxhash64("src", "cls", "cell"), F.lit(1 << 20)) / float(1 << 20))
-    quota = F.floor((F.col("m") - base * F.col("n")) / F.col("n") * F.count(F.lit(1)).over(cell) + phase)
-    rank = F.row_number().over(cell.orderBy("h", "id", "size"))
-    j = j.withColumn("copies", (base + F.when(rank <= quota, 1).otherwise(0)).cast("long"))
-    t = targets.select(*KEY, F.col("tokens").alias("source_size"), "target")
-    return j.join(t, KEY).select("id", "size", "source_size", F.col("target").cast("double").alias("target"), "rate",
-                                 "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    quota = F.floor((F.col("m") - base * F.col("n")) / F.col("n") * F.sum("c").over(cell) + phase)
+    before = F.sum("c").over(cell.orderBy("h", "id", "size").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("c")
+    more = F.least(F.col("c"), F.greatest(F.lit(0).cast("long"), quota - before))
+    j = j.select(*KEY, "id", "size", "rate", "c", base.alias("base"), more.alias("more"))
+    one = j.where("c = 1").select(*KEY, "id", "size", "rate", (F.col("base") + F.col("more")).cast("long").alias("copies"))
+    # Counted rows become rows again, a block at a time; blocks are dealt before they are opened.
+    blocks = j.where("c > 1").withColumn("b", F.explode(F.expr(f"sequence(0L, (c - 1) div {BLOCK}L)")))
+    blocks = blocks.repartition(*KEY, "id", "size", "b").withColumn(
+        "i", F.explode(F.expr(f"sequence(b * {BLOCK}L, least(c, (b + 1) * {BLOCK}L) - 1)")))
+    many = blocks.select(*KEY, "id", "size", "rate",
+                         (F.col("base") + F.when(F.col("i") < F.col("more"), 1).otherwise(0)).cast("long").alias("copies"))
+    return one.unionByName(many)
