@@ -3,7 +3,8 @@
 Labelled documents give preference pairs (a label-1 document is preferred to a
 label-0 one). The Bradley-Terry model with scores linear in document features,
 P(i over j) = sigmoid(w . (f_i - f_j)), is the logistic loss on feature
-differences; Newton steps learn w. The threshold is a quantile of the learned
+differences, over at most ``max_pairs`` pairs drawn with replacement; Newton
+steps learn w. The threshold is a quantile of the learned
 document scores, the one that parts the labelled documents best, and the
 reported score is sigmoid(s - s_quantile + logit(cut)), so that a document is
 predicted 1 exactly when its Bradley-Terry score reaches that quantile.
@@ -14,7 +15,8 @@ sources are no inputs. Learning uses at most ``max_labelled`` labelled rows
 
 Defined results
   * NULL text scores like empty text; NULL labels are not learned from; repeated
-    label rows count as often as they occur.
+    label rows count as often as they occur; a document id that repeats teaches once
+    (the least of its features), so what is collected is bounded by ``max_labelled``.
   * Without rows of both labels there is nothing to learn: every score is 0.5.
   * Empty tables give empty results; other columns are ignored.
 """
@@ -102,9 +104,9 @@ def score_of(f: np.ndarray, model: dict | None, cut: float = CUT) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "quality", max_labelled: int = MAX_LABELLED) -> dict | None:
+        label_col: str = "quality", max_labelled: int = MAX_LABELLED, max_pairs: int = MAX_PAIRS) -> dict | None:
     """The model learned from at most ``max_labelled`` labelled rows (``allowed``: a
-    condition on the column ``id``)."""
+    condition on the column ``id``) and ``max_pairs`` pairs of them."""
     shipped(docs.sparkSession)
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where("id IS NOT NULL AND label IN (0, 1)")
     if allowed is not None:
@@ -112,11 +114,13 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, id_co
     known = known.orderBy(F.xxhash64("id"), "id", "label").limit(max_labelled)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     # The labelled rows are at most max_labelled, so they may be broadcast.
-    rows = texts.join(F.broadcast(known), "id").select("label", _features_udf()("text").alias("f")).toPandas()
+    taught = texts.join(F.broadcast(known.select("id").distinct()), "id", "left_semi").select("id", _features_udf()("text").alias("f"))
+    taught = taught.groupBy("id").agg(F.min("f").alias("f"))
+    rows = taught.join(F.broadcast(known), "id").select("id", "label", "f").toPandas().sort_values(["id", "label"])
     if rows["label"].nunique() < 2:
         return None
     f = np.stack(rows["f"].to_numpy())
-    return train(f[rows["label"] == 1], f[rows["label"] == 0])
+    return train(f[rows["label"] == 1], f[rows["label"] == 0], max_pairs)
 
 
 def scorer(model: dict | None, cut: float = CUT) -> Callable:
