@@ -10,12 +10,12 @@ columns of ``documents``; each works on all that its predecessor kept.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from batchgate.llm import bpe, exact_dedup, mixing, quality, simhash
-from batchgate.llm.common import shipped, small_side, word_count, written
+from batchgate.llm.common import shipped, small_side, written
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -33,28 +33,44 @@ def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_exact_duplicates(docs)
 
 
+def row_key(prefix: str = "") -> Column:
+    """What tells rows apart, ids first (rows without one last): id and text."""
+    text = F.coalesce(F.col(f"{prefix}text"), F.lit(""))
+    doc_id = F.col(f"{prefix}doc_id")
+    return F.struct(doc_id.isNull().alias("z"), F.coalesce(doc_id, F.lit(0)).alias("id"), F.sha2(text, 256).alias("sha"))
+
+
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash component stays. Where an
-    id repeats, its rows stay if one of them does."""
-    found = simhash.near_dedup(docs, shingle=4, max_bits=4)
-    lost = found.groupBy("id").agg(F.bool_or(F.col("id").eqNullSafe(F.col("component_id"))).alias("stays")).where("NOT stays")
-    lost = written(lost.select("id"), "pipeline_lost")
-    return docs.alias("d").join(small_side(lost).alias("x"), F.expr("d.doc_id <=> x.id"), "left_anti")
+    """The row with the smallest id of each SimHash component stays, also where ids
+    repeat or lack (then the smallest digest of the text). Rows that repeat id and
+    text share a decision; the stage before leaves one of them."""
+    whole = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(row_key().alias("row_key"), "text")
+    found = simhash.near_dedup(rows, id_col="row_key", shingle=4, max_bits=4)
+    lost = written(found.where("id <> component_id").select(F.col("id").alias("lost_key")).distinct(), "pipeline_lost")
+    left = docs.select(F.struct(*whole).alias("d")).withColumn("row_key", row_key("d."))
+    return left.join(small_side(lost), F.expr("row_key = lost_key"), "left_anti").select("d.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
-    taken = written(mixing.mix(docs).select("id", "size", "copies"), "pipeline_copies")
+    """Every document as often as the mix takes it. Where ids repeat or lack, rows
+    are told apart by id and text."""
     # Rows travel as one struct each, so no column of docs can clash with the mix's.
     left = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"))
-    right = taken.select(F.struct("*").alias("t"))
-    same = F.expr("d.doc_id <=> t.id")
+    if docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty():
+        taken, key = mixing.mix(docs), F.col("d.doc_id")
+    else:
+        digest = F.concat_ws(":", F.col("doc_id").cast("string"), F.sha2(F.coalesce("text", F.lit("")), 256))
+        taken = mixing.mix(docs.select(digest.alias("row_key"), "text", "source"), id_col="row_key")
+        key = F.concat_ws(":", F.col("d.doc_id").cast("string"), F.sha2(F.coalesce("d.text", F.lit("")), 256))
+    taken = written(taken.select("id", "size", "copies"), "pipeline_copies")
+    left, right = left.withColumn("k", key), taken.select(F.struct("*").alias("t"))
+    same = F.expr("k = t.id")
     if not taken.groupBy("id").count().where("count > 1").isEmpty():
-        # Repeated ids: the rows of one id and size are told apart by their rank.
-        size = word_count(F.col("d.text"))
-        left = left.withColumn("i", F.row_number().over(W.partitionBy("d.doc_id", size).orderBy("d.text")))
-        right = right.withColumn("j", F.row_number().over(W.partitionBy("t.id", "t.size").orderBy("t.copies")))
-        same = same & (size == F.col("t.size")) & (F.col("i") == F.col("j"))
+        # Rows that repeat id and text (none come from the stages before): told apart by their rank.
+        left = left.withColumn("i", F.row_number().over(W.partitionBy("k").orderBy("k")))
+        right = right.withColumn("j", F.row_number().over(W.partitionBy("t.id").orderBy("t.copies")))
+        same = same & (F.col("i") == F.col("j"))
     # The copies are as many as the documents: always a shuffle.
     rows = left.join(right.where("t.copies > 0").hint("merge"), same)
     return rows.select("d", F.explode(F.array_repeat(F.lit(0), F.col("t.copies").cast("int"))).alias("copy")).select("d.*")
