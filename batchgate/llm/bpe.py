@@ -31,7 +31,7 @@ from __future__ import annotations
 import base64
 import heapq
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -107,8 +107,8 @@ class Vocabulary:
         return pa.table({"id": pa.array(range(len(texts)), pa.int32()), "text": texts})
 
     def _open(self, table: str):
-        """The connection, with ``table`` (merges or vocabulary) loaded. Encoding and
-        decoding run in workers of their own, and each needs one of the two."""
+        """The connection, with ``table`` (merges or vocabulary) loaded: encoding
+        needs the one, decoding the other."""
         import duckdb
 
         if self.db is None:
@@ -251,44 +251,62 @@ def _parts(column: pa.Array, least: int) -> Iterator[tuple[int, list]]:
         yield start, held
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and ids (array of int) of every row."""
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    shared = shipped(docs.sparkSession).sparkContext.broadcast(read_ranks(path))
-    schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, pattern: str) -> Iterator[pa.RecordBatch]:
+    """Batches of (id, text) as batches of (id, ids)."""
+    encoder = Encoder(vocabulary, pattern)
+    for batch in batches:
+        for start, held in _parts(batch.column(1), SLICE_BYTES):
+            ids = encoder([x.as_py() for x in held])
+            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids), pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(held)), ids], names=["id", "ids"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, ids_col: str, out_col: str) -> Iterator[pa.RecordBatch]:
+    """Batches with the decoded bytes of their ids as one more column."""
+    for batch in batches:
+        for start, held in _parts(batch.column(ids_col), DECODE_TOKENS):
+            column = batch.column(ids_col).slice(start, len(held))
+            ends = np.cumsum([len(x) if x.is_valid else 0 for x in held])
+            texts = vocabulary.decode(column.flatten().to_numpy(zero_copy_only=False), ends)
+            yield pa.RecordBatch.from_arrays([*(c.slice(start, len(held)) for c in batch.columns), pa.array(texts, pa.binary())],
+                                             names=[*batch.schema.names, out_col])
+
+
+def _task(rows: DataFrame, path: str, schema: T.StructType, work: Callable) -> DataFrame:
+    """``work`` on the batches of each task with the vocabulary, closed with the task."""
+    shared = shipped(rows.sparkSession).sparkContext.broadcast(read_ranks(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(shared.value, path)
-        encoder = Encoder(vocabulary, pattern)
         try:
-            for batch in batches:
-                for start, held in _parts(batch.column(1), SLICE_BYTES):
-                    ids = encoder([x.as_py() for x in held])
-                    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                    ids = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids), pa.int32()))
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(held)), ids], names=["id", "ids"])
+            yield from work(batches, vocabulary)
         finally:
             vocabulary.close()
 
     return rows.mapInArrow(run, schema)
 
 
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, list[T.StructField]]:
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return rows, [T.StructField("id", rows.schema["id"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))]
+
+
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id and ids (array of int) of every row."""
+    rows, fields = _texts(docs, id_col, text_col)
+    return _task(rows, path, T.StructType(fields), lambda batches, v: _encoded(batches, v, pattern))
+
+
 def decode(rows: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``rows`` with the decoded bytes of their ids."""
-    shared = shipped(rows.sparkSession).sparkContext.broadcast(read_ranks(path))
     schema = T.StructType([*rows.schema.fields, T.StructField(out_col, T.BinaryType())])
+    return _task(rows, path, schema, lambda batches, v: _decoded(batches, v, ids_col, out_col))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _vocabulary(shared.value, path)
-        try:
-            for batch in batches:
-                for start, held in _parts(batch.column(ids_col), DECODE_TOKENS):
-                    column = batch.column(ids_col).slice(start, len(held))
-                    ends = np.cumsum([len(x) if x.is_valid else 0 for x in held])
-                    texts = vocabulary.decode(column.flatten().to_numpy(zero_copy_only=False), ends)
-                    yield pa.RecordBatch.from_arrays([*(c.slice(start, len(held)) for c in batch.columns), pa.array(texts, pa.binary())],
-                                                     names=[*batch.schema.names, out_col])
-        finally:
-            vocabulary.close()
 
-    return rows.mapInArrow(run, schema)
+def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, ids and the bytes decoded from them: :func:`encode`, then :func:`decode`, in
+    one worker a task (chained as frames they run in two, with two vocabularies)."""
+    rows, fields = _texts(docs, id_col, text_col)
+    schema = T.StructType([*fields, T.StructField("decoded", T.BinaryType())])
+    return _task(rows, path, schema, lambda batches, v: _decoded(_encoded(batches, v, pattern), v, "ids", "decoded"))

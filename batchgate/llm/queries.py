@@ -115,8 +115,7 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 def op4_bpe(spark, d):
     path = public_tokenizers.path(VOCABULARY)
-    ids = bpe.encode(_t(spark, d, "documents"), path, public_tokenizers.PATTERN)
-    return bpe.decode(ids, path).select(
+    return bpe.encode_decode(_t(spark, d, "documents"), path, public_tokenizers.PATTERN).select(
         F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

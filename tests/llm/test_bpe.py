@@ -26,6 +26,23 @@ def test_awkward_rows(spark, library):
     assert sorted(((r["id"], list(r["ids"]), bytes(r["decoded"])) for r in out), key=repr) == want
 
 
+def test_both_ways_in_one_worker(spark, library):
+    rows = awkward() + [(301, "a" * 20_000), (302, "1234567 don't WE'LL")]
+    out = bpe.encode_decode(documents(spark, rows), PATH, P.PATTERN)
+    want = sorted(((i, library.encode_ordinary(t or ""), (t or "").encode()) for i, t, *_ in rows), key=repr)
+    assert sorted(((r["id"], list(r["ids"]), bytes(r["decoded"])) for r in out.collect()), key=repr) == want
+    assert bpe.encode_decode(documents(spark, rows).limit(0), PATH, P.PATTERN).count() == 0
+
+
+def test_connection_closes_and_opens_again(library):
+    vocabulary = bpe.Vocabulary(bpe.read_ranks(PATH))
+    for _ in range(2):
+        assert [x.tolist() for x in vocabulary.contract([b"zqxzq", b"unfoldable"])] == [
+            library.encode_ordinary("zqxzq"), library.encode_ordinary("unfoldable")]
+        vocabulary.close()
+        assert vocabulary.db is None
+
+
 def test_empty_table(spark):
     docs = documents(spark, [(1, "a")]).limit(0)
     assert bpe.decode(bpe.encode(docs, PATH, P.PATTERN), PATH).count() == 0
