@@ -81,7 +81,7 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     path = public_tokenizers.path(VOCABULARY)
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.struct("doc_id", "lang", "source", F.sha2(text, 256).alias("sha")).alias("key"), text.alias("text"))
-    out = bpe.decode(bpe.encode(rows, path, public_tokenizers.PATTERN, id_col="key"), path)
+    out = bpe.encode_decode(rows, path, public_tokenizers.PATTERN, id_col="key")
     return out.select("id.doc_id", "id.lang", "id.source", F.size("ids").cast("long").alias("n_tokens"), "ids",
                       (F.sha2("decoded", 256) == F.col("id.sha")).alias("round_trip"))
 
