@@ -46,3 +46,23 @@ def test_empty_table(spark):
     docs = documents(spark, [(1, "a")]).limit(0)
     assert exact_dedup.exact_dedup(docs).count() == 0
     assert exact_dedup.drop_exact_duplicates(docs).count() == 0
+
+
+def test_one_row_stays_where_an_id_repeats_a_text(spark):
+    rows = [(5, "a b"), (5, "a  b"), (5, "ab"), (6, "ab"), (None, "x y"), (None, "xy"), (None, "z"), (7, "z")]
+    out = exact_dedup.drop_exact_duplicates(documents(spark, rows)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in out), key=repr) == sorted([(5, "a  b"), (None, "x y"), (7, "z")], key=repr)
+
+
+def test_prefixes_are_hashed_of_repeated_lengths_only(spark, monkeypatch):
+    sizes = {}
+
+    def recorded(df, name, plain=exact_dedup.written):
+        out = plain(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(exact_dedup, "written", recorded)
+    rows = [(i, "x" * i) for i in range(30)] + [(100, "y" * 7), (101, "x" * 9)]
+    exact_dedup.exact_dedup(documents(spark, rows)).collect()
+    assert sizes["dedup_lengths"] == 2 and sizes["dedup_keys"] == 4 and sizes["dedup_survivors"] == 2

@@ -83,3 +83,17 @@ def test_rates_are_exponential_in_size(spark):
 def test_empty_table(spark):
     assert mixing.mix(documents(spark, [(1, "a", "en", "s")]).limit(0)).count() == 0
     assert mixing.mix(documents(spark, [(1, None, "en", None), (2, "", "en", "s")])).agg(F.sum("taken")).first()[0] == 0
+
+
+def test_rows_without_ids_are_counted(spark):
+    # A third of the rows has no id, a third is empty: neither makes a cell larger, and reruns agree.
+    docs = spark.range(9000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 == 1, "").otherwise("a b c").alias("text"),
+        F.lit("s").alias("source"))
+    out = mixing.mix(docs, share=0.7).cache()
+    total = out.agg(F.sum("taken"), F.count(F.lit(1)), F.max(F.col("taken") - 2 * F.col("size"))).first()
+    assert total[1] == 9000 and total[2] <= 0
+    assert abs(total[0] - out.first()["target"]) <= 0.01 * total[0] + 30
+    per_id = out.groupBy("id", "size").agg(F.sum("copies").alias("copies"))
+    again = mixing.mix(docs.repartition(7), share=0.7).groupBy("id", "size").agg(F.sum("copies").alias("copies"))
+    assert sorted(map(repr, per_id.collect())) == sorted(map(repr, again.collect()))

@@ -54,3 +54,19 @@ def test_stages_take_awkward_rows(spark, tmp_path):
 
 def test_stages_are_the_five():
     assert [n for n, _ in CP.STAGES] == ["quality", "exact_dedup", "simhash_near_dedup", "mixing", "bpe"]
+
+
+def test_near_copies_without_ids_are_told_apart(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(5, text), (None, text.upper()), (None, text.title()), (None, "quite another text of its own, without a copy"), (8, text + "\n")]
+    out = CP.drop_near(spark, documents(spark, rows), "").collect()
+    assert sorted((r["doc_id"] or -1, r["text"][:5]) for r in out) == [(-1, "quite"), (5, "word0")]
+    none = [(None, text.upper()), (None, text.title()), (None, text)]
+    assert CP.drop_near(spark, documents(spark, none), "").count() == 1
+
+
+def test_mix_of_rows_without_ids(spark):
+    rows = [(None if i % 3 else i // 6, f"text number {i} of some", "en", "ab"[i % 2]) for i in range(60)]
+    out = CP.mix_sources(spark, documents(spark, rows), "").groupBy("text").count().collect()
+    assert max(r["count"] for r in out) <= 2 and {r["text"] for r in out} <= {r[1] for r in rows}
+    assert abs(sum(r["count"] for r in out) - 90) <= 3
