@@ -1,6 +1,8 @@
 """Embedding near-dedup against brute-force cosines."""
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,3 +100,112 @@ def test_audit_demands_nearest_neighbours_without_any_links():
     near = np.argsort(-(x[::50] @ x.T), axis=1)[:, :10]
     ids = np.concatenate([i for _, i, _ in graph.search(x[::50], graph.beam)])
     assert np.mean([len(np.intersect1d(a, b)) / 10 for a, b in zip(near, ids)]) >= 0.85 or graph.beam * 24 >= len(x)
+
+
+# ---- cells
+
+def unit(x):
+    return (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+
+
+def table(n, dim, seed):
+    """Vectors in all directions, groups of near copies, pairs just above and below the threshold, and equal vectors."""
+    rng = np.random.default_rng(seed)
+    x = unit(rng.normal(size=(n, dim)))
+    k = n // 10
+    x[:k] = unit(x[rng.integers(0, 5, k)] + rng.normal(size=(k, dim)) * 0.2 / np.sqrt(dim))
+    a = x[k:2 * k]
+    w = rng.normal(size=a.shape)
+    w = unit(w - np.einsum("qd,qd->q", w, a)[:, None] * a)
+    cosine = rng.uniform(0.88, 0.93, size=(k, 1))
+    x[2 * k:3 * k] = cosine * a + np.sqrt(1 - cosine ** 2) * w
+    x[3 * k:3 * k + 60] = x[3 * k]
+    return x[rng.permutation(n)]
+
+
+def batches(x, size=500):
+    for i in range(0, len(x), size):
+        part = x[i:i + size]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(i, i + len(part))), pa.array(list(part), pa.list_(pa.float32()))], ["id", "v"])
+
+
+def links_by_cells(x, shards):
+    """Links of each vector as the tasks find them, and the units that a vector is sent to."""
+    sample = [r for b in E._vectors()(batches(x)) for r in b.to_pylist()]
+    sample = sorted({(r["k"], r["l"]): r for r in sample}.values(), key=lambda r: (r["l"], r["k"]))
+    model = E._model(sample, "<f4", shards, 0.9)
+    m = model[x.shape[1]]
+    counts = np.zeros((len(m["q"]), E.Cells.BINS + 1), int)
+    for b in E._audited(model, 0.9)(batches(x)):
+        np.add.at(counts, (np.asarray(b["q"]), np.asarray(b["step"])), np.asarray(b["links"]))
+    m["cells"].reached([counts[:len(m["key"])], counts[len(m["key"]):]], E.RECALL ** 0.5)
+    units = E._laid_out(model, len(sample), len(sample))
+    dealt = pa.Table.from_batches(E._dealt(model)(batches(x)))
+    sent = sum(len(b) for b in dealt["queries"].to_pylist()) / E._query_type(x.shape[1]).itemsize + len(sample)
+    links, linked, by_key = {}, set(), {(r["k"], r["l"]): np.frombuffer(r["x"], np.float32).astype(float) for r in sample}
+    key = E._keys(x)
+    copies = {k: n for k, n in zip(*np.unique([f"{a} {b}" for a, b in key.tolist()], return_counts=True))}
+    for unit_no in np.unique(dealt["unit"]):
+        for r in E._compared(0.9)(dealt.filter(pa.compute.equal(dealt["unit"], unit_no))).to_pylist():
+            a, b = (r["k"], r["l"]), (r["k2"], r["l2"])
+            if r["m"] is not None:                                                     # left open: by the cosine in doubles
+                u, v = by_key[a], by_key[b]
+                if u @ v / np.linalg.norm(u) / np.linalg.norm(v) >= 0.9:
+                    links[a] = links.get(a, 0) + r["n"]
+                    links[b] = links.get(b, 0) + r["m"]
+                    linked.add((a, b))
+            elif r["n"] is not None:
+                links[a] = links.get(a, 0) + r["n"]
+            else:
+                linked.add((a, b))
+    got = np.array([links.get((a, b), 0) + copies[f"{a} {b}"] - 1 for a, b in key.tolist()])
+    return got, sent / len(sample), units, linked
+
+
+def true_links(x):
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    return (u @ u.T >= 0.9).sum(axis=1) - 1
+
+
+@pytest.mark.parametrize("dim", [16, 64])
+def test_vectors_go_to_near_cells_only(monkeypatch, dim):
+    monkeypatch.setattr(E, "FINE_FROM", 32)
+    monkeypatch.setattr(E, "CHUNK_VALUES", 700 * dim)                                  # equal vectors come in several chunks
+    x = table(6000, dim, dim)
+    got, sent, units, _ = links_by_cells(x, 60)
+    want = true_links(x)
+    assert units > 50 and sent < units / 4                                             # not to every shard
+    assert (got <= want).all() and got.sum() >= 0.98 * want.sum()
+    assert np.mean(got[want > 0] / want[want > 0]) >= 0.97
+
+
+def test_cells_too_large_for_a_task_become_several_units(monkeypatch):
+    x = table(3000, 24, 3)
+    whole = links_by_cells(x, 5)
+    monkeypatch.setattr(E, "INDEX_VALUES", 200 * 24)
+    monkeypatch.setattr(E, "VISIT_VALUES", 500 * 24)
+    parts = links_by_cells(x, 5)
+    assert parts[2] > 4 * whole[2] and (parts[0] == whole[0]).all()
+    want = true_links(x)
+    assert (whole[0] <= want).all() and whole[0].sum() >= 0.98 * want.sum()
+
+
+def test_pairs_at_the_threshold_by_doubles(spark):
+    """Cosines some 1e-9 from the threshold, across cells: float32 and steps can't tell them."""
+    rng = np.random.default_rng(8)
+    a, w = rng.normal(size=(2, 400, 24))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    w -= np.einsum("qd,qd->q", w, a)[:, None] * a
+    w /= np.linalg.norm(w, axis=1)[:, None]
+    cosine = (0.9 + np.where(np.arange(400) % 2, 1e-9, -1e-9))[:, None]
+    rows = list(enumerate(np.concatenate([a * 3, cosine * a + np.sqrt(1 - cosine ** 2) * w]).tolist()))
+    got = sorted((r["id"], r["n_links"], r["component_id"]) for r in E.near_dedup(frame(spark, rows), shard_rows=50).collect())
+    want = brute(rows)
+    assert sum(n for _, n, _ in want) == 400 and sum(n for _, n, _ in got) >= 0.96 * 400
+    assert all(g == w or g[1] < w[1] for g, w in zip(got, want))
+
+
+def test_repeated_vectors_of_many_lengths(spark):
+    rows = [(i, [1.0, 2.0, 2.0] if i % 3 else [float(i + 1)] * (2 + i % 4)) for i in range(400)]
+    got = sorted((r["id"], r["n_links"], r["component_id"]) for r in E.near_dedup(frame(spark, rows), shard_rows=50).collect())
+    assert got == brute(rows)
