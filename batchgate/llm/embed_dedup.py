@@ -458,6 +458,23 @@ def _query_type(dim: int) -> np.dtype:
     return np.dtype([("key", "<i8", (2,)), ("n", "<i4"), ("home", "<i4"), ("scale", "<f4"), ("err", "<f4"), ("code", "i1", (dim,))])
 
 
+def _packed(rows: np.ndarray) -> bytes:
+    """Their number and their fields byte by byte (all first bytes of a field, then all second), compressed."""
+    planes = [np.ascontiguousarray(rows[f]).view(np.uint8).reshape(-1, rows.dtype[f].base.itemsize).T.tobytes() for f in rows.dtype.names]
+    return len(rows).to_bytes(8, "little") + pa.compress(b"".join(planes), "zstd", asbytes=True) if len(rows) else b""
+
+
+def _unpacked(blob: pa.Buffer, kind: np.dtype) -> np.ndarray:
+    rows, at = np.zeros(int.from_bytes(blob[:8], "little"), kind), 0
+    if len(rows):
+        raw = pa.decompress(blob[8:], rows.nbytes, "zstd")
+        for f in kind.names:
+            part = np.frombuffer(raw, np.uint8, len(rows) * kind[f].itemsize, at)
+            rows[f] = np.ascontiguousarray(part.reshape(kind[f].base.itemsize, -1).T).view(kind[f].base).reshape(rows[f].shape)
+            at += len(part)
+    return rows
+
+
 def _dealt(model: dict):
     """Vectors to the units of their home (as they are, with the lower cells they visit)
     and of the cells they visit (as queries): one row for a unit and chunk."""
@@ -498,7 +515,7 @@ def _dealt(model: dict):
         lists = lists[np.repeat(ends[a] - np.cumsum(times), times) + np.arange(times.sum())]
         cut = [np.append(np.searchsorted(v, units), len(v)) for v in (a_unit, b_unit)]
         cut.append(np.concatenate([[0], np.cumsum(times)])[cut[0]])
-        blobs = [(index[a], cut[0]), (lists, cut[2]), (query[b], cut[1])]
+        blobs = [(_packed, index[a], cut[0]), (np.ndarray.tobytes, lists, cut[2]), (_packed, query[b], cut[1])]
         region = np.searchsorted(base, units, "right") - 1
         alone = (across * down)[region] == 1
         for i in range(0, len(units), 16):
@@ -506,7 +523,7 @@ def _dealt(model: dict):
             m = len(units[some])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(units[some]), pa.array(np.full(m, dim, np.int32)), pa.array(region[some].astype(np.int32)), pa.array(alone[some]),
-                 pa.array([v.dtype.str] * m), *(pa.array([rows[at[k]:at[k + 1]].tobytes() for k in range(i, i + m)], pa.binary()) for rows, at in blobs)],
+                 pa.array([v.dtype.str] * m), *(pa.array([pack(rows[at[k]:at[k + 1]]) for k in range(i, i + m)], pa.binary()) for pack, rows, at in blobs)],
                 ["unit", "dim", "region", "alone", "kind", "index", "lists", "queries"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -528,9 +545,9 @@ class _Unit:
     def __init__(self, table: pa.Table, least: float):
         get = lambda name: table.column(name)[0].as_py()      # noqa: E731
         self.dim, self.region, self.alone, self.least = get("dim"), get("region"), get("alone"), least
-        cat = lambda name, kind: np.concatenate([np.empty(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in table.column(name))])
-        self.index, lists = cat("index", _index_type(self.dim, get("kind"))), cat("lists", np.int32)
-        self.queries = cat("queries", _query_type(self.dim))
+        cat = lambda name, kind, read: np.concatenate([np.empty(0, kind), *(read(x.as_buffer(), kind) for x in table.column(name))])
+        self.index, lists = cat("index", _index_type(self.dim, get("kind")), _unpacked), cat("lists", np.int32, np.frombuffer)
+        self.queries = cat("queries", _query_type(self.dim), _unpacked)
         ends = np.cumsum(self.index["visits"], dtype=np.int64)
         # The same vector from several chunks becomes one.
         first, which = _first(self.index["key"])

@@ -141,7 +141,7 @@ def links_by_cells(x, shards):
     m["cells"].reached([counts[:len(m["key"])], counts[len(m["key"]):]], E.RECALL ** 0.5)
     units = E._laid_out(model, len(sample), len(sample))
     dealt = pa.Table.from_batches(E._dealt(model)(batches(x)))
-    sent = sum(len(b) for b in dealt["queries"].to_pylist()) / E._query_type(x.shape[1]).itemsize + len(sample)
+    sent = sum(len(E._unpacked(pa.py_buffer(b), E._query_type(x.shape[1]))) for b in dealt["queries"].to_pylist()) + len(sample)
     links, linked, by_key = {}, set(), {(r["k"], r["l"]): np.frombuffer(r["x"], np.float32).astype(float) for r in sample}
     key = E._keys(x)
     copies = {k: n for k, n in zip(*np.unique([f"{a} {b}" for a, b in key.tolist()], return_counts=True))}
